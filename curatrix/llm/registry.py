@@ -6,11 +6,13 @@ import importlib
 
 # Query name to the module that holds it.
 OPERATORS = {
+    "op1_simhash": "simhash",
     "op4_best_fit_packing": "packing",
     "op5_mpeg_audio": "mpeg",
     "op7_toxicity": "toxicity",
     "op8_pii": "pii",
     "op9_quality": "quality",
+    "op10_decontamination": "decontaminate",
 }
 
 
@@ -19,4 +21,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from curatrix.llm import decontaminate
+
+    return {"op10_decontamination": decontaminate.ORACLE}
