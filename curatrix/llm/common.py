@@ -58,7 +58,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate: file sizes for a scan, no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:

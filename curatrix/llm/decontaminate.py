@@ -150,7 +150,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float =
 #: The same result without fingerprints: every window at a shared shingle, compared exactly.
 ORACLE = r"""
 WITH items AS (
-  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM benchmark),
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
 ig AS (SELECT item_id, w, len(w) AS n, least(len(w), 5) AS k FROM items WHERE len(w) > 0),
 igrams AS (
   SELECT item_id, n, k, i AS pos, array_to_string(w[i + 1 : i + k], ' ') AS s FROM ig, LATERAL (SELECT unnest(range(0, n - k + 1)) AS i)),
@@ -158,7 +158,7 @@ icount AS (SELECT item_id, s, count(*) AS c FROM igrams GROUP BY ALL),
 d AS (
   SELECT DISTINCT coalesce(text, '') AS text FROM documents),
 dw AS (
-  SELECT text, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM d),
+  SELECT text, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
 dgrams AS (
   SELECT text, k, i AS pos, array_to_string(w[i + 1 : i + k], ' ') AS s
   FROM dw, (SELECT DISTINCT k FROM ig) ks, LATERAL (SELECT unnest(range(0, len(w) - k + 1)) AS i)),

@@ -7,8 +7,10 @@ import importlib
 # Query name to the module that holds it.
 OPERATORS = {
     "op1_simhash": "simhash",
+    "op2_language_model": "language_model",
     "op4_best_fit_packing": "packing",
     "op5_mpeg_audio": "mpeg",
+    "op6_line_dedup": "lines",
     "op7_toxicity": "toxicity",
     "op8_pii": "pii",
     "op9_quality": "quality",
