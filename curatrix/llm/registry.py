@@ -8,6 +8,7 @@ import importlib
 OPERATORS = {
     "op1_simhash": "simhash",
     "op2_language_model": "language_model",
+    "op3_suffix_dedup": "suffix_dedup",
     "op4_best_fit_packing": "packing",
     "op5_mpeg_audio": "mpeg",
     "op6_line_dedup": "lines",
