@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from curatrix.plans import data, intake, selection, trace  # noqa: F401  (they register their queries)
+from curatrix.plans.base import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
