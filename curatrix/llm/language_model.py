@@ -36,8 +36,8 @@ from curatrix.llm.common import bucket_of, canonical, documents, fold_column, ma
 FOLDS, HELD_OUT = 7, 2
 WORDS, CLASSES, DIM = 768, 255, 16
 VOCAB = 1 + WORDS + CLASSES
-#: Words whose counts travel with the scorer.
-LOOKUP = 1 << 18
+#: Words whose counts travel with the scorer, at most.
+LOOKUP = 1 << 17
 BATCH, NOISE, RATE, MIN_STEPS = 1024, 48, 0.15, 1500
 #: Ids of a partition that are held at once for training.
 HELD_IDS = 4_000_000
@@ -74,6 +74,19 @@ def count_words(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, most: int = LOOKUP):
+    """(word, c) of the most frequent words, by count and then by word: all whose count is
+    above the least at which no more than ``most`` are. Only these reach the driver."""
+    least, n = None, 0
+    for row in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).toLocalIterator():
+        n += row["n"]
+        if n > most:
+            break
+        least = row["c"]
+    rows = counts.where(F.col("c") >= least).toPandas() if least is not None else counts.limit(0).toPandas()
+    return rows.sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
+
+
 def _class_totals(counts: DataFrame, vocabulary: dict[bytes, int]) -> np.ndarray:
     """[class, (sum of c, words)] over the words outside the vocabulary."""
     share = counts.sparkSession.sparkContext.broadcast(vocabulary)
@@ -217,7 +230,7 @@ def score_language_model(docs: DataFrame) -> DataFrame:
     words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, kinds = words + n_docs, distinct + (n_docs > 0)
     log_base = math.log10(total + kinds + 1)
-    top = counts.orderBy(F.desc("c"), "word").limit(LOOKUP).toPandas()
+    top = frequent_words(counts)
     keys = [w.encode("utf-8", "surrogatepass") for w in top["word"]]
     vocabulary = {w: i + 1 for i, w in enumerate(keys[:WORDS])}
     classes = _class_totals(counts, vocabulary)
