@@ -57,8 +57,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate: file sizes for a scan, no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Stored bytes of the files that df scans, by the optimizer's statistics; no job is
+    run. Sources of unknown size (local rows) count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)
 
 
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
