@@ -40,9 +40,12 @@ VOCAB = 1 + WORDS + CLASSES
 LOOKUP = 1 << 17
 BATCH, NOISE, RATE, MIN_STEPS = 1024, 48, 0.15, 1500
 #: Ids of a partition that are held at once for training.
-HELD_IDS = 4_000_000
+HELD_IDS = 2_000_000
 #: Distinct words that a counting task holds before it passes them on.
-HELD_WORDS = 800_000
+HELD_WORDS = 200_000
+#: Texts of an Arrow batch that are turned into Python values at once, and the words outside
+#: the lookup that a scoring task gathers before it passes its rows on.
+TEXTS, HELD_RARE = 256, 20_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -55,6 +58,13 @@ def class_of(word: bytes) -> int:
     return 1 + WORDS + zlib.crc32(word[:3] + b"\0" + (b"" if tail.isalpha() or tail >= b"\x80" else tail)) % CLASSES
 
 
+def by_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in short slices, so that a task's memory doesn't follow the batch size."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(low, TEXTS)
+
+
 def count_words(training: DataFrame) -> DataFrame:
     """(word, c) over all training texts, ends not included."""
 
@@ -63,7 +73,7 @@ def count_words(training: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
 
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in by_texts(batches):
             for text in batch[0].to_pylist():
                 seen.update(words_of(text))
                 if len(seen) > HELD_WORDS:
@@ -131,10 +141,10 @@ class LogBilinear:
         """Noise-contrastive steps over the positions, in a random order each time round."""
         n, cum, log_kq = len(w), np.cumsum(self.noise), np.log(NOISE * self.noise).astype(np.float32)
         cells = np.arange(DIM)
-        order, at = rng.permutation(n), 0
+        order, at = rng.permutation(n).astype(np.int32), 0
         for _ in range(steps):
             if at >= n:
-                order, at = rng.permutation(n), 0
+                order, at = rng.permutation(n).astype(np.int32), 0
             pick = order[at : at + BATCH]
             at += BATCH
             a, b, y = w1[pick].astype(np.int64), w2[pick].astype(np.int64), w[pick].astype(np.int64)
@@ -184,12 +194,12 @@ def train_lbl(training: DataFrame, vocabulary: dict[bytes, int], unigram: np.nda
             steps = max(-(-len(ids) // BATCH), MIN_STEPS if n == len(ids) else 0)
             # Each text starts with two ends that are context only.
             w = np.flatnonzero(ids != 0xFFFF)
-            w = w[(w >= 2)]
+            w = w[(w >= 2)].astype(np.int32)
             clean = np.where(ids == 0xFFFF, 0, ids)
             local.train(clean[w - 2], clean[w - 1], clean[w], steps, rng, state)
 
         parts, held = [], 0
-        for batch in batches:
+        for batch in by_texts(batches):
             for text in batch[0].to_pylist():
                 ids = [0xFFFF, 0xFFFF]
                 for word in words_of(text):
@@ -251,13 +261,22 @@ def score_language_model(docs: DataFrame) -> DataFrame:
         words, ids, base_of, within_of, log_class, (a1, a2, log_z) = share.value
         index = {w: i for i, w in enumerate(words)}
         ln10 = math.log(10)
-        for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+        names = [x.split()[0] for x in SCORED.split(", ")]
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        pair = pa.struct([("word", pa.string()), ("n", pa.int64())])
+
+        def packed(rows: list[tuple], rare_words: list[bytes], rare_counts: list[int], ends: list[int]) -> pa.RecordBatch:
+            pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_counts, pa.int64())], fields=list(pair))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            return pa.RecordBatch.from_arrays([*[pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], lists], names=names)
+
+        rows, rare_words, rare_counts, ends = [], [], [], [0]
+        for batch in by_texts(batches):
             for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 tokens = words_of(text)
                 at = np.array([index.get(w, -1) for w in tokens], np.int64)
-                rare = Counter(tokens[i] for i in np.flatnonzero(at < 0))
                 found = at >= 0
+                rare = Counter(tokens[i] for i in np.flatnonzero(~found))
                 seq = np.zeros(len(at) + 3, np.int64)
                 seq[2:-1][found] = ids[at[found]]
                 kind = {w: class_of(w) for w in rare}
@@ -266,11 +285,16 @@ def score_language_model(docs: DataFrame) -> DataFrame:
                 model = float((a1[w1, w].astype(np.float64) + a2[w2, w] - log_z[w1, w2]).sum()) / ln10
                 model += float(within_of[at[found]].sum()) - sum(n * log_class[kind[r] - 1 - WORDS] for r, n in rare.items())
                 base = float(base_of[at[found]].sum()) - log_base * sum(rare.values()) + end_log
-                row = (doc_id, bucket_of(doc_id, FOLDS) == HELD_OUT, len(tokens) + 1, int(found.sum()) + (n_docs > 0), base, model, [{"word": r.decode("utf-8", "surrogatepass"), "n": n} for r, n in rare.items()])
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=[x.split()[0] for x in SCORED.split(", ")])
+                rows.append((doc_id, bucket_of(doc_id, FOLDS) == HELD_OUT, len(tokens) + 1, int(found.sum()) + (n_docs > 0), base, model))
+                rare_words += rare.keys()
+                rare_counts += rare.values()
+                ends.append(len(rare_words))
+                if len(rare_words) >= HELD_RARE:
+                    yield packed(rows, rare_words, rare_counts, ends)
+                    rows, rare_words, rare_counts, ends = [], [], [], [0]
+            if rows:
+                yield packed(rows, rare_words, rare_counts, ends)
+                rows, rare_words, rare_counts, ends = [], [], [], [0]
 
     parts = materialize(texts.mapInArrow(score, SCORED), "lm-parts").withColumn("row", F.monotonically_increasing_id())
     rare = parts.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts, "word")
