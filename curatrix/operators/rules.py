@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from curatrix.functions import text as T
 from curatrix.functions.reasoning import SOURCE_MARKS
 
 # Error patterns, in order of precedence.
@@ -241,3 +242,71 @@ def abi_issues(entry: Column, params: Column, returns: Column) -> Column:
         reasons((~text(entry).rlike(r"^[A-Za-z_]\w*$"), "entry"), (F.size(params) == 0, "no parameters"), (F.size(F.array_distinct(names)) < F.size(names), "duplicate names")),
         unknown, handles, reasons((text(returns).isin("cublas_handle", "cufft_handle"), "handle returned"), (plan, "no plan input"), (~outputs & text(returns).isin("", "void"), "no output")),
     )
+
+
+FENCE_LANGS = ("cuda", "cu", "cpp", "c++", "cc", "cxx", "c", "hpp")
+
+
+def fenced_source(reply: Column) -> Column:
+    """The source of a reply: its last fenced body that looks like device code, else the last
+    in a listed language, else the last, else the whole; one line end follows."""
+    whole = T.strip_thinking(text(reply))
+    fence = r"(?s)```([^\n]*)\n(.*?)```"
+    parts = F.arrays_zip(F.regexp_extract_all(whole, F.lit(fence), F.lit(1)).alias("lang"), F.regexp_extract_all(whole, F.lit(fence), F.lit(2)).alias("body"))
+    parts = F.filter(parts, lambda p: F.trim(F.translate(p["body"], "\n\t\r", "   ")) != "")
+    device = F.filter(parts, lambda p: any_of(F.lower(p["body"]), [m.lower() for m in SOURCE_MARKS]))
+    listed = F.filter(parts, lambda p: F.lower(F.trim(p["lang"])).isin(*FENCE_LANGS))
+    last = lambda a: F.try_element_at(a, F.lit(-1))["body"]
+    body = F.coalesce(last(device), last(listed), last(parts), whole)
+    body = F.regexp_replace(body, r"^\s*(?:cuda|cu|cpp|c\+\+|c)[ \t]*\n", "")
+    return ended(body)
+
+
+def ended(body: Column) -> Column:
+    """Without white space around it, and with one line end unless it is blank."""
+    bare = F.regexp_replace(text(body), r"^\s+|\s+$", "")
+    return F.when(bare == "", "").otherwise(F.concat(bare, F.lit("\n")))
+
+
+def export_label(assistant: Column, code: Column, archived: Column, task: Column, reasoning: bool) -> Column:
+    """The training label; prose stays prose, kernels are cut to their source. With
+    ``reasoning`` the tagged thought, or else the archived one, comes before it."""
+    said = text(assistant)
+    tagged = T.extract_thinking(said)
+    thought = F.trim(F.when(F.trim(tagged) != "", tagged).otherwise(text(archived)))
+    prose = ended(T.strip_thinking(said))
+    given = F.when(said == "", text(code)).otherwise(said)
+    source = fenced_source(given)
+    body = F.when(text(task) == "knowledge", F.when(prose == "", ended(code)).otherwise(prose)).otherwise(F.when(source == "", ended(code)).otherwise(source))
+    return F.when(thought != "", F.concat(F.lit("<think>\n"), thought, F.lit("\n</think>\n"), body)).otherwise(body) if reasoning else body
+
+
+def training_system(mode: Column, kind: Column, question: Column, generated: Column, prompts: dict[tuple[str, bool], str]) -> Column:
+    """The system text of a training row; ``prompts`` are by kind and whether it is Chinese."""
+    chinese = text(question).rlike("[㐀-鿿]")
+    fixed = lambda k: F.when(chinese, prompts[k, True]).otherwise(prompts[k, False])
+    return F.when(mode == "none", None).when(mode == "generation", text(generated)).otherwise(F.when(kind == "knowledge", fixed("knowledge")).otherwise(fixed("kernel")))
+
+
+def general(x: Column, digits: int) -> Column:
+    """A number with that many significant digits, without trailing zeros."""
+    full = F.format_string(f"%.{digits}g", x.cast("double"))
+    short = F.regexp_replace(F.regexp_replace(full, r"(\.[0-9]*?)0+(?=e|$)", "$1"), r"\.(?=e|$)", "")
+    return F.when(x == 0, "0").otherwise(short)
+
+
+def snapshot(compiled: Column, refval: Column, recorded: Column, cases: Column, critic: Column, skipped: Column, passed: Column, contract: Column, tier: Column) -> list[Column]:
+    """(refval, cases_run, critic, contract) of a candidate, with defaults; what did not
+    compile was not run, and a contract counts only if checked independently."""
+    ran = F.when(compiled, F.coalesce(F.nullif(refval, F.lit("")), F.nullif(recorded, F.lit("")), F.lit("skip"))).otherwise("skip")
+    reviewed = F.coalesce(critic, F.when(F.coalesce(skipped, F.lit(True)), "skipped").when(F.coalesce(passed, F.lit(True)), "verified").otherwise("failed"))
+    kept = F.when((contract == "pass") & (text(tier) == "independent"), "pass").when(contract == "fail", "fail").otherwise("skip")
+    return [ran, F.when(compiled, cases).otherwise(0), reviewed, kept]
+
+
+def archive_message(row: Column, role: str) -> Column:
+    """The first message of a role in a row's JSON, a value that is no text as ''; without such a message, the older fields."""
+    v = F.from_json(row, "messages array<struct<role:string,content:string>>")
+    said = F.filter(F.coalesce(v["messages"], F.array().cast("array<struct<role:string,content:string>>")), lambda m: m["role"] == role)
+    older = {"system": ("system", "metadata.system"), "user": ("question", "user_prompt"), "assistant": ("assistant", "code", "output")}[role]
+    return F.when(F.size(said) > 0, text(F.try_element_at(said, F.lit(1))["content"])).otherwise(F.coalesce(*[F.get_json_object(row, f"$.{p}") for p in older], F.lit("")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curatrix.plans import data, intake, rules, selection, texts, trace  # noqa: F401  (they register their queries)
+from curatrix.plans import data, intake, rows, rules, selection, texts, trace  # noqa: F401  (they register their queries)
 from curatrix.plans.base import ORACLES, QUERIES
 
 
