@@ -147,11 +147,11 @@ def acceptance_issues(t: Tables) -> DataFrame:
     return expected.join(found, "id", "full").select("id", F.array_join(issues, ",").alias("issues"))
 
 
-@query("WITH k AS (SELECT p_partkey, sha256(concat_ws('|', p_brand, p_size)) AS key, p_retailprice FROM part), c AS (SELECT key, min(p_partkey) AS manifest FROM k WHERE p_retailprice >  GROUP BY key) SELECT p_partkey AS request, k.key AS key, manifest, manifest IS NOT NULL AS hit FROM k LEFT JOIN c USING (key)")
+@query("WITH k AS (SELECT p_partkey, sha256(concat_ws('|', p_brand, p_size)) AS key, p_retailprice FROM part), c AS (SELECT key, min(p_partkey) AS manifest FROM k WHERE p_retailprice > 980 GROUP BY key) SELECT p_partkey AS request, k.key AS key, manifest, manifest IS NOT NULL AS hit FROM k LEFT JOIN c USING (key)")
 def cache_lookup(t: Tables) -> DataFrame:
     """Requests joined with a cache by the digest of what describes them."""
     keyed = t.part.select("p_partkey", "p_retailprice", F.sha2(F.concat_ws("|", "p_brand", F.col("p_size").cast("string")), 256).alias("key"))
-    cache = keyed.where("p_retailprice > ").groupBy("key").agg(F.min("p_partkey").alias("manifest"))
+    cache = keyed.where("p_retailprice > 980").groupBy("key").agg(F.min("p_partkey").alias("manifest"))
     return keyed.join(cache, "key", "left").select(F.col("p_partkey").alias("request"), "key", "manifest", F.col("manifest").isNotNull().alias("hit"))
 
 
