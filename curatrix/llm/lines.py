@@ -35,6 +35,8 @@ SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
 WILD = "<*>"
 #: Flags that prefilter leaves.
 SLOTS = 1 << 20
+#: Tasks that the lines of one template are dealt over when the recurring ones are picked.
+SALTS = 16
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -177,7 +179,10 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     docs = named.select("template", "row").distinct().groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     rests = named.select("template", "rest").distinct().groupBy("template").agg(F.count("*").alias("rests"))
     recurring = docs.join(rests, "template").where("2 * rests >= docs").select("template")
-    return named.join(recurring, "template", "left_semi").select("row", "line")
+    # A template may hold a large share of all lines: its rows are dealt over SALTS tasks.
+    salted = recurring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lines = named.select("row", "line", "template", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"))
+    return lines.join(salted, ["template", "salt"], "left_semi").select("row", "line")
 
 
 def drop_lines(text: str, lines: set[int]) -> tuple[str, int, int]:
