@@ -310,3 +310,42 @@ def archive_message(row: Column, role: str) -> Column:
     said = F.filter(F.coalesce(v["messages"], F.array().cast("array<struct<role:string,content:string>>")), lambda m: m["role"] == role)
     older = {"system": ("system", "metadata.system"), "user": ("question", "user_prompt"), "assistant": ("assistant", "code", "output")}[role]
     return F.when(F.size(said) > 0, text(F.try_element_at(said, F.lit(1))["content"])).otherwise(F.coalesce(*[F.get_json_object(row, f"$.{p}") for p in older], F.lit("")))
+
+
+# Required fields of an archive row's metadata, and their types.
+REQUIRED = {
+    "dataset_version": "STRING", "sample_key": "STRING", "question_hash": "STRING", "track": "STRING", "dialect": "STRING", "language": "STRING", "system_mode": "STRING", "user_mode": "STRING", "release_tier": "STRING",
+    "source_line": "BIGINT", "candidate": "BIGINT", "repairs": "BIGINT", "generation": "OBJECT", "generation.system": "STRING", "generation.user": "STRING", "generation.prompt_variant": "OBJECT",
+    "cot": "OBJECT", "cot.source": "STRING", "cot.policy": "STRING", "cot.chars": "BIGINT", "provenance": "OBJECT", "provenance.model": "STRING", "provenance.provider": "STRING", "provenance.prompt_packs": "OBJECT", "provenance.run_id": "STRING", "provenance.created_at": "STRING",
+}
+REQUIRED_KERNEL = {
+    "selected_code_sha256": "STRING", "refval": "OBJECT", "critic": "OBJECT", "critic.status": "STRING", "judge": "OBJECT",
+    "candidate_pool": "OBJECT", "candidate_pool.count": "BIGINT", "candidate_pool.selected_candidate": "BIGINT", "candidate_pool.eligible_count": "BIGINT", "candidate_pool.reports": "ARRAY",
+}
+
+
+def missing_fields(metadata: Column, required: dict[str, str]) -> Column:
+    """Paths that are absent or of another type; a boolean is no integer."""
+    v = F.try_parse_json(metadata)
+    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant")), F.lit("VOID"))
+    return reasons(*[(~kind(path).startswith(name), path) for path, name in required.items()])
+
+
+def may_synthesize(mode: Column, on_empty: Column) -> Column:
+    m = F.lower(F.trim(F.when(text(mode) == "", "raw").otherwise(mode)))
+    return (m == "synthetic") | ((m == "raw") & (text(on_empty) == "synthetic"))
+
+
+def raw_outcome(error: Column, issues: Column, structured: Column, needed: Column) -> Column:
+    """(source, error) when a teacher's own reasoning stands in for an edited one."""
+    say = lambda why: F.regexp_replace(F.concat(text(error), F.lit(f"; {why}")), r"^[; ]+", "")
+    return F.when(needed & ~structured, F.struct(F.lit("empty").alias("source"), say("raw reasoning unstructured").alias("error"))).when(issues > 0, F.struct(F.lit("empty").alias("source"), say("raw reasoning inconsistent").alias("error"))).otherwise(F.struct(F.lit("raw").alias("source"), text(error).alias("error")))
+
+
+COMPONENTS = ("generate", "compile", "repair", "refval", "critic", "cot")
+
+
+def component_status(kind: Column, requested: Column) -> Column:
+    """The first state of each component of a run, in their order."""
+    own = lambda name: F.lit(True) if name in ("generate", "critic", "cot") else kind == "kernel"
+    return F.array(*[F.when(~F.array_contains(requested, name), "not_requested").when(own(name), "pending").otherwise("not_applicable") for name in COMPONENTS])

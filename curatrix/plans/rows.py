@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curatrix.functions.names import track
 from curatrix.functions.text import operation_family
 from curatrix.operators import rules as R
 from curatrix.plans.adapters import TENSORS_SQL, TRACE_SQL, tensors, trace
@@ -179,3 +182,63 @@ def kernel_row(t: Tables) -> DataFrame:
     quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
     key = F.concat(F.lit('{"code": '), quoted("a"), F.lit(', "dialect": "cuda", "id": '), F.col("conv_id").cast("string"), F.lit(', "question": '), quoted("u"), F.lit("}"))
     return pairs(t).where(USABLE).select(F.col("conv_id").alias("id"), F.when(F.trim(F.coalesce("s", F.lit(""))) == "", 2).otherwise(3).alias("n_messages"), F.sha2(key, 256).alias("sample_key"), F.sha2("a", 256).alias("code_sha256"))
+
+
+COMPLETE = {
+    "dataset_version": "v", "sample_key": "k", "question_hash": "h", "track": "t", "dialect": "d", "language": "l", "system_mode": "s", "user_mode": "u", "release_tier": "r", "source_line": 1, "candidate": 1, "repairs": 0,
+    "generation": {"system": "s", "user": "u", "prompt_variant": {}}, "cot": {"source": "raw", "policy": "p", "chars": 3}, "provenance": {"model": "m", "provider": "p", "prompt_packs": {}, "run_id": "r", "created_at": "c"},
+    "selected_code_sha256": "x", "refval": {}, "critic": {"status": "verified"}, "judge": {}, "candidate_pool": {"count": 1, "selected_candidate": 1, "eligible_count": 1, "reports": []},
+}
+
+
+@by_hand(
+    ("missing", "n_kernel"),
+    [
+        ((json.dumps(COMPLETE),), ("", 0)), ((json.dumps(COMPLETE | {"source_line": True, "track": None}),), ("track,source_line", 0)), ((json.dumps(COMPLETE | {"cot": {"source": 1, "policy": "p", "chars": 3.5}, "critic": {}}),), ("cot.source,cot.chars", 1)),
+        (("no json",), (",".join(R.REQUIRED), len(R.REQUIRED_KERNEL))), ((None,), (",".join(R.REQUIRED), len(R.REQUIRED_KERNEL))), ((json.dumps(COMPLETE | {"candidate_pool": {"count": 1, "reports": {}}}),), ("", 3)),
+    ],
+)
+def required_fields(metadata):
+    """Metadata fields that a row lacks, and how many more a kernel's row lacks."""
+    return [F.array_join(R.missing_fields(metadata, R.REQUIRED), ","), F.size(R.missing_fields(metadata, R.REQUIRED_KERNEL))]
+
+
+@by_hand(
+    ("synthesize", "source", "error"),
+    [
+        (("raw", "synthetic", "e", 0, True, True), (True, "raw", "e")), (("", "empty", "", 0, False, True), (False, "empty", "raw reasoning unstructured")), ((" Synthetic ", "", "e", 1, True, True), (True, "empty", "e; raw reasoning inconsistent")),
+        (("off", "synthetic", None, 2, False, False), (False, "empty", "raw reasoning inconsistent")), ((None, None, None, 0, False, False), (False, "raw", "")),
+    ],
+)
+def reasoning_fallback(mode, on_empty, error, issues, structured, needed):
+    """Whether a reasoning may be made up, and what the teacher's own is good for."""
+    out = R.raw_outcome(error, issues, structured, needed)
+    return [R.may_synthesize(mode, on_empty), out["source"], out["error"]]
+
+
+@by_hand(
+    ("states",),
+    [
+        (("kernel", "compile,cot"), ("not_requested,pending,not_requested,not_requested,not_requested,pending",)), (("knowledge", "generate,compile"), ("pending,not_applicable,not_requested,not_requested,not_requested,not_requested",)),
+        (("kernel", ""), ("not_requested,not_requested,not_requested,not_requested,not_requested,not_requested",)),
+    ],
+)
+def component_matrix(kind, requested):
+    """The first state of every component of a run."""
+    return [F.array_join(R.component_status(kind, F.split(requested, ",")), ",")]
+
+
+@query(f"""WITH {PAIRS_SQL} SELECT conv_id AS id, 'knowledge:general' AS track, sha256(a) AS answer_sha256, sha256('{{"code": ' || CAST(to_json(a) AS VARCHAR) || ', "dialect": "knowledge:general", "id": ' || conv_id || ', "question": ' || CAST(to_json(u) AS VARCHAR) || '}}') AS sample_key FROM pairs WHERE {USABLE}""")
+def knowledge_row(t: Tables) -> DataFrame:
+    """An answer's archive row, with the digest that its review is bound to."""
+    quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
+    name = track(F.lit("general"))
+    key = F.concat(F.lit('{"code": '), quoted("a"), F.lit(', "dialect": "'), name, F.lit('", "id": '), F.col("conv_id").cast("string"), F.lit(', "question": '), quoted("u"), F.lit("}"))
+    return pairs(t).where(USABLE).select(F.col("conv_id").alias("id"), name.alias("track"), F.sha2("a", 256).alias("answer_sha256"), F.sha2(key, 256).alias("sample_key"))
+
+
+@query("SELECT o_orderpriority AS dialect, o_orderstatus AS status, count(*) AS n, count(l.k) AS sampled, sum(l.n) AS candidates FROM orders LEFT JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY ALL) l ON k = o_orderkey GROUP BY ALL")
+def phase_summary(t: Tables) -> DataFrame:
+    """Progress rows of a phase by dialect and status, with the samples behind them."""
+    pools = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("k"))
+    return t.orders.join(pools, "o_orderkey", "left").groupBy(F.col("o_orderpriority").alias("dialect"), F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.count("k").alias("sampled"), F.sum("k").alias("candidates"))
