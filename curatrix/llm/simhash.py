@@ -224,11 +224,3 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, size: int = SHINGL
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
-
-
-def keep_representatives(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
-    """One row of each component stays: that of the smallest doc_id; of its repeated rows
-    one, chosen by the row's hash. All columns are kept; rows without an id stay."""
-    classes = simhash_components(docs.where("doc_id is not null"), radius, size).where("doc_id = component_id").select("doc_id").distinct()
-    identified = docs.where("doc_id is not null").join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return identified.unionByName(docs.where("doc_id is null"))

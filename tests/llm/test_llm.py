@@ -321,3 +321,44 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in out.collect()} == {r[0] for r in rows} - {7}
+
+
+def shingles_of(text):
+    w = (text or "").lower().split()
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_copy_rows():
+    """Texts and copies with words replaced at even places, 0.7 to 0.97 similar; a shared opening."""
+    rng, rows = random.Random(12), []
+    opening = prose(30, rng)
+    for k in range(60):
+        words = (opening + " " + prose(rng.choice((12, 60, 150, 400)), rng) if k % 3 == 0 else prose(rng.choice((12, 60, 150, 400)), rng)).split()
+        rows.append((10 * k, " ".join(words)))
+        for j in range(1, 4):
+            changed, n = list(words), rng.randint(1, max(1, len(words) // 30))
+            for place in rng.sample(range(len(words)), n):
+                changed[place] = f"new{k}x{j}"
+            rows.append((10 * k + j, " ".join(changed)))
+    return rows
+
+
+def test_near_copies_of_similarity_08_go(spark, empty):
+    from curatrix.llm.near_copies import keep_representatives
+
+    rows = [*near_copy_rows(), (2000, ""), (2001, None), (2002, "three words only"), (2003, "Three  words only")]
+    sets = [shingles_of(t) for _, t in rows]
+    group = list(range(len(rows)))
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8]
+    assert sum(jaccard(sets[i], sets[j]) < 0.9 for i, j in near) > 30
+    for _ in range(8):
+        for i, j in near:
+            group[i] = group[j] = min(group[i], group[j])
+    docs = spark.createDataFrame([(d, t, 1, "c") for d, t in rows], DOCS)
+    kept = keep_representatives(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({rows[g][0] for g in group})
+    assert keep_representatives(empty).count() == 0
