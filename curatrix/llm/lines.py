@@ -6,11 +6,10 @@ tokens, or start one; places that differ become wild. Tokens with digits are wil
 start, so numbers, dates, addresses and ids never split a template. Lines are taken at a
 leaf in the order of their masked text, so templates don't depend on the order of rows.
 
-A template recurs if lines of at least ``min_docs`` documents have it and these documents
-differ elsewhere: the least line hash of the rest of the document, which whole copies
-share, must take at least half as many values as there are documents. Recurring lines are
-boilerplate and are dropped from every document; copies of whole documents are left to
-near-dedup, which keeps one.
+A template recurs if lines of at least ``min_docs`` documents that are no near copies of each
+other (``near_copies``: five-word shingles, similarity 0.8) have it beside other lines. Recurring lines are
+boilerplate and are dropped from every document; near copies of whole documents are left to
+near-dedup, which keeps one, and count as one here.
 
 Documents stay, even without lines. Defined results: null and empty texts, and blank lines,
 stay as they are; a document's repeated lines count once; repeated rows count as documents
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import documents, materialize, partitions_for
+from curatrix.llm.near_copies import near_copy_groups
 
 SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
 WILD = "<*>"
@@ -110,6 +110,12 @@ def _doc_lines(text: str, leading: int) -> dict[int, tuple[int, str]]:
     return out
 
 
+def _with_templates(named: DataFrame, templates: DataFrame) -> DataFrame:
+    """The rows of those templates; as one may hold a large share of all, dealt over SALTS tasks."""
+    salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return named.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["template", "salt"], "left_semi").drop("salt")
+
+
 def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: int = LEADING, min_docs: int = MIN_DOCS) -> DataFrame:
     """rows (row, text) -> (row, line) of every line to drop, line by the hash of its masked text."""
 
@@ -118,15 +124,15 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
             out: list[list] = [[], [], [], []]
             for row, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 lines = _doc_lines(text, leading)
-                low = sorted(lines)[:2]
-                for h, (leaf, _) in lines.items():
-                    rest = low[0] if low[0] != h else low[1] if len(low) > 1 else 0
-                    for column, value in zip(out, (row, h, rest, leaf), strict=True):
+                for h, (leaf, masked) in lines.items():
+                    # Lines that are all of their document have no surroundings.
+                    solid = -1 if len(lines) == 1 else sum(t != WILD for t in masked.split(" "))
+                    for column, value in zip(out, (row, h, solid, leaf), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["row", "line", "rest", "leaf"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 2 else pa.int64()) for i, c in enumerate(out)], names=["row", "line", "solid", "leaf"])
 
     rows = rows.select("row", "text")
-    occurrences = materialize(rows.mapInArrow(occurring, "row long, line long, rest long, leaf long"), "lines")
+    occurrences = materialize(rows.mapInArrow(occurring, "row long, line long, solid int, leaf long"), "lines")
     # Only leaves with several masked lines need their texts together. SLOTS flags, whatever
     # the size of the input, keep most other texts from being sent at all.
     shared = materialize(occurrences.groupBy("leaf").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low < high").select("leaf"), "leaves")
@@ -174,15 +180,15 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     together = texts.join(shared, "leaf", "left_semi").select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
     templates = together.repartition(parts, "leaf").sortWithinPartitions("leaf", "masked").mapInArrow(cluster, "line long, template long")
     templates = materialize(templates.where("template is not null"), "templates")
-    named = materialize(occurrences.drop("leaf").join(templates, "line", "left").select("row", "line", "rest", F.coalesce("template", "line").alias("template")), "named-lines")
-    # Documents and distinct surroundings of each template, both pre-aggregated.
-    docs = named.select("template", "row").distinct().groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    rests = named.select("template", "rest").distinct().groupBy("template").agg(F.count("*").alias("rests"))
-    recurring = docs.join(rests, "template").where("2 * rests >= docs").select("template")
-    # A template may hold a large share of all lines: its rows are dealt over SALTS tasks.
-    salted = recurring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    lines = named.select("row", "line", "template", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"))
-    return lines.join(salted, ["template", "salt"], "left_semi").select("row", "line")
+    named = materialize(occurrences.drop("leaf").join(templates, "line", "left").select("row", "line", "solid", F.coalesce("template", "line").alias("template")), "named-lines")
+    several = named.groupBy("template").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("template")
+    lines = materialize(_with_templates(named, several), "shared-lines")
+    # Surroundings: groups of near copies among the documents that have other lines too.
+    beside = lines.where("solid >= 0").join(near_copy_groups(rows).select("row", "group"), "row").groupBy("template", "group").agg(F.min("solid").alias("solid"))
+    counted = beside.groupBy("template").agg(F.count("*").alias("rests"), F.min("solid").alias("solid"))
+    docs = lines.groupBy("template").agg(F.countDistinct("row").alias("docs"))
+    recurring = counted.join(docs, "template").where((F.col("rests") >= min_docs) & (2 * F.col("rests") >= F.col("docs"))).select("template")
+    return _with_templates(lines, recurring).select("row", "line")
 
 
 def drop_lines(text: str, lines: set[int]) -> tuple[str, int, int]:

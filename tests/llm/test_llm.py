@@ -229,6 +229,34 @@ def test_line_dedup(spark, empty):
     assert dedup_lines(empty).count() == 0
 
 
+def words(n, rng):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+
+def test_line_dedup_of_passages_and_copies(spark):
+    from curatrix.llm.lines import dedup_lines
+
+    rng, rows, want = random.Random(21), [], {}
+
+    def add(text, kept):
+        want[len(rows)] = kept
+        rows.append((len(rows), text, 1, "c"))
+
+    for shared, own in ((2, 1), (3, 3), (8, 5), (5, 10)):  # passages of several lines
+        passage = "\n".join(words(8, rng) for _ in range(shared))
+        for _ in range(40):
+            body = "\n".join(words(12 * shared // own + 4, rng) for _ in range(own))
+            add(f"{passage}\n{body}", body)
+    base = words(300, rng).split()  # near copies and whole copies stay
+    for k in range(30):
+        base[10 * k] = f"changed{k}"
+        if k < 6:
+            text = " ".join(base[:150]) + "\n" + " ".join(base[150:])
+            add(text, text)
+    out = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out == want
+
+
 def test_templates_generalise():
     from curatrix.llm.lines import cluster_leaf
 
