@@ -186,8 +186,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     # Surroundings: groups of near copies among the documents that have other lines too.
     beside = lines.where("solid >= 0").join(near_copy_groups(rows).select("row", "group"), "row").groupBy("template", "group").agg(F.min("solid").alias("solid"))
     counted = beside.groupBy("template").agg(F.count("*").alias("rests"), F.min("solid").alias("solid"))
-    docs = lines.groupBy("template").agg(F.countDistinct("row").alias("docs"))
-    recurring = counted.join(docs, "template").where((F.col("rests") >= min_docs) & (2 * F.col("rests") >= F.col("docs"))).select("template")
+    recurring = counted.where(F.col("rests") >= min_docs).select("template")
     return _with_templates(lines, recurring).select("row", "line")
 
 

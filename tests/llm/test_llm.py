@@ -247,6 +247,9 @@ def test_line_dedup_of_passages_and_copies(spark):
         for _ in range(40):
             body = "\n".join(words(12 * shared // own + 4, rng) for _ in range(own))
             add(f"{passage}\n{body}", body)
+    hot = words(8, rng)  # in unlike documents and in one large group of copies
+    for body in [words(30, rng) for _ in range(10)] + [words(30, rng)] * 60:
+        add(f"{hot}\n{body}", body)
     base = words(300, rng).split()  # near copies and whole copies stay
     for k in range(30):
         base[10 * k] = f"changed{k}"
