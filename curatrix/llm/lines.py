@@ -7,7 +7,8 @@ start, so numbers, dates, addresses and ids never split a template. Lines are ta
 leaf in the order of their masked text, so templates don't depend on the order of rows.
 
 A template recurs if lines of at least ``min_docs`` documents that are no near copies of each
-other (``near_copies``: five-word shingles, similarity 0.8) have it beside other lines. Recurring lines are
+other (``near_copies``: five-word shingles, similarity 0.8) have it beside other lines; one of
+``LONG`` tokens without digits or more if lines of two such documents do. Recurring lines are
 boilerplate and are dropped from every document; near copies of whole documents are left to
 near-dedup, which keeps one, and count as one here.
 
@@ -32,6 +33,8 @@ from curatrix.llm.common import documents, materialize, partitions_for
 from curatrix.llm.near_copies import near_copy_groups
 
 SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
+#: Chance does not repeat lines of so many tokens: two documents are enough.
+LONG, MIN_LONG = 20, 2
 WILD = "<*>"
 #: Flags that prefilter leaves.
 SLOTS = 1 << 20
@@ -186,7 +189,8 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     # Surroundings: groups of near copies among the documents that have other lines too.
     beside = lines.where("solid >= 0").join(near_copy_groups(rows).select("row", "group"), "row").groupBy("template", "group").agg(F.min("solid").alias("solid"))
     counted = beside.groupBy("template").agg(F.count("*").alias("rests"), F.min("solid").alias("solid"))
-    recurring = counted.where(F.col("rests") >= min_docs).select("template")
+    enough = F.when(F.col("solid") >= LONG, F.least(F.lit(MIN_LONG), F.lit(min_docs))).otherwise(F.lit(min_docs))
+    recurring = counted.where(F.col("rests") >= enough).select("template")
     return _with_templates(lines, recurring).select("row", "line")
 
 

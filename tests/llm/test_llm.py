@@ -233,7 +233,7 @@ def words(n, rng):
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
 
 
-def test_line_dedup_of_passages_and_copies(spark):
+def test_line_dedup_of_passages_copies_and_long_lines(spark):
     from curatrix.llm.lines import dedup_lines
 
     rng, rows, want = random.Random(21), [], {}
@@ -250,6 +250,10 @@ def test_line_dedup_of_passages_and_copies(spark):
     hot = words(8, rng)  # in unlike documents and in one large group of copies
     for body in [words(30, rng) for _ in range(10)] + [words(30, rng)] * 60:
         add(f"{hot}\n{body}", body)
+    long, short = words(55, rng), words(9, rng)  # in two unlike documents
+    for line in (long, short):
+        for body in (words(60, rng), words(60, rng)):
+            add(f"{line}\n{body}", body if line == long else f"{line}\n{body}")
     base = words(300, rng).split()  # near copies and whole copies stay
     for k in range(30):
         base[10 * k] = f"changed{k}"
