@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -37,15 +38,15 @@ def fold_column(doc_id: Column, n: int) -> Column:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; only without one (tests) a local folder is set."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    made = spark.sparkContext.getCheckpointDir()
-    if not made:
+    """The shared folder the cluster names. Without one only a local master (tests) gets a
+    folder of this machine, as other machines' executors could not read it."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curatrix-"))
-        made = spark.sparkContext.getCheckpointDir()
-    return made.rstrip("/")
+        path = spark.sparkContext.getCheckpointDir()
+    return path.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -56,6 +57,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Operators below which a scan's rows keep their places from one pass to the next.
+_NARROW = ("Relation", "Project", "Filter")
+#: Rows of ids up to which a join broadcasts them: under 32 MB.
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def numbered(df: DataFrame, name: str = "row") -> DataFrame:
+    """df with a number for each row that is the same in every pass. Places in a plain scan
+    of files serve as they are; any other plan is written first."""
+    nodes = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    plain = all(re.sub(r"^[\W\d]*", "", n).startswith(_NARROW) for n in nodes if n.strip()) and "rand" not in "".join(nodes).lower()
+    return (df if plain else materialize(df, "numbered")).withColumn(name, F.monotonically_increasing_id())
+
+
+def without_rows(df: DataFrame, gone: DataFrame, key: str = "row") -> DataFrame:
+    """df without the rows whose key is in gone (materialised ids), which is broadcast while it is small."""
+    small = gone.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    return df.join(F.broadcast(gone) if small else gone, key, "left_anti").drop(key)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Stored bytes of the files that df scans, by the optimizer's statistics; no job is
     run. Sources of unknown size (local rows) count as nothing."""

@@ -12,13 +12,18 @@ other (``near_copies``: five-word shingles, similarity 0.8) have it beside other
 boilerplate and are dropped from every document; near copies of whole documents are left to
 near-dedup, which keeps one, and count as one here.
 
+Groups of near copies are formed among the different texts that hold candidate lines.
+
 Documents stay, even without lines. Defined results: null and empty texts, and blank lines,
-stay as they are; a document's repeated lines count once; repeated rows count as documents
-of their own; an empty table gives no rows; other columns are kept as they are.
+stay as they are; a document's repeated lines count once; repeated rows get equal results
+and count as one document; texts and lines of any length are read whole; ties (lines that
+two templates fit) go to the template that came first in the order of masked texts; an empty
+table gives no rows; other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -29,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import documents, materialize, partitions_for
+from curatrix.llm.common import documents, materialize, numbered, partitions_for
 from curatrix.llm.near_copies import near_copy_groups
 
 SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
@@ -63,28 +68,54 @@ def leaf_of(tokens: list[str], leading: int = LEADING) -> int:
 
 
 class Leaf:
-    """Templates of one leaf; tokens as rows of 64-bit codes, 0 for wild."""
+    """Templates of one leaf; tokens as rows of 64-bit codes, 0 for wild.
+
+    A template that a line joins differs from it in few places. So of any few places more,
+    one agrees, and the templates that agree at the line's rarest such places are enough to
+    look at; they are found by place and code."""
 
     def __init__(self, width: int, similarity: float) -> None:
         self.width, self.similarity = width, similarity
+        self.probes = width - math.ceil(similarity * width) + 1
         self.templates = np.zeros((8, width), np.uint64)
+        self.by_code: dict[tuple[int, int], list[int]] = {}
+        self.wild: list[list[int]] = [[] for _ in range(width)]
         self.n = 0
 
+    def _near(self, codes: np.ndarray) -> np.ndarray:
+        """Templates that may agree, ascending."""
+        if self.n <= 64:
+            return np.arange(self.n)
+        solid = [(j, int(c)) for j, c in enumerate(codes.tolist()) if c]
+        if len(solid) < self.probes:
+            return np.arange(self.n)
+        sized = sorted((len(self.by_code.get(k, ())) + len(self.wild[k[0]]), k) for k in solid)[: self.probes]
+        found = {t for _, k in sized for t in (*self.by_code.get(k, ()), *self.wild[k[0]])}
+        return np.array(sorted(found), np.int64)
+
     def add(self, codes: np.ndarray) -> int:
-        """The index of the template that the line joins."""
-        if self.n:
-            known = self.templates[: self.n]
-            same = (known == codes) | (known == 0) | (codes == 0)
+        """The index of the template that the line joins, the first that agrees."""
+        near = self._near(codes)
+        if len(near):
+            known = self.templates[near]
+            agree = ((known == codes) | (known == 0) | (codes == 0)).sum(1)
             exact = ((known == codes) & (codes != 0)).sum(1)
-            agree = same.sum(1)
             fit = np.flatnonzero((agree >= self.similarity * self.width) & ((exact > 0) | (agree == self.width)))
             if len(fit):
-                k = int(fit[0])
-                known[k][known[k] != codes] = 0
+                k = int(near[fit[0]])
+                for j in np.flatnonzero((self.templates[k] != codes) & (self.templates[k] != 0)).tolist():
+                    self.by_code[j, int(self.templates[k, j])].remove(k)
+                    self.wild[j].append(k)
+                    self.templates[k, j] = 0
                 return k
         if self.n == len(self.templates):
             self.templates = np.concatenate([self.templates, np.zeros_like(self.templates)])
         self.templates[self.n] = codes
+        for j, c in enumerate(codes.tolist()):
+            if c:
+                self.by_code.setdefault((j, c), []).append(self.n)
+            else:
+                self.wild[j].append(self.n)
         self.n += 1
         return self.n - 1
 
@@ -124,18 +155,19 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
 
     def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for row, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 lines = _doc_lines(text, leading)
+                whole = line_hash(text)
                 for h, (leaf, masked) in lines.items():
                     # Lines that are all of their document have no surroundings.
                     solid = -1 if len(lines) == 1 else sum(t != WILD for t in masked.split(" "))
-                    for column, value in zip(out, (row, h, solid, leaf), strict=True):
+                    for column, value in zip(out, (row, h, solid, leaf, whole), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 2 else pa.int64()) for i, c in enumerate(out)], names=["row", "line", "solid", "leaf"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 2 else pa.int64()) for i, c in enumerate(out)], names=["row", "line", "solid", "leaf", "whole"])
 
     rows = rows.select("row", "text")
-    occurrences = materialize(rows.mapInArrow(occurring, "row long, line long, solid int, leaf long"), "lines")
+    occurrences = materialize(rows.mapInArrow(occurring, "row long, line long, solid int, leaf long, whole long"), "lines")
     # Only leaves with several masked lines need their texts together. SLOTS flags, whatever
     # the size of the input, keep most other texts from being sent at all.
     shared = materialize(occurrences.groupBy("leaf").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low < high").select("leaf"), "leaves")
@@ -183,14 +215,21 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     together = texts.join(shared, "leaf", "left_semi").select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
     templates = together.repartition(parts, "leaf").sortWithinPartitions("leaf", "masked").mapInArrow(cluster, "line long, template long")
     templates = materialize(templates.where("template is not null"), "templates")
-    named = materialize(occurrences.drop("leaf").join(templates, "line", "left").select("row", "line", "solid", F.coalesce("template", "line").alias("template")), "named-lines")
-    several = named.groupBy("template").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("template")
-    lines = materialize(_with_templates(named, several), "shared-lines")
-    # Surroundings: groups of near copies among the documents that have other lines too.
-    beside = lines.where("solid >= 0").join(near_copy_groups(rows).select("row", "group"), "row").groupBy("template", "group").agg(F.min("solid").alias("solid"))
-    counted = beside.groupBy("template").agg(F.count("*").alias("rests"), F.min("solid").alias("solid"))
-    enough = F.when(F.col("solid") >= LONG, F.least(F.lit(MIN_LONG), F.lit(min_docs))).otherwise(F.lit(min_docs))
-    recurring = counted.where(F.col("rests") >= enough).select("template")
+    named = materialize(occurrences.drop("leaf").join(templates, "line", "left").select("row", "line", "solid", "whole", F.coalesce("template", "line").alias("template")), "named-lines")
+
+    def recur(beside: DataFrame, group: str) -> DataFrame:
+        """Templates that enough different values of ``group`` hold beside other lines."""
+        once = beside.where("solid >= 0").groupBy("template", group).agg(F.min("solid").alias("solid"))
+        counted = once.groupBy("template").agg(F.count("*").alias("rests"), F.min("solid").alias("solid"))
+        enough = F.when(F.col("solid") >= LONG, F.least(F.lit(MIN_LONG), F.lit(min_docs))).otherwise(F.lit(min_docs))
+        return counted.where(F.col("rests") >= enough).select("template")
+
+    # Equal texts are near copies: what recurs in too few different texts needs no closer look.
+    lines = materialize(_with_templates(named, recur(named, "whole")), "shared-lines")
+    # Surroundings: groups of near copies among the documents that hold such lines.
+    holders = materialize(rows.join(materialize(lines.where("solid >= 0").groupBy("whole").agg(F.min("row").alias("row")), "holders").select("row"), "row", "left_semi"), "holder-texts")
+    groups = near_copy_groups(holders).join(lines.select("row", "whole").distinct(), "row").select("whole", "group")
+    recurring = recur(lines.join(groups, "whole"), "group")
     return _with_templates(lines, recurring).select("row", "line")
 
 
@@ -207,9 +246,8 @@ def drop_lines(text: str, lines: set[int]) -> tuple[str, int, int]:
 def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """All columns of docs with recurring lines dropped from the text, and the struct
     ``__lines`` (n_lines, n_dropped)."""
-    # Places in the scan number the rows; equal in each pass over the same files.
-    numbered = docs.select(F.struct("*").alias("__doc"), F.monotonically_increasing_id().alias("row"))
-    drop = recurring_lines(numbered.select("row", F.coalesce(F.col("__doc")[text_col], F.lit("")).alias("text")), **options)
+    rows = numbered(docs.select(F.struct("*").alias("__doc")))
+    drop = recurring_lines(rows.select("row", F.coalesce(F.col("__doc")[text_col], F.lit("")).alias("text")), **options)
     lists = drop.groupBy("row").agg(F.collect_set("line").alias("lines"))
 
     @F.pandas_udf("text string, n_dropped int, n_lines int")
@@ -217,7 +255,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame
         out = [(t, 0, t.count("\n") + 1) if t is None or h is None or not len(h) else drop_lines(t, {int(x) for x in h}) for t, h in zip(texts.fillna(""), lines, strict=True)]
         return pd.DataFrame(out, columns=["text", "n_dropped", "n_lines"])
 
-    joined = numbered.join(lists, "row", "left")
+    joined = rows.join(lists, "row", "left")
     done = joined.select("__doc", rebuilt(F.col("__doc")[text_col], F.col("lines")).alias("r"))
     text = F.when(F.col("__doc")[text_col].isNull(), F.lit(None)).otherwise(F.col("r.text")).alias(text_col)
     return done.select(*[text if c == text_col else F.col("__doc")[c].alias(c) for c in docs.columns], F.struct("r.n_lines", "r.n_dropped").alias("__lines"))

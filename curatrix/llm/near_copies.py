@@ -1,18 +1,25 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-At 0.8 fingerprints of 64 bits differ in about 10 places, which blocks can't route: 13 bits
-need hundreds of tables. So sets meet by their shingles. In the order of their hashes, two
-sets that similar share one of the first n - ceil(0.8 n) + 1 of each (prefix filter; nothing
-is lost). Of the sets that meet, those go together whose sizes allow 0.8 and whose sketches
-agree in half of their 64 bins or more: at 0.8, sets of up to about 110 shingles always do
-and larger ones miss it once in 10^8. Groups so linked are gathered, and within a group the
-exact similarity is taken of all pairs that are not joined already.
+At 0.8 fingerprints of 64 bits differ in about 10 places and, to lose one pair in a million,
+up to 24 must be allowed, where a BK-tree visits nearly every node. So sets meet by their
+shingles first, in one order of all shingles: frequent ones last, then by hash.
 
-Equal sets are collapsed first. Sketches and groups join each member to one other, so n
-copies leave n links and not n^2. A group is gathered in one task.
+- Sets of up to ``SMALL`` shingles meet by one of the first n - ceil(0.8 n) + 1 of each
+  (prefix filter; nothing is lost).
+- Larger sets meet by the first shingle of each of ``BANDS`` parts of the hash space; a pair
+  at 0.8 differs in all of them once in 10^11.
+
+Sets that meet are linked if their sizes allow 0.8, their SimHash fingerprints differ in
+``RADIUS`` bits or fewer and their sketches agree in half of their 64 bins or more. Groups
+so linked are gathered, and within a group the exact similarity is taken of all pairs that
+are not joined already.
+
+Equal sets are collapsed first. Shards and groups join each member to one other, so n copies
+leave n links and not n^2. A group of different near copies is gathered in one task.
 
 Defined results: words and case are those of ``shingle_hashes``; texts of fewer words than a
-shingle are one shingle; null and empty texts are copies of each other.
+shingle are one shingle; null and empty texts are copies of each other; texts of any length
+are compared whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,18 +32,55 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import materialize, partitions_for
+from curatrix.llm.common import materialize, numbered, partitions_for, without_rows
 from curatrix.llm.components import components
-from curatrix.llm.simhash import shingle_hashes
 
 #: Similarity as a fraction, and words of a shingle.
 NEAR, WORDS = (4, 5), 5
-BINS = 64
+BINS, BANDS, SMALL, RADIUS = 64, 16, 80, 24
+#: Sets of so few shingles are compared without fingerprints, whose bits are coarse there.
+FEW = 16
+#: Shingles that a task meets in LOCAL of CHUNK texts count as frequent; the FREQUENT most
+#: frequent go last. Which ones do decides the order of meeting, never the result.
+CHUNK, LOCAL, FREQUENT = 2048, 8, 1 << 17
+#: Words whose hashes a task remembers.
+KNOWN_WORDS = 1 << 18
 _EDGES = (np.arange(BINS + 1, dtype=np.float64) * 2.0**58)[:BINS].astype(np.uint64)
-
-
-def shingle_set(text: str) -> np.ndarray:
-    return np.unique(shingle_hashes(text, WORDS))
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+
+
+class Shingler:
+    """Sorted distinct hashes of five-word shingles; word hashes are remembered."""
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+
+    def __call__(self, text: str) -> np.ndarray:
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        known = self.known
+        codes = [known.get(w) for w in words]
+        if None in codes:
+            digest = xxhash.xxh64_intdigest
+            for i, code in enumerate(codes):
+                if code is None:
+                    codes[i] = h = digest(words[i])
+                    if len(known) < KNOWN_WORDS:
+                        known[words[i]] = h
+        return np.unique(roll(np.array(codes, np.uint64)))
+
+
+def roll(codes: np.ndarray) -> np.ndarray:
+    """A hash of each run of WORDS codes; fewer codes are one run."""
+    n = len(codes)
+    if not n:
+        return codes
+    count = max(1, n - WORDS + 1)
+    h = np.full(count, min(n, WORDS), np.uint64)
+    for j in range(min(n, WORDS)):
+        h = (h ^ codes[j : j + count]) * _MIX[0]
+        h ^= h >> np.uint64(29)
+    h *= _MIX[1]
+    return h ^ (h >> np.uint64(32))
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -57,9 +101,42 @@ def sketch(hashes: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _alike(n: np.ndarray, sketches: np.ndarray, n0: int, sketch0: np.ndarray) -> np.ndarray:
-    sized = (NEAR[0] * np.maximum(n, n0) <= NEAR[1] * np.minimum(n, n0))
-    return sized & (2 * ((sketches == sketch0) & (sketch0 != 0)).sum(-1) >= ((sketches | sketch0) != 0).sum(-1))
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of the set: the bits that over half of its hashes have."""
+    counts = np.zeros(64, np.int64)
+    for part in range(0, len(hashes), 65536):
+        chunk = hashes[part : part + 65536]
+        counts += np.unpackbits(chunk.view(np.uint8).reshape(len(chunk), 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits((2 * counts > len(hashes)).astype(np.uint8), bitorder="little").view(np.int64)[0])
+
+
+def meeting_places(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Where a set meets others: prefix shingles of small sets, first shingles of the bands of
+    others; sizes between meet both ways. frequent: sorted hashes that go last."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        late = frequent[at] == hashes
+        ordered = np.concatenate([hashes[~late], hashes[late]])
+    else:
+        ordered = hashes
+    out = [ordered[: prefix_size(n)]] if n <= SMALL else []
+    if NEAR[1] * n > NEAR[0] * SMALL:
+        # Bands are cut by bits that the order does not depend on.
+        _, first = np.unique((ordered * _MIX[2]) >> np.uint64(60), return_index=True)
+        out.append(ordered[first] ^ _MIX[1])
+    return np.concatenate(out)
+
+
+def _alike(n: np.ndarray, fps: np.ndarray, sketches: np.ndarray, n0: int, fp0: int, sketch0: np.ndarray) -> np.ndarray:
+    ok = (NEAR[0] * np.maximum(n, n0) <= NEAR[1] * np.minimum(n, n0)) & ((np.bitwise_count(fps ^ fp0) <= RADIUS) | (n <= FEW))
+    at = np.flatnonzero(ok)
+    if len(at):
+        own, other = sketches[at], sketch0 if sketch0.ndim == 1 else sketch0[at]
+        ok[at] = 2 * ((own == other) & (other != 0)).sum(-1) >= ((own | other) != 0).sum(-1)
+    return ok
 
 
 def reached(count: int, alike) -> np.ndarray:
@@ -85,9 +162,12 @@ def exact_groups(sets: list[np.ndarray]) -> np.ndarray:
     values, owner = values[order], owner[order]
 
     def alike(i: int, open_: np.ndarray) -> np.ndarray:
-        lo, hi = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
-        n = hi - lo
-        common = np.bincount(owner[np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())], minlength=len(sets))[open_]
+        if len(open_) * 8 < len(sets):  # few are left: one by one
+            common = np.array([len(np.intersect1d(sets[i], sets[k], assume_unique=True)) for k in open_])
+        else:
+            lo, hi = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+            n = hi - lo
+            common = np.bincount(owner[np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())], minlength=len(sets))[open_]
         return NEAR[1] * common >= NEAR[0] * (sizes[open_] + sizes[i] - common)
 
     return reached(len(sets), alike)
@@ -116,45 +196,64 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
 
 
-def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingle_set(t) for t in batch[1].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch[0], pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.binary())], names=["row", "key", "n", "sketch"])
+def _texts(batch: pa.RecordBatch, column: int = 0) -> Iterator[list[str]]:
+    for a in range(0, batch.num_rows, 256):
+        yield batch.column(column).slice(a, 256).to_pylist()
+
 
+def locally_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, n) of those that LOCAL of CHUNK texts, all different, hold."""
+    shingles, held, seen = Shingler(), [], set()
+
+    def flush():
+        values, n = np.unique(np.concatenate(held), return_counts=True)
+        often = n >= LOCAL
+        return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
 
-def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = {set_key(s): s for s in map(shingle_set, batch[0].to_pylist())}
-        heads = [s[: prefix_size(len(s))] for s in sets.values()]
-        shingles = np.concatenate([np.empty(0, np.uint64), *heads]).view(np.int64)
-        keys = np.repeat(np.array(list(sets), np.int64), [len(h) for h in heads])
-        for a in range(0, len(keys), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(shingles[a : a + (1 << 18)]), pa.array(keys[a : a + (1 << 18)])], names=["shingle", "key"])
+        for texts in _texts(batch):
+            for s in map(shingles, texts):
+                if (key := set_key(s)) not in seen:
+                    seen.add(key)
+                    held.append(s)
+            if len(held) >= CHUNK:
+                yield flush()
+                held, seen = [], set()
+    if held:
+        yield flush()
+
+
+def frequent_shingles(rows: DataFrame) -> np.ndarray:
+    """Sorted; FREQUENT at most."""
+    counted = rows.select("text").mapInArrow(locally_frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toArrow()
+    return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
 def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, key), sorted: those of shingles with several keys, once each."""
+    """Rows (place, key), sorted: those of places with several keys, once each."""
     for table in _by_runs(batches):
-        shingle, key = (table.column(i).to_numpy() for i in (0, 1))
-        new = np.r_[True, (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1])]
-        shingle, key = shingle[new], key[new]
-        many = np.repeat(np.diff(b := _runs(shingle)) > 1, np.diff(b))
-        yield pa.RecordBatch.from_arrays([pa.array(shingle[many]), pa.array(key[many])], names=["shingle", "key"])
+        place, key = (table.column(i).to_numpy() for i in (0, 1))
+        new = np.r_[True, (place[1:] != place[:-1]) | (key[1:] != key[:-1])]
+        place, key = place[new], key[new]
+        many = np.repeat(np.diff(b := _runs(place)) > 1, np.diff(b))
+        yield pa.RecordBatch.from_arrays([pa.array(place[many]), pa.array(key[many])], names=["place", "key"])
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, key, n, sketch), by shingle -> links between keys of a shingle."""
+    """Rows (place, key, n, fp, sketch), by place -> links between keys of a place."""
     for table in _by_runs(batches):
-        shingle, key, n = (table.column(i).to_numpy() for i in range(3))
-        sketches = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint8).reshape(-1, BINS)
-        bounds = _runs(shingle)
+        place, key, n, fp = (table.column(i).to_numpy() for i in range(4))
+        fp = fp.view(np.uint64)
+        sketches = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint8).reshape(-1, BINS)
+        bounds = _runs(place)
         two = bounds[:-1][np.diff(bounds) == 2]
-        two = two[_alike(n[two], sketches[two], n[two + 1], sketches[two + 1])]
+        two = two[_alike(n[two], fp[two], sketches[two], n[two + 1], fp[two + 1], sketches[two + 1])]
         a, b = [key[two]], [key[two + 1]]
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             if hi - lo > 2:
-                sizes, own = n[lo:hi], sketches[lo:hi]
-                label = reached(hi - lo, lambda i, open_, sizes=sizes, own=own: _alike(sizes[open_], own[open_], sizes[i], own[i]))
+                sizes, prints, own = n[lo:hi], fp[lo:hi], sketches[lo:hi]
+                label = reached(hi - lo, lambda i, o, sizes=sizes, prints=prints, own=own: _alike(sizes[o], prints[o], own[o], sizes[i], prints[i], own[i]))
                 joined = np.flatnonzero(label != np.arange(hi - lo))
                 a.append(key[lo:hi][joined])
                 b.append(key[lo:hi][label[joined]])
@@ -164,12 +263,13 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (component, key, text), by component -> (key, least key of its exact group)."""
+    shingles = Shingler()
     for table in _by_runs(batches):
         component, key, texts = table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2)
         out: tuple[list, list] = ([], [])
         bounds = _runs(component)
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            label = exact_groups([shingle_set(t) for t in texts.slice(lo, hi - lo).to_pylist()])
+            label = exact_groups([shingles(t.as_py()) for t in texts.slice(lo, hi - lo)])
             least = np.full(hi - lo, np.iinfo(np.int64).max)
             np.minimum.at(least, label, key[lo:hi])
             out[0].append(key[lo:hi])
@@ -177,32 +277,52 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["key", "group"])
 
 
+SETS = "row long, key long, n int, fp long, sketch binary, places array<long>"
+
+
 def near_copy_groups(rows: DataFrame) -> DataFrame:
     """rows (row, text) -> (row, key, group): key is equal for equal shingle sets, group for
     all that are near copies of each other, directly or by way of others."""
     rows = rows.select("row", F.coalesce("text", F.lit("")).alias("text"))
     parts = partitions_for(rows)
-    sets = materialize(rows.mapInArrow(describe, "row long, key long, n int, sketch binary"), "shingle-sets")
-    heads = rows.select("text").mapInArrow(prefixes, "shingle long, key long")
-    often = materialize(heads.repartition(parts, "shingle").sortWithinPartitions("shingle", "key").mapInArrow(shared, "shingle long, key long"), "shared-shingles")
+    share = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, frequent = Shingler(), share.value
+        for batch in batches:
+            at = 0
+            for texts in _texts(batch, 1):
+                sets = [shingles(t) for t in texts]
+                places = pa.array([meeting_places(s, frequent).view(np.int64) for s in sets], pa.list_(pa.int64()))
+                columns = [batch.column(0).slice(at, len(sets)), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_fingerprint(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()), places]
+                at += len(sets)
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "n", "fp", "sketch", "places"])
+
+    sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
+    heads = sets.select(F.explode("places").alias("place"), "key")
+    often = materialize(heads.repartition(parts, "place").sortWithinPartitions("place", "key").mapInArrow(shared, "place long, key long"), "shared-shingles")
     one = sets.groupBy("key").agg(F.min("row").alias("row"))
-    sketches = sets.join(one.select("row"), "row", "left_semi").select("key", "n", "sketch")
-    known = often.join(sketches, "key").select("shingle", "key", "n", "sketch")
-    links = known.repartition(parts, "shingle").sortWithinPartitions("shingle").mapInArrow(meet, "a long, b long")
+    meeting = often.select("key").distinct().join(one, "key")
+    described = sets.join(meeting.select("row"), "row", "left_semi").select("key", "n", "fp", "sketch")
+    known = often.join(described, "key").select("place", "key", "n", "fp", "sketch")
+    links = known.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(meet, "a long, b long")
     linked = components(links)
     members = linked.select(F.col("node").alias("key"), "component").unionByName(linked.select(F.col("component").alias("key"), "component").distinct())
     wanted = materialize(members.join(one, "key"), "near-members")
     texts = rows.join(wanted, "row").select("component", "key", "text")
     groups = materialize(texts.repartition(parts, "component").sortWithinPartitions("component").mapInArrow(settle, "key long, group long"), "near-groups")
-    return sets.join(groups, "key", "left").select("row", "key", F.coalesce("group", "key").alias("group"))
+    return sets.select("row", "key").join(groups, "key", "left").select("row", "key", F.coalesce("group", "key").alias("group"))
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies stays: that of the smallest doc_id; of its repeated
-    rows any one. All columns are kept; rows without an id stay."""
-    # Places in the scan number the rows; equal in each pass over the same files.
-    identified = docs.where("doc_id is not null")
-    numbered = identified.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    groups = near_copy_groups(numbered).join(numbered.select("row", "doc_id"), "row")
-    classes = groups.groupBy("group").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    return identified.join(classes, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies stays, all its columns kept: that of the smallest
+    doc_id, then of the smallest hashes of its text and of the whole row. Rows are told apart
+    by themselves and not by their ids: unlike texts that share an id both stay, and of
+    repeated rows one. Rows without an id come last in their group."""
+    rows = numbered(docs.withColumn("__null", F.col("doc_id").isNull()), "__row")
+    whole = F.xxhash64(*[F.col(c).cast("string") if t not in ("binary",) else F.col(c) for c, t in docs.dtypes if not t.startswith(("map", "struct", "array", "variant"))])
+    ranked = rows.select(F.col("__row").alias("row"), F.struct("__null", "doc_id", F.xxhash64("text").alias("t"), whole.alias("w"), F.col("__row").alias("row")).alias("place"))
+    groups = materialize(near_copy_groups(rows.select(F.col("__row").alias("row"), "text")).join(ranked, "row"), "near-ranked")
+    best = groups.groupBy("group").agg(F.min("place").alias("best"), F.count("*").alias("n")).where("n > 1").select("group", F.col("best.row").alias("best"))
+    gone = materialize(groups.join(best, "group").where("row <> best").select(F.col("row").alias("__row")), "near-gone")
+    return without_rows(rows, gone, "__row").select(docs.columns)
