@@ -77,6 +77,13 @@ def without_rows(df: DataFrame, gone: DataFrame, key: str = "row") -> DataFrame:
     return df.join(F.broadcast(gone) if small else gone, key, "left_anti").drop(key)
 
 
+def by_texts(batches, rows: int = 256):
+    """The same rows in short slices, so that a task's memory doesn't follow the batch size."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Stored bytes of the files that df scans, by the optimizer's statistics; no job is
     run. Sources of unknown size (local rows) count as nothing."""

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import documents, materialize, numbered, partitions_for
+from curatrix.llm.common import by_texts, documents, materialize, numbered, partitions_for
 from curatrix.llm.near_copies import near_copy_groups
 
 SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
@@ -154,7 +154,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     """rows (row, text) -> (row, line) of every line to drop, line by the hash of its masked text."""
 
     def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_texts(batches):
             out: list[list] = [[], [], [], [], []]
             for row, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 lines = _doc_lines(text, leading)
@@ -177,7 +177,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(share.value).astype(bool)
-        for batch in batches:
+        for batch in by_texts(batches):
             seen: dict[int, tuple[int, str]] = {}
             for text in batch[1].to_pylist():
                 for h, where in _doc_lines(text, leading).items():

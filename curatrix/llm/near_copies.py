@@ -24,6 +24,7 @@ are compared whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import materialize, numbered, partitions_for, without_rows
+from curatrix.llm.common import by_texts, materialize, numbered, partitions_for, without_rows
 from curatrix.llm.components import components
 
 #: Similarity as a fraction, and words of a shingle.
@@ -44,18 +45,17 @@ FEW = 16
 #: frequent go last. Which ones do decides the order of meeting, never the result.
 CHUNK, LOCAL, FREQUENT = 2048, 8, 1 << 17
 #: Words whose hashes a task remembers.
-KNOWN_WORDS = 1 << 18
-_EDGES = (np.arange(BINS + 1, dtype=np.float64) * 2.0**58)[:BINS].astype(np.uint64)
+KNOWN_WORDS = 1 << 17
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
 class Shingler:
-    """Sorted distinct hashes of five-word shingles; word hashes are remembered."""
+    """Hashes of five-word shingles; word hashes are remembered."""
 
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
 
-    def __call__(self, text: str) -> np.ndarray:
+    def codes(self, text: str) -> list[int]:
         words = text.encode("utf-8", "surrogatepass").lower().split()
         known = self.known
         codes = [known.get(w) for w in words]
@@ -66,21 +66,38 @@ class Shingler:
                     codes[i] = h = digest(words[i])
                     if len(known) < KNOWN_WORDS:
                         known[words[i]] = h
-        return np.unique(roll(np.array(codes, np.uint64)))
+        return codes
 
+    def sets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, bounds): the sorted distinct shingle hashes of text i lie between
+        bounds[i] and bounds[i + 1]."""
+        lists = [self.codes(t) for t in texts]
+        sizes = np.array([len(x) for x in lists], np.int64)
+        codes = np.fromiter(itertools.chain.from_iterable(lists), np.uint64, int(sizes.sum()))
+        runs = np.where(sizes > 0, np.maximum(sizes - WORDS + 1, 1), 0)
+        owner = np.repeat(np.arange(len(texts)), runs)
+        first = np.r_[0, np.cumsum(sizes)[:-1]] if len(sizes) else sizes
+        at = np.repeat(first, runs) + np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+        length = np.minimum(sizes, WORDS)[owner]
+        h = length.astype(np.uint64)
+        for j in range(WORDS):
+            inside = j < length
+            if inside.all():
+                h = (h ^ codes[at + j]) * _MIX[0]
+                h ^= h >> np.uint64(29)
+            else:
+                x = (h[inside] ^ codes[at[inside] + j]) * _MIX[0]
+                h[inside] = x ^ (x >> np.uint64(29))
+        h *= _MIX[1]
+        h ^= h >> np.uint64(32)
+        ends = np.cumsum(runs).tolist()
+        for a, b in zip([0, *ends], ends):
+            h[a:b].sort()
+        new = np.r_[True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])] if len(h) else np.empty(0, bool)
+        return h[new], np.searchsorted(owner[new], np.arange(len(texts) + 1))
 
-def roll(codes: np.ndarray) -> np.ndarray:
-    """A hash of each run of WORDS codes; fewer codes are one run."""
-    n = len(codes)
-    if not n:
-        return codes
-    count = max(1, n - WORDS + 1)
-    h = np.full(count, min(n, WORDS), np.uint64)
-    for j in range(min(n, WORDS)):
-        h = (h ^ codes[j : j + count]) * _MIX[0]
-        h ^= h >> np.uint64(29)
-    h *= _MIX[1]
-    return h ^ (h >> np.uint64(32))
+    def __call__(self, text: str) -> np.ndarray:
+        return self.sets([text])[0]
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -92,42 +109,48 @@ def prefix_size(n: int) -> int:
     return n - -(-n * NEAR[0] // NEAR[1]) + 1 if n else 0
 
 
-def sketch(hashes: np.ndarray) -> bytes:
+def sketches_of(hashes: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
     """A byte for each 64th of the hash space: of the least hash there, 0 without one."""
-    at = np.searchsorted(hashes, _EDGES)
-    filled = at < np.r_[at[1:], len(hashes)]
-    out = np.zeros(BINS, np.uint8)
-    out[filled] = hashes[at[filled]] % np.uint64(255) + np.uint64(1)
-    return out.tobytes()
-
-
-def set_fingerprint(hashes: np.ndarray) -> int:
-    """SimHash of the set: the bits that over half of its hashes have."""
-    counts = np.zeros(64, np.int64)
-    for part in range(0, len(hashes), 65536):
-        chunk = hashes[part : part + 65536]
-        counts += np.unpackbits(chunk.view(np.uint8).reshape(len(chunk), 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits((2 * counts > len(hashes)).astype(np.uint8), bitorder="little").view(np.int64)[0])
-
-
-def meeting_places(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Where a set meets others: prefix shingles of small sets, first shingles of the bands of
-    others; sizes between meet both ways. frequent: sorted hashes that go last."""
-    n = len(hashes)
-    if not n:
-        return hashes
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-        late = frequent[at] == hashes
-        ordered = np.concatenate([hashes[~late], hashes[late]])
-    else:
-        ordered = hashes
-    out = [ordered[: prefix_size(n)]] if n <= SMALL else []
-    if NEAR[1] * n > NEAR[0] * SMALL:
-        # Bands are cut by bits that the order does not depend on.
-        _, first = np.unique((ordered * _MIX[2]) >> np.uint64(60), return_index=True)
-        out.append(ordered[first] ^ _MIX[1])
-    return np.concatenate(out)
+    place = owner * BINS + (hashes >> np.uint64(58)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else place
+    out = np.zeros(count * BINS, np.uint8)
+    out[place[first]] = hashes[first] % np.uint64(255) + np.uint64(1)
+    return out.reshape(count, BINS)
+
+
+def fingerprints_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """SimHash of each set: the bits that over half of its hashes have."""
+    n, out = np.diff(bounds), np.zeros(len(bounds) - 1, np.uint64)
+    filled, mask = np.flatnonzero(n), np.uint64(0x0001000100010001)
+    if len(filled):
+        # Lanes of 16 bits count four bits at once; parts of a set keep below 65536.
+        cuts = np.concatenate([np.arange(a, b, 65535) for a, b in zip(bounds[:-1][filled].tolist(), bounds[1:][filled].tolist())])
+        of = np.searchsorted(cuts, bounds[:-1][filled])
+        for lane in range(16):
+            sums = np.add.reduceat((hashes >> np.uint64(lane)) & mask, cuts)
+            for k in range(4):
+                counts = np.add.reduceat((sums >> np.uint64(16 * k)) & np.uint64(0xFFFF), of)
+                out[filled] |= (2 * counts > n[filled].astype(np.uint64)).astype(np.uint64) << np.uint64(16 * k + lane)
+    return out.view(np.int64)
+
+
+def places_of(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, owner) where sets meet others: prefix shingles of small sets, first shingles of
+    the bands of others; sizes between meet both ways. frequent: sorted hashes that go last."""
+    n = np.diff(bounds)
+    owner = np.repeat(np.arange(len(n)), n)
+    if len(frequent) and len(hashes):
+        late = frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
+        hashes = hashes[np.lexsort((late, owner))]
+    rank = np.arange(len(hashes)) - bounds[:-1][owner]
+    small = n[owner] <= SMALL
+    head = small & (rank < np.array([prefix_size(x) for x in n.tolist()], np.int64)[owner])
+    large = np.flatnonzero(NEAR[1] * n[owner] > NEAR[0] * SMALL)
+    # Bands are cut by bits that the order does not depend on.
+    band = ((hashes[large] * _MIX[2]) >> np.uint64(60)).astype(np.int64)
+    _, first = np.unique(owner[large] * BANDS + band, return_index=True)
+    large = large[first]
+    return np.concatenate([hashes[head], hashes[large] ^ _MIX[1]]), np.concatenate([owner[head], owner[large]])
 
 
 def _alike(n: np.ndarray, fps: np.ndarray, sketches: np.ndarray, n0: int, fp0: int, sketch0: np.ndarray) -> np.ndarray:
@@ -196,11 +219,6 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
 
 
-def _texts(batch: pa.RecordBatch, column: int = 0) -> Iterator[list[str]]:
-    for a in range(0, batch.num_rows, 256):
-        yield batch.column(column).slice(a, 256).to_pylist()
-
-
 def locally_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shingle, n) of those that LOCAL of CHUNK texts, all different, hold."""
     shingles, held, seen = Shingler(), [], set()
@@ -210,15 +228,15 @@ def locally_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         often = n >= LOCAL
         return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
 
-    for batch in batches:
-        for texts in _texts(batch):
-            for s in map(shingles, texts):
-                if (key := set_key(s)) not in seen:
-                    seen.add(key)
-                    held.append(s)
-            if len(held) >= CHUNK:
-                yield flush()
-                held, seen = [], set()
+    for batch in by_texts(batches):
+        hashes, bounds = shingles.sets(batch.column(0).to_pylist())
+        for s in np.split(hashes, bounds[1:-1]):
+            if (key := set_key(s)) not in seen:
+                seen.add(key)
+                held.append(s)
+        if len(held) >= CHUNK:
+            yield flush()
+            held, seen = [], set()
     if held:
         yield flush()
 
@@ -289,14 +307,15 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, frequent = Shingler(), share.value
-        for batch in batches:
-            at = 0
-            for texts in _texts(batch, 1):
-                sets = [shingles(t) for t in texts]
-                places = pa.array([meeting_places(s, frequent).view(np.int64) for s in sets], pa.list_(pa.int64()))
-                columns = [batch.column(0).slice(at, len(sets)), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_fingerprint(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()), places]
-                at += len(sets)
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "key", "n", "fp", "sketch", "places"])
+        for batch in by_texts(batches):
+            hashes, bounds = shingles.sets(batch.column(1).to_pylist())
+            n = np.diff(bounds)
+            keys = [set_key(s) for s in np.split(hashes, bounds[1:-1])]
+            drawn = sketches_of(hashes, np.repeat(np.arange(len(n)), n), len(n))
+            places, owner = places_of(hashes, bounds, frequent)
+            order = np.argsort(owner, kind="stable")
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[order], np.arange(len(n) + 1)).astype(np.int32)), pa.array(places[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(n.astype(np.int32)), pa.array(fingerprints_of(hashes, bounds)), pa.array([x.tobytes() for x in drawn], pa.binary()), lists], names=["row", "key", "n", "fp", "sketch", "places"])
 
     sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
     heads = sets.select(F.explode("places").alias("place"), "key")
