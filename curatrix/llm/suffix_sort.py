@@ -1,7 +1,8 @@
 """Deep-shallow sorting of byte strings of bounded depth.
 
-Shallow: multikey quicksort on eight-byte symbols, all groups of equal prefixes at once,
-down to ``shallow`` bytes. Deep: strings that still agree are ordered by blind tries, which
+Shallow: multikey quicksort on eight-byte symbols down to ``shallow`` bytes; a round parts
+every open group at once into less, equal and greater at its pivot, and equal ones go on to
+the next symbol. Deep: strings that still agree are ordered by blind tries, which
 compare branching symbols only and look at one whole string an insertion.
 """
 
@@ -80,17 +81,24 @@ def deep_shallow(matrix: np.ndarray, lengths: np.ndarray, group: np.ndarray, sha
     words = matrix.view(">u8").astype(np.uint64)
     order = np.argsort(group, kind="stable")
     starts = np.r_[True, group[order][1:] != group[order][:-1]] if n else np.empty(0, bool)
-    for k in range(min(shallow, width) // 8):
-        ids = np.cumsum(starts)
-        single = starts & np.r_[starts[1:], True]
-        live = np.flatnonzero(~single)
-        if not len(live):
-            return order
-        word = words[order[live], k]
-        inner = np.lexsort((word, ids[live]))
-        order[live] = order[live][inner]
-        word, g = word[inner], ids[live][inner]
-        starts[live] = np.r_[True, (word[1:] != word[:-1]) | (g[1:] != g[:-1])]
+    depth, most = np.zeros(n, np.int64), min(shallow, width) // 8
+    while n:
+        first = np.flatnonzero(starts)
+        size = np.diff(np.r_[first, n])
+        open_ = (size > 1) & (depth[first] < most)
+        if not open_.any():
+            break
+        ids = np.cumsum(starts) - 1
+        at = np.flatnonzero(open_[ids])
+        g = ids[at]
+        middle = first + size // 2
+        pivot = words[order[middle], np.minimum(depth[first], max(most - 1, 0))]
+        symbol = words[order[at], depth[at]]
+        side = (symbol > pivot[g]).astype(np.int8) - (symbol < pivot[g])
+        inner = np.lexsort((side, g))
+        order[at], side = order[at][inner], side[inner]
+        depth[at] += side == 0
+        starts[at] |= np.r_[True, (side[1:] != side[:-1]) | (g[1:] != g[:-1])]
     edges = np.r_[np.flatnonzero(starts), n]
     sizes = np.diff(edges)
     for a, size in zip(edges[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):

@@ -120,23 +120,54 @@ def test_log_bilinear_is_normalised():
     assert math.isclose(p.sum(), 1.0, rel_tol=1e-4)
 
 
-def test_suffix_dedup(docs, empty, rows):
-    from curatrix.llm.suffix_dedup import NULL_ID, suffix_dedup
+def removed_by_brute_force(rows):
+    """Rows that share an id in the order of the operator's hash of their texts."""
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
-    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup(docs).collect())
+    hashed = SparkSession.active().createDataFrame(rows, "d long, t string").select("d", F.coalesce("t", F.lit("")).alias("t")).withColumn("h", F.xxhash64("t").bitwiseAND(F.lit(0xFFFFFFFF))).collect()
     seen, want = set(), Counter()
-    for d, b in sorted((NULL_ID if d is None else d, (t or "").encode()) for d, t, *_ in rows):
+    for d, _, b in sorted((-(1 << 63) if r["d"] is None else r["d"], r["h"], r["t"].encode()) for r in hashed):
         gone = np.zeros(len(b), bool)
         for s in range(len(b) - 99):
             if b[s : s + 100] in seen:
                 gone[s : s + 100] = True
             seen.add(b[s : s + 100])
         kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
-        want[None if d == NULL_ID else d, len(b), int(gone.sum()), int((gone & ~np.r_[False, gone[:-1]]).sum()), hashlib.sha256(kept).hexdigest()] += 1
+        want[None if d == -(1 << 63) else d, len(b), int(gone.sum()), int((gone & ~np.r_[False, gone[:-1]]).sum()), hashlib.sha256(kept).hexdigest()] += 1
+    return want
+
+
+def test_suffix_dedup(docs, empty, rows):
+    from curatrix.llm.suffix_dedup import suffix_dedup
+
+    want = removed_by_brute_force([r[:2] for r in rows])
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup(docs).collect())
     assert got == want
     assert suffix_dedup(empty).count() == 0
 
 
+def test_suffix_dedup_of_periods_and_rows_of_one_id(spark):
+    from curatrix.llm.suffix_dedup import anchors, suffix_dedup
+
+    rng = random.Random(17)
+    passage = prose(60, rng)
+    texts = ["x" * 700, "y" + "x" * 500, "abc" * 200, "zabc" * 3 + "abc" * 90 + passage, passage + "abcd" * 120 + passage, "ab" * 49, "ab" * 50, "ab" * 51 + "c", prose(40, rng) + " - " * 80]
+    rows = [(None, t) for t in texts] + [(7, t) for t in texts] + [(7, prose(30, rng) + passage) for _ in range(20)] + [(7, texts[0])] * 3 + [(None, "short")] * 3
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == removed_by_brute_force(rows)
+    assert len(anchors(b"x" * 2_000_000)[1]) < 300
+
+
+def test_suffix_dedup_of_many_rows_without_an_id(spark):
+    from pyspark.sql import functions as F
+
+    from curatrix.llm.suffix_dedup import suffix_dedup
+
+    rows = spark.range(70_000).select(F.lit(None).cast("long").alias("doc_id"), F.format_string("row %d", "id").alias("text"))
+    assert suffix_dedup(rows).agg(F.sum("n_bytes"), F.sum("n_removed")).first()[1] == 0
+
+
 @pytest.mark.parametrize("shallow", [0, 8, 40])
 def test_deep_shallow_sorts(shallow):
     from curatrix.llm.suffix_sort import deep_shallow, neighbour_lcp
