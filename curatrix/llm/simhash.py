@@ -5,15 +5,19 @@ fingerprints are collapsed first. Fingerprints within the radius agree on some o
 blocks (pigeonhole), so each is sent to one shard for every choice of agreeing blocks.
 A shard's BK-tree keys children by their integer Hamming distance to the parent; a query
 follows only edges within the radius of its own distance. Shards of more than
-``max_tree`` fingerprints become several trees that all of the shard's fingerprints query,
-so no tree outgrows a task and no pair is lost. Within a shard, links are reduced to one
+``max_tree`` fingerprints are parted once more, by interleaved blocks of which a pair within
+the radius agrees on one; what is still larger becomes several trees that all of the shard's
+fingerprints query, so no tree outgrows a task and no pair is lost. Within a shard, links are reduced to one
 edge to the least linked fingerprint, so a group of n copies leaves n edges and not n^2.
 
 Shard trees travel by shuffle beside their queries and not by broadcast: a tree is of
 bounded size, all trees together are not.
 
 Defined results: null and empty texts have fingerprint zero and link like any other;
-repeated rows appear once each; an empty table gives no rows; other columns are ignored.
+repeated rows appear once each; texts of any length are read whole; bits that exactly half
+of the hashes have (ties) are 0; rows without an id link like others but never name a
+component unless all of it lacks ids; an empty table gives no rows; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ RADIUS, SHINGLE, SEED = 4, 4, 42
 #: Fingerprints in one BK-tree at most.
 MAX_TREE = 4096
 #: A shard should hold about this many fingerprints.
-SHARD_FILL = 64
+SHARD_FILL = 1024
 
 
 def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -183,10 +187,16 @@ def near_links(fps: DataFrame, radius: int = RADIUS, max_tree: int = MAX_TREE) -
     signed = [m - (1 << 64) if m >> 63 else m for m in tables]
     shards = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
     placed = fps.select("fp", F.explode(shards).alias("shard"))
-    # Shards of one fingerprint can't hold a link; larger ones than a tree are cut into trees.
-    sizes = placed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
-    trees = F.ceil(F.col("n") / F.lit(max_tree)).cast("int")
-    asked = placed.join(sizes, "shard").select("shard", "fp", trees.alias("trees"))
+    def sized(shards: DataFrame) -> DataFrame:
+        """With the number of fingerprints; shards of one fingerprint can't hold a link."""
+        return shards.join(shards.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "shard").select("shard", "fp", "n")
+
+    first = sized(placed)
+    over = first.where(F.col("n") > max_tree)
+    spread = [sum(1 << bit for bit in range(j, 64, radius + 1)) for j in range(radius + 1)]
+    parts = F.array(*[F.xxhash64("shard", F.lit(j), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m))) for j, m in enumerate(spread)])
+    asked = first.where(F.col("n") <= max_tree).unionByName(sized(over.select("fp", F.explode(parts).alias("shard"))))
+    asked = asked.withColumn("trees", F.ceil(F.col("n") / F.lit(max_tree)).cast("int"))
     routed = asked.select("fp", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"), "trees", "shard").select("fp", F.xxhash64("shard", "tree").alias("tree_id"), (F.pmod(F.xxhash64("fp"), F.col("trees")) == F.col("tree")).alias("built"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
