@@ -13,9 +13,10 @@ five words, for items of fewer words the whole item. The benchmark side is broad
 while its counted rows stay within ``MAX_BROADCAST_ROWS``; beyond, the same joins shuffle.
 
 Defined results: null and empty texts are clean; items without words match nothing; equal
-texts get equal results whatever their ids; repeated rows appear once each; empty tables
-give no rows or no matches; other columns are ignored. Near the end of a text windows are
-cut at the end.
+texts get equal results whatever their ids; repeated rows appear once each; texts of any
+length are read whole; items that tie in similarity are all listed; empty tables give no
+rows or no matches; other columns, whatever their names, are ignored. Near the end of a text
+windows are cut at the end.
 """
 
 from __future__ import annotations
@@ -97,7 +98,11 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, similarity: float
         placed = texts.where(F.col("n") >= k).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - k)).alias("i"))
         placed = placed.withColumn("h", F.xxhash64(*[F.element_at("words", F.col("i") + j + 1) for j in range(k)]))
         start = F.greatest(F.col("i") - F.col("at"), F.lit(0))
-        hits = placed.join(_sized(keyed, n_shingles), "h").withColumn("start", start)
+        if n_shingles <= MAX_BROADCAST_ROWS:
+            hits = placed.join(F.broadcast(keyed), "h").withColumn("start", start)
+        else:  # places travel without their text, which only the places that hit look up
+            where = placed.select("k1", "k2", "i", "h").join(keyed, "h").select("k1", "k2", start.alias("start"), "item_n").distinct()
+            hits = texts.dropDuplicates(["k1", "k2"]).join(where, ["k1", "k2"])
         hits = hits.select("k1", "k2", "start", F.lit(k).alias("k"), F.slice("words", F.col("start") + 1, F.least("item_n", F.col("n") - F.col("start"))).alias("window"))
         windows = hits if windows is None else windows.unionByName(hits)
     if windows is None:
