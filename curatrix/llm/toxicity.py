@@ -7,8 +7,10 @@ weights of a text's matches, without those inside exception phrases, are normali
 length, and a logistic curve turns both sums into the score.
 
 Defined results: null and empty texts score as texts without matches; repeated rows score
-alike; an empty table gives no rows; with no usable labels every score is the prior 0.0;
-a document with several labels counts as toxic if any says so.
+alike and are learned from once; texts of any length are scored whole; terms that tie are
+both kept; an empty table gives no rows; with no usable labels every score is 2e-9 (the curve
+at -20); a document with several labels counts as toxic if any says so; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from curatrix.llm.common import canonical, documents, fold_column, materialize, table
 
-#: Bounds on what is learned from: labelled rows, terms looked at, lexicon entries, exception phrases.
-MAX_LABELLED, MAX_TERMS, MAX_LEXICON, MAX_EXCEPTIONS = 12_000, 100_000, 4_000, 500
+#: Different labelled rows that are learned from, at most. All their terms and phrases count.
+MAX_LABELLED = 12_000
 THRESHOLD = 0.7
 
 # Characters that look like, or stand in for, a Latin letter.
@@ -119,14 +121,21 @@ def _features(matches, text: str) -> tuple[float, float]:
     return math.log1p(total), math.log1p(1000.0 * total / (50.0 + len(text) / 6.0))
 
 
+def labelled_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """text and the labels' other columns for at most ``most`` different rows of docs, taken in
+    an order fixed by hashes of id and text. labels has one row an id."""
+    rows = canonical(docs).withColumn("th", F.xxhash64("text"))
+    keys = rows.select("doc_id", "th").join(labels, "doc_id").distinct().orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(most)
+    # ``most`` rows of a few numbers: small enough to broadcast. Repeated rows come once.
+    return rows.join(F.broadcast(keys), ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]).drop("doc_id", "th")
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = (), max_labelled: int = MAX_LABELLED) -> ToxicityModel:
     """Learn the lexicon, exception phrases and curve from at most ``max_labelled`` rows of
     the training fold, taken in an order fixed by a hash of the id."""
     spark = docs.sparkSession
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null").where(fold_column(F.col("doc_id"), 3) != 1)
-    sample = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    # At most max_labelled rows of two numbers: small enough to broadcast.
-    train = materialize(canonical(docs).join(F.broadcast(sample), "doc_id").select("text", "toxic"), "toxic-train")
+    train = materialize(labelled_rows(docs, usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), max_labelled), "toxic-train")
     n_pos, n_neg = train.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
     if not n_pos or not n_neg:
         return ToxicityModel((), exceptions, (-20.0, 0.0, 0.0))
@@ -144,12 +153,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ..
     # Terms of toxic rows first; other rows are then counted for those terms alone.
     least = max(3, n_pos // 200)
     toxic = train.where("toxic > 0").mapInPandas(counter(), "term string, n long").groupBy("term").agg(F.sum("n").alias("pos")).where(F.col("pos") >= least)
-    pos = {r["term"]: r["pos"] for r in toxic.orderBy(F.desc("pos"), "term").limit(MAX_TERMS).collect()}
+    pos = {r["term"]: r["pos"] for r in toxic.collect()}  # terms of max_labelled rows
     wanted = spark.sparkContext.broadcast(frozenset(pos))
     clean = train.where("toxic <= 0").mapInPandas(counter(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("neg"))
     neg = {r["term"]: r["neg"] for r in clean.collect()}
     ratios = {t: math.log((c + 0.5) / (n_pos + 1)) - math.log((neg.get(t, 0) + 0.5) / (n_neg + 1)) for t, c in pos.items()}
-    rows = sorted(((t, r) for t, r in ratios.items() if r > 2.5), key=lambda x: (-x[1], -pos[x[0]], x[0]))[:MAX_LEXICON]
+    rows = sorted(((t, r) for t, r in ratios.items() if r > 2.5), key=lambda x: (-x[1], -pos[x[0]], x[0]))
     # A longer beginning says nothing more than a shorter one that is as telling.
     kept: dict[str, float] = {}
     for term, ratio in sorted(rows, key=lambda r: (len(r[0].removeprefix("=")), r[0])):
@@ -163,7 +172,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ..
         matcher = Matcher(*share.value)
         for frame in frames:
             found = [matcher.matches(t) for t in frame["text"]]
-            phrases = [sorted({" ".join(fold(t[s : e + 40]).split()[:2]) for s, e, _ in m})[:50] for t, m in zip(frame["text"], found, strict=True)]
+            phrases = [sorted({" ".join(fold(t[s : e + 40]).split()[:2]) for s, e, _ in m}) for t, m in zip(frame["text"], found, strict=True)]
             xs = [_features(m, t) for t, m in zip(frame["text"], found, strict=True)]
             yield pd.DataFrame({"a": [x[0] for x in xs], "b": [x[1] for x in xs], "toxic": frame["toxic"], "phrases": phrases})
 
@@ -171,7 +180,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ..
     seen = {1: Counter(), 0: Counter()}
     for toxic, phrases in zip(fitted["toxic"], fitted["phrases"], strict=True):
         seen[int(toxic > 0)].update(phrases)
-    learned = [p for p, c in seen[0].most_common(MAX_EXCEPTIONS) if " " in p and c >= 3 and c > 4 * seen[1][p]]
+    learned = [p for p, c in sorted(seen[0].items()) if " " in p and c >= 3 and c > 4 * seen[1][p]]
     x = np.column_stack([np.ones(len(fitted)), fitted["a"], fitted["b"]])
     return ToxicityModel(lexicon, (*exceptions, *learned), tuple(_logistic(x, (fitted["toxic"] > 0).to_numpy(float))))
 
