@@ -1,20 +1,23 @@
 """Quality classifier: positive-unlabelled learning.
 
 A small network on text statistics minimises the non-negative unbiased risk (Kiryo et al.
-2017) over trusted positives and unlabelled texts. The class prior is estimated from the
-same two samples: for a first scorer, the least ratio of unlabelled to positive mass above
-any threshold, with a margin for its sampling error, bounds the share of positives.
+2017) over trusted positives and unlabelled texts; its steps take bounded samples of both.
+Feature means and scales and the class prior come from all texts of the training fold: for
+a first scorer, the least ratio of unlabelled to positive mass above any threshold, with a
+margin for its sampling error, bounds the share of positives; both masses are histograms
+that Spark counts.
 
 Defined results: null and empty texts have the feature vector of an empty text; repeated
-rows score alike; an empty table gives no rows; without trusted positives every score is
-0.5; a document with several labels is a positive only if all say so.
+rows score alike and are stepped on once; texts of any length are read whole; scores that
+tie with the threshold are predicted 1; an empty table gives no rows; without trusted
+positives every score is 0.5; a document with several labels is a positive only if all say
+so; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +27,10 @@ from pyspark.sql import functions as F
 
 from curatrix.llm.common import canonical, documents, fold_column, materialize, table
 
-#: Bounds on what is learned from: trusted positives and unlabelled texts.
+#: Bounds on the rows that steps are taken on: trusted positives and unlabelled texts.
 MAX_POSITIVE, MAX_UNLABELLED = 8_000, 12_000
+#: Cells of the score histograms.
+CELLS = 4096
 THRESHOLD = 0.5
 N_FEATURES = 18
 _SYMBOL_TAIL = re.compile(r"[^\w\s.,;:!?)\"'»]{2,}(?=\s|$)")
@@ -70,17 +75,19 @@ class QualityModel:
 
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, delta: float = 0.1) -> float:
-    """The share of positives among unl, from scores of both samples (larger: more positive)."""
-    cuts = np.sort(pos)
-    above_p = 1 - np.arange(len(cuts)) / len(cuts)
-    above_u = 1 - np.searchsorted(np.sort(unl), cuts, "left") / len(unl)
-    slack = math.sqrt(math.log(4 / delta) / 2) * (1 / math.sqrt(len(pos)) + 1 / math.sqrt(len(unl)))
+    """The share of positives among the unlabelled, from histograms of both sides' scores
+    over the same cells, ascending."""
+    n_pos, n_unl = pos.sum(), unl.sum()
+    above_p, above_u = np.cumsum(pos[::-1])[::-1] / n_pos, np.cumsum(unl[::-1])[::-1] / n_unl
+    slack = math.sqrt(math.log(4 / delta) / 2) * (1 / math.sqrt(n_pos) + 1 / math.sqrt(n_unl))
+    held = above_p > 0
+    above_p, above_u = above_p[held], above_u[held]
     best = np.argmin((above_u + slack) / above_p)
     return float(min(0.98, max(0.02, above_u[best] / above_p[best])))
 
 
 def _descend(xp: np.ndarray, xu: np.ndarray, prior: float | None, hidden: int = 16, steps: int = 800, seed: int = 7) -> tuple:
-    """Full sample Adam on the non-negative risk; prior=None: plain positive against unlabelled."""
+    """Adam on the non-negative risk in random batches; prior=None: plain positive against unlabelled."""
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.3, (xp.shape[1], hidden)), np.zeros(hidden), rng.normal(0, 0.3, hidden), np.zeros(1)]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -108,48 +115,66 @@ def _descend(xp: np.ndarray, xu: np.ndarray, prior: float | None, hidden: int =
     return params[0], params[1], params[2], float(params[3][0])
 
 
-def fit_pu(xp: np.ndarray, xu: np.ndarray) -> QualityModel:
-    mean, scale = xu.mean(0), xu.std(0) + 1e-6
-    zp, zu = np.clip((xp - mean) / scale, -8, 8), np.clip((xu - mean) / scale, -8, 8)
-    half_p, half_u = np.arange(len(zp)) % 2 == 0, np.arange(len(zu)) % 2 == 0
-    first = QualityModel(np.zeros(1), np.ones(1), *_descend(zp[half_p], zu[half_u], None), prior=0.5)
-    rest_p, rest_u = (zp[~half_p] if (~half_p).any() else zp), (zu[~half_u] if (~half_u).any() else zu)
-    prior = estimate_prior(first.score(rest_p), first.score(rest_u))
-    return QualityModel(mean, scale, *_descend(zp, zu, prior), prior=prior)
-
-
-def train_quality(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
-    """Trusted positives: label 1 in the training fold. Unlabelled: any texts of that fold,
-    whatever their labels. Both are bounded samples in an order fixed by a hash of the id."""
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id and the features x of every row, written once."""
 
     @F.pandas_udf("array<double>")
     def feature_column(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: features(t).tolist())
 
-    texts = canonical(docs).where(fold_column(F.col("doc_id"), 3) != 1)
+    return materialize(canonical(docs).select("doc_id", feature_column("text").alias("x")), "quality-features")
+
+
+def score_column(share):
+    """x -> score by a broadcast model; 0.5 without one."""
+
+    @F.pandas_udf("double")
+    def score(xs: pd.Series) -> pd.Series:
+        x = np.array(xs.tolist(), float).reshape(-1, N_FEATURES)
+        return pd.Series(share.value.score(x) if share.value else np.full(len(x), 0.5), dtype="float64")
+
+    return score
+
+
+def _sample(rows: DataFrame, most: int, salt: int) -> np.ndarray:
+    """Features of at most ``most`` different rows, in an order fixed by hashes of id and features."""
+    order = F.xxhash64("doc_id", "x", F.lit(salt))
+    got = rows.distinct().orderBy(order, "doc_id", "x").limit(most).select("x").toPandas()
+    return np.array(got["x"].tolist(), float).reshape(-1, N_FEATURES)
+
+
+def train_quality(rows: DataFrame, labels: DataFrame) -> QualityModel | None:
+    """rows: ``described`` texts. Trusted positives: label 1 in the training fold. Unlabelled:
+    all texts of that fold, whatever their labels."""
+    spark = rows.sparkSession
+    fold = rows.where(fold_column(F.col("doc_id"), 3) != 1)
     trusted = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").where(fold_column(F.col("doc_id"), 3) != 1)
-    trusted = trusted.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_POSITIVE)
-    unlabelled = texts.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(MAX_UNLABELLED).distinct()
-    # Two bounded lists of ids: small enough to broadcast.
-    ids = trusted.withColumn("positive", F.lit(True)).unionByName(unlabelled.withColumn("positive", F.lit(False)))
-    rows = materialize(texts.join(F.broadcast(ids), "doc_id").select("positive", feature_column("text").alias("x")), "quality-train")
-    frame = rows.toPandas()
-    pos, unl = (np.array(frame.loc[frame["positive"] == side, "x"].tolist(), float).reshape(-1, N_FEATURES) for side in (True, False))
+    trusted = trusted.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
+    positive = materialize(fold.join(trusted, "doc_id", "left_semi"), "quality-positive")
+    pos, unl = _sample(positive, MAX_POSITIVE, 0), _sample(fold, MAX_UNLABELLED, 1)
     if len(pos) < 2 or len(unl) < 2:
         return None
-    return fit_pu(pos[np.lexsort(pos.T)], unl[np.lexsort(unl.T)][np.random.default_rng(5).permutation(len(unl))])
+    cells = [F.col("x")[i] for i in range(N_FEATURES)]
+    moments = fold.agg(*[F.avg(c) for c in cells], *[F.stddev_pop(c) for c in cells]).first()
+    mean, scale = np.array(moments[:N_FEATURES]), np.array(moments[N_FEATURES:]) + 1e-6
+    zp, zu = np.clip((pos - mean) / scale, -8, 8), np.clip((unl - mean) / scale, -8, 8)
+    first = QualityModel(mean, scale, *_descend(zp, zu, None), prior=0.5)
+    score = score_column(spark.sparkContext.broadcast(first))
+    cell = F.least(F.floor(score("x") * CELLS), F.lit(CELLS - 1)).cast("int")
+    masses = []
+    for side in (positive, fold):
+        mass = np.zeros(CELLS)
+        for row in side.select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect():  # CELLS rows at most
+            mass[row["cell"]] = row["n"]
+        masses.append(mass)
+    prior = estimate_prior(*masses)
+    return QualityModel(mean, scale, *_descend(zp, zu, prior), prior=prior)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    share = docs.sparkSession.sparkContext.broadcast(train_quality(docs, labels))
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            x = np.array([features(t) for t in texts]).reshape(-1, N_FEATURES)
-            yield pd.Series(share.value.score(x) if share.value else np.full(len(x), 0.5))
-
-    scored = canonical(docs).select("doc_id", (fold_column(F.col("doc_id"), 3) == 1).alias("held_out"), score("text").alias("score"))
+    rows = described(docs)
+    score = score_column(docs.sparkSession.sparkContext.broadcast(train_quality(rows, labels)))
+    scored = rows.select("doc_id", (fold_column(F.col("doc_id"), 3) == 1).alias("held_out"), score("x").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
