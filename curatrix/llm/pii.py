@@ -1,15 +1,18 @@
 """PII: base patterns, and further spans by weak supervision.
 
 Base spans (email, ip, card, phone) follow fixed patterns and checks. Candidates for more
-spans are looser number, address and secret shapes. Regex, gazetteer and context labelers
+spans are looser secret, number and address shapes. Regex, gazetteer and context labelers
 vote on each candidate; expectation-maximisation over the counted vote patterns of the whole
 corpus estimates every labeler's reliability, and its posteriors train the final span
-classifier, a logistic curve on votes and shape, which accepts or rejects each candidate.
-Base spans stay whatever it says.
+classifier, a logistic curve on votes, shape and context, which accepts or rejects each
+candidate. Votes, shape and context take few values, so the corpus is counted by them and
+the classifier learns from the counts of all candidates. Base spans stay whatever it says.
 
 Places are code points, ends exclusive. Defined results: null and empty texts have no
-spans; repeated rows repeat their values; an empty table gives no rows; a candidate that
-overlaps a base span or an earlier accepted one is left out.
+spans; repeated rows repeat their values and count as often; texts and spans of any length
+are read whole; ties (accepted candidates that overlap) go to the one that starts first,
+then to the longer; an empty table gives no rows; a candidate that overlaps a base span or
+an earlier accepted one is left out; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import canonical, documents, materialize
 
 KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("secret", "number")
+MORE_KINDS = ("secret", "number", "address")
 
 # Possessive forms of the contract's patterns; they match the same text without backtracking.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -39,11 +41,17 @@ _SECRET = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{16,}+
 _NUMBER = re.compile(r"(?<![0-9A-Za-z+.@-])\(?[0-9]{2,6}\)?(?:[ .-][0-9]{2,6}){1,5}(?![0-9A-Za-z@])")
 
 # Words that announce personal data, and words that deny it.
-ANNOUNCING = ("tel", "phone", "call", "fax", "mobile", "contact", "ssn", "card", "account", "iban", "key", "token", "secret", "password", "api", "auth", "credential", "bearer", "passport", "id")
+ANNOUNCING = ("tel", "phone", "call", "fax", "mobile", "contact", "ssn", "card", "account", "iban", "key", "token", "secret", "password", "api", "auth", "credential", "bearer", "passport", "id", "address", "resident", "lives", "ship", "mail")
 DENYING = ("version", "page", "isbn", "chapter", "figure", "table", "section", "year", "line", "build")
 SECRET_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "sk_", "pk_", "xox", "AIza", "glpat-", "eyJ")
+# Words for ways, full and short, in the corpus's languages; and dialling prefixes.
+WAYS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Ln", "Drive", "Dr", "Boulevard", "Blvd", "Court", "Ct", "Square", "Sq", "Terrace", "Highway", "Hwy", "Way", "Place", "Pl", "Rue", "Allee", "Calle", "Plaza", "Platz", "Weg")
+FULL_WAYS = frozenset(w for w in WAYS if len(w) > 4)
+AREA_CODES = frozenset(("201", "202", "212", "213", "305", "310", "312", "408", "415", "512", "555", "614", "617", "646", "650", "702", "718", "800", "888", "917"))
 _ANNOUNCE = re.compile(r"(?<![a-z])(?:" + "|".join(ANNOUNCING) + r")s?(?![a-z])")
 _DENY = re.compile(r"(?<![a-z])(?:" + "|".join(DENYING) + r")s?(?![a-z])")
+_ADDRESS = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]?,?(?: [A-Z][A-Za-z'-]{1,30}){0,3} (?:" + "|".join(WAYS) + r")(?![A-Za-z])\.?")
+_SHAPES = (("secret", _SECRET), ("number", _NUMBER), ("address", _ADDRESS))
 
 
 def luhn(digits: str) -> bool:
@@ -87,19 +95,27 @@ def _by_context(span: str, kind: str, before: str) -> int:
 
 
 def _by_gazetteer(span: str, kind: str, before: str) -> int:
-    return (1 if span.startswith(SECRET_STARTS) else -1) if kind == "secret" else -1
+    if kind == "secret":
+        return 1 if span.startswith(SECRET_STARTS) else -1
+    if kind == "address":
+        return 1 if span.rstrip(".").rsplit(" ", 1)[-1] in FULL_WAYS else -1
+    return 1 if _digits(span)[:3] in AREA_CODES else -1
 
 
 def _by_shape(span: str, kind: str, before: str) -> int:
     if kind == "secret":
         classes = sum(any(f(c) for c in span) for f in (str.islower, str.isupper, str.isdigit))
         return 1 if classes == 3 or len(span) >= 32 and classes == 2 else 0
+    if kind == "address":
+        return 1 if span.count(" ") >= 2 else 0
     return 1 if len(_digits(span)) in (7, 9, 10, 11) else 0
 
 
 def _by_regex(span: str, kind: str, before: str) -> int:
     if kind == "secret":
         return 1 if re.fullmatch(r"[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[A-Z0-9]{20}|(?:[A-Za-z]{2,6}[_-])+[A-Za-z0-9]{16,}", span) else -1
+    if kind == "address":
+        return 1 if re.fullmatch(r"[1-9][0-9]{0,4}[A-Za-z]?,?(?: [A-Z][a-z'-]+){1,3} [A-Z][a-z]+\.?", span) else 0
     return 1 if re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}[.-][0-9]{4}", span) else 0
 
 
@@ -111,18 +127,26 @@ def _by_spread(span: str, kind: str, before: str) -> int:
 LABELERS = (_by_context, _by_gazetteer, _by_shape, _by_regex, _by_spread)
 
 
-def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, tuple[int, ...]]]:
-    """(start, end, kind, votes) of looser shapes that overlap no base span."""
+def traits(span: str, before: str) -> tuple[int, ...]:
+    """Shape and context in few values: length, share of digits, cases, what stands before."""
+    digits = len(_digits(span))
+    cases = 2 * any(c.isupper() for c in span) + any(c.islower() for c in span)
+    last = before.rstrip()[-1:]
+    return (sum(len(span) >= n for n in (12, 24, 48)), sum(3 * digits >= n * len(span) for n in (1, 2, 3)), cases, 1 if last in (":", "=") and last else 2 if last in ('"', "'", "(", "<") and last else 0)
+
+
+def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, tuple[int, ...], tuple[int, ...]]]:
+    """(start, end, kind, votes, traits) of looser shapes that overlap no base span."""
     if not any(c in text for c in "0123456789"):
         return []
     out, ends = [], [(s, e) for s, e, _ in base]
-    for kind, pattern in (("secret", _SECRET), ("number", _NUMBER)):
+    for kind, pattern in _SHAPES:
         for m in pattern.finditer(text):
             s, e = m.span()
-            if kind == "secret" and e - s > 200 or any(s < b and a < e for a, b in ends):
+            if any(s < b and a < e for a, b in ends):
                 continue
             before = text[max(0, s - 30) : s].lower()
-            out.append((s, e, kind, tuple(f(m[0], kind, before) for f in LABELERS)))
+            out.append((s, e, kind, tuple(f(m[0], kind, before) for f in LABELERS), traits(m[0], before)))
     return out
 
 
@@ -148,27 +172,36 @@ def reliabilities(patterns: np.ndarray, weights: np.ndarray, rounds: int = 100)
     return prior, table, post
 
 
+def _design(votes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+    """An intercept, each vote for and against, and each value of each trait."""
+    values = [shapes[:, [j]] == np.arange(1, 4) for j in range(shapes.shape[1])]
+    return np.concatenate([np.ones((len(votes), 1)), votes == 1, votes == 0, *values], 1).astype(float)
+
+
 def train_spans(counted: pd.DataFrame) -> dict[tuple, float]:
-    """Counted (kind, votes) -> the classifier's probability of each pattern. There are at
-    most 2 * 3^5 patterns, so the classifier is stored as their table."""
+    """Counted (kind, votes, traits, n) -> the classifier's probability of each. There are at
+    most 3 * 3^5 * 4^4 of them, so the classifier is stored as their table."""
     out: dict[tuple, float] = {}
     for kind, rows in counted.groupby("kind"):
         votes = np.array(rows["votes"].tolist(), int).reshape(len(rows), -1)
+        shapes = np.array(rows["traits"].tolist(), int).reshape(len(rows), -1)
         weights = rows["n"].to_numpy(float)
-        _, _, post = reliabilities(votes, weights)
-        x = np.concatenate([np.ones((len(votes), 1)), votes == 1, votes == 0], 1).astype(float)
+        patterns, which = np.unique(votes, axis=0, return_inverse=True)
+        _, _, post = reliabilities(patterns, np.bincount(which.ravel(), weights))
+        post = post[which.ravel()]
+        x = _design(votes, shapes)
         beta = np.zeros(x.shape[1])
-        scaled = weights / weights.sum() * min(weights.sum(), 1e4)
-        for _ in range(60):  # Newton steps on soft labels
+        share = weights / weights.sum()
+        for _ in range(60):  # Newton steps on soft labels, with a ridge of one ten-thousandth of the mass
             p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-            step = np.linalg.solve((x * (scaled * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(beta)), x.T @ (scaled * (post - p)) - 0.1 * beta)
+            step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(len(beta)), x.T @ (share * (post - p)) - 1e-4 * beta)
             beta += np.clip(step, -2, 2)
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        out.update({(kind, tuple(v)): float(q) for v, q in zip(votes.tolist(), p, strict=True)})
+        out.update({(kind, tuple(v), tuple(t)): float(q) for v, t, q in zip(votes.tolist(), shapes.tolist(), p, strict=True)})
     return out
 
 
-SPANS = "base array<struct<s:int,e:int,kind:string>>, more array<struct<s:int,e:int,kind:string,votes:array<int>>>"
+SPANS = "base array<struct<s:int,e:int,kind:string>>, more array<struct<s:int,e:int,kind:string,votes:array<int>,traits:array<int>>>"
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
@@ -178,29 +211,30 @@ def find_spans(docs: DataFrame) -> DataFrame:
     def spans(texts: pd.Series) -> pd.DataFrame:
         base = [base_spans(t) for t in texts]
         more = [candidates(t, b) for t, b in zip(texts, base, strict=True)]
-        return pd.DataFrame({"base": [[{"s": s, "e": e, "kind": k} for s, e, k in b] for b in base], "more": [[{"s": s, "e": e, "kind": k, "votes": list(v)} for s, e, k, v in m] for m in more]}, columns=["base", "more"])
+        return pd.DataFrame({"base": [[{"s": s, "e": e, "kind": k} for s, e, k in b] for b in base], "more": [[{"s": s, "e": e, "kind": k, "votes": list(v), "traits": list(t)} for s, e, k, v, t in m] for m in more]}, columns=["base", "more"])
 
     return canonical(docs).select("doc_id", spans("text").alias("f")).select("doc_id", "f.base", "f.more")
 
 
+def accepted(row, model: dict[tuple, float], threshold: float) -> list[dict]:
+    """Of a text's candidates those that the classifier accepts, none overlapping."""
+    kept, end = [], -1
+    for c in sorted(row, key=lambda c: (c["s"], -c["e"])):
+        if c["s"] >= end and model.get((c["kind"], tuple(int(v) for v in c["votes"]), tuple(int(v) for v in c["traits"])), 0.0) >= threshold:
+            kept.append({"s": c["s"], "e": c["e"], "kind": c["kind"]})
+            end = c["e"]
+    return kept
+
+
 def detect_pii(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """doc_id, base and all spans as arrays of (s, e, kind)."""
+    """doc_id, base and added spans as arrays of (s, e, kind)."""
     found = materialize(find_spans(docs), "pii-spans")
-    counted = found.select(F.explode("more").alias("c")).groupBy("c.kind", "c.votes").agg(F.count("*").alias("n")).toPandas()
+    counted = found.select(F.explode("more").alias("c")).groupBy("c.kind", "c.votes", "c.traits").agg(F.count("*").alias("n")).toPandas()
     share = docs.sparkSession.sparkContext.broadcast(train_spans(counted))
 
     @F.pandas_udf("array<struct<s:int,e:int,kind:string>>")
-    def accept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            out = []
-            for row in batch:
-                kept, end = [], -1
-                for c in sorted(row, key=lambda c: (c["s"], -c["e"])):
-                    if c["s"] >= end and share.value.get((c["kind"], tuple(int(v) for v in c["votes"])), 0.0) >= threshold:
-                        kept.append({"s": c["s"], "e": c["e"], "kind": c["kind"]})
-                        end = c["e"]
-                out.append(kept)
-            yield pd.Series(out)
+    def accept(batch: pd.Series) -> pd.Series:
+        return pd.Series([accepted(row, share.value, threshold) for row in batch])
 
     return found.select("doc_id", "base", F.when(F.size("more") > 0, accept("more")).otherwise(F.array().cast("array<struct<s:int,e:int,kind:string>>")).alias("added"))
 
@@ -212,5 +246,6 @@ def _joined(spans):
 
 def op8_pii(spark, sf_dir: str) -> DataFrame:
     found = detect_pii(documents(spark, sf_dir))
-    counts = [F.size(F.filter("base", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
+    counts = [F.size(F.filter(side, lambda x, kind=kind: x.kind == kind)).cast("long").alias(f"n_{kind}") for side, kinds in (("base", KINDS), ("added", MORE_KINDS)) for kind in kinds]
+    total = F.size("base") + F.size("added")
+    return found.select("doc_id", *counts, total.cast("long").alias("n_spans"), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
