@@ -2,17 +2,22 @@
 
 Writer: an ID3v2 tag, a Xing table frame and checksum-protected Layer III frames carry a
 payload of whole 576-byte units, one unit a frame. Reader: skips and parses tags, finds
-frame headers (and finds them again after damage), reads Xing and VBRI tables, verifies
-the CRC-16 of protected frames and gives exact durations and seek offsets.
+frame headers (and finds them again after damage), reads Xing and VBRI tables with their
+seek tables and holds these against the frames found, verifies the CRC-16 of protected
+frames of all three layers and gives exact durations and seek offsets. The column of files
+is written to a table and read back before it is parsed.
 
 Defined results: null and empty texts are one unit of padding; a stream without frames
-parses to zero frames, duration 0 and no offsets; repeated rows repeat their values.
+parses to zero frames, duration 0 and no offsets; texts of any length are stored whole;
+repeated rows repeat their values; an empty table gives no rows; other columns, whatever
+their names, are ignored; nothing is ranked, so nothing ties.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -23,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import canonical, documents
+from curatrix.llm.common import canonical, documents, materialize
 
 UNIT = 576
 
@@ -69,6 +74,7 @@ class Header:
     rate: int
     padding: int
     mono: bool
+    bound: int
     size: int
     samples: int
 
@@ -93,7 +99,55 @@ def parse_header(four: bytes) -> Header | None:
     bitrate, rate = BITRATES[version == 3, layer][bit_index - 1] * 1000, SAMPLE_RATES[version][rate_index]
     samples = 384 if layer == 1 else 576 if layer == 3 and version != 3 else 1152
     size = (12 * bitrate // rate + pad) * 4 if layer == 1 else samples // 8 * bitrate // rate + pad
-    return Header(version, layer, not four[1] & 1, bitrate, rate, pad, four[3] >> 6 == 3, size, samples)
+    return Header(version, layer, not four[1] & 1, bitrate, rate, pad, four[3] >> 6 == 3, 4 * (four[3] >> 4 & 3) + 4 if four[3] >> 6 == 1 else 32, size, samples)
+
+
+# Fixed values of the standard, Layer II: for each allocation table the (last subband, bits of
+# allocation) steps.
+LAYER2 = (((3, 4), (11, 4), (23, 3), (27, 2)), ((3, 4), (11, 4), (23, 3), (30, 2)), ((2, 4), (8, 3)), ((2, 4), (12, 3)), ((4, 4), (11, 3), (30, 2)))
+
+
+def _layer2_table(h: Header) -> int:
+    each = h.bitrate // (1 if h.mono else 2) // 1000
+    if h.version != 3:
+        return 4
+    if 56 <= each <= 80 or h.rate == 48000 and each >= 56:
+        return 0
+    if h.rate != 48000 and each >= 96:
+        return 1
+    return 2 if h.rate != 32000 and each <= 48 else 3
+
+
+def covered_bits(data: bytes, at: int, h: Header) -> int:
+    """Bits behind the checksum that it covers: side information (III), allocation (I), or
+    allocation and scale factor selection (II)."""
+    if h.layer == 3:
+        return 8 * h.side
+    channels = 1 if h.mono else 2
+    if h.layer == 1:
+        bound = 32 if h.mono else h.bound
+        return 4 * (channels * bound + 32 - bound)
+    steps = LAYER2[_layer2_table(h)]
+    bits = int.from_bytes(data[at + 6 : at + 6 + 64].ljust(64, b"\0"), "big")
+    place = chosen = 0
+    for band in range(steps[-1][0]):
+        width = next(w for last, w in steps if band < last)
+        shared = not h.mono and band >= h.bound
+        for _ in range(1 if shared else channels):
+            value = bits >> (512 - place - width) & ((1 << width) - 1)
+            place += width
+            chosen += bool(value) * (channels if shared else 1)
+    return place + 2 * chosen
+
+
+def frame_crc(data: bytes, at: int, h: Header) -> int:
+    """The checksum that the frame at ``at`` should carry."""
+    n = covered_bits(data, at, h)
+    c = crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + n // 8])
+    for i in range(n % 8):
+        bit = data[at + 6 + n // 8] >> (7 - i) & 1
+        c = ((c << 1) ^ (0x8005 if (c >> 15) ^ bit else 0)) & 0xFFFF
+    return c
 
 
 # The writer's frames: version 1, Layer III, 48 kHz, stereo, 224 kbit/s, protected.
@@ -116,7 +170,7 @@ def write_mpeg(payload: bytes, text_bytes: int) -> bytes:
     frames = np.zeros((n + 1, _FRAME), np.uint8)
     frames[:, : len(_START)] = np.frombuffer(_START, np.uint8)
     frames[1:, len(_START) : len(_START) + UNIT] = np.frombuffer(payload, np.uint8).reshape(n, UNIT)
-    toc = bytes(min(255, 256 * i // 100) for i in range(100))
+    toc = bytes(min(255, 256 * (1 + n * i // 100) // (n + 1)) for i in range(100))
     xing = b"Xing" + struct.pack(">III", 7, n, (n + 1) * _FRAME) + toc
     frames[0, len(_START) : len(_START) + len(xing)] = np.frombuffer(xing, np.uint8)
     return tag + frames.tobytes()
@@ -133,6 +187,7 @@ class Parsed:
     skipped: int = 0
     bitrates: set[int] = field(default_factory=set)
     rate: int = 0
+    table_at: int = -1
 
 
 def _id3v2(data: bytes, at: int, tags: dict[str, str]) -> int:
@@ -171,10 +226,29 @@ def _table(data: bytes, at: int, h: Header) -> dict[str, object]:
         return out
     p = at + 4 + 32
     if data[p : p + 4] == b"VBRI":
-        return {"kind": "VBRI", "bytes": int.from_bytes(data[p + 10 : p + 14], "big"), "frames": int.from_bytes(data[p + 14 : p + 18], "big")}
+        size, frames, entries, scale, width, step = struct.unpack(">IIHHHH", data[p + 10 : p + 26].ljust(16, b"\0"))
+        steps = [scale * int.from_bytes(data[p + 26 + k * width : p + 26 + (k + 1) * width], "big") for k in range(entries)]
+        return {"kind": "VBRI", "bytes": size, "frames": frames, "step": step, "seek": list(itertools.accumulate(steps))}
     return {}
 
 
+def seek_table_holds(parsed: Parsed, size: int) -> bool | None:
+    """Whether the file's seek table names the frames found: a Xing table each hundredth of
+    the duration within a frame and its own grain (1/256 of the size), a VBRI table each
+    step's start. None without a table or frames."""
+    offsets, table = parsed.offsets, parsed.table
+    if not offsets or not (table.get("toc") or table.get("seek")):
+        return None
+    first = parsed.table_at if parsed.table_at >= 0 else offsets[0]
+    total = int(table.get("bytes") or size - first)
+    if "toc" in table:
+        frame = max(np.diff([*offsets, first + total]), default=0)
+        wanted = [offsets[len(offsets) * i // 100] - first for i in range(100)]
+        return all(abs(t * total / 256 - w) <= frame + total / 256 for t, w in zip(table["toc"], wanted, strict=True))
+    starts = [o - first for o in offsets[int(table["step"]) :: int(table["step"]) or 1]] if table["step"] else []
+    return all(a == b for a, b in zip(table["seek"], starts)) and len(starts) <= len(table["seek"])
+
+
 def parse_mpeg(data: bytes) -> Parsed:
     """All facts of a stream; a header counts where the next frame follows it or the data ends."""
     out = Parsed()
@@ -199,12 +273,11 @@ def parse_mpeg(data: bytes) -> Parsed:
             at, locked = found, False
             continue
         locked = True
-        if h.protected and h.layer == 3:
+        if h.protected:
             out.checked += 1
-            covered = data[at + 2 : at + 4] + data[at + 6 : at + 6 + h.side]
-            out.bad_crc += crc16(covered) != int.from_bytes(data[at + 4 : at + 6], "big")
+            out.bad_crc += frame_crc(data, at, h) != int.from_bytes(data[at + 4 : at + 6], "big")
         if not out.offsets and not out.table and (table := _table(data, at, h)):
-            out.table = table
+            out.table, out.table_at = table, at
         else:
             out.offsets.append(at)
             out.duration += Fraction(h.samples, h.rate) if h.rate != out.rate and out.rate else 0
@@ -238,34 +311,46 @@ def padded(raw: bytes) -> bytes:
     return raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT)
 
 
-MEDIA = "n_bytes long, media binary, payload_sha256 string, payload_bytes long, tail_crc32 long, media_bytes long, media_sha256 string, duration_num long, duration_den long, offsets array<long>, bad_crc long, feature string"
+STORED = "n_bytes long, media binary"
+FACTS = "payload_sha256 string, payload_bytes long, tail_crc32 long, media_bytes long, media_sha256 string, duration_num long, duration_den long, seek_offsets array<long>, bad_crc long, feature string"
 
 
-def _store(text: str) -> tuple:
+def stored(text: str) -> tuple[int, bytes]:
     raw = text.encode("utf-8", "surrogatepass")
-    media = write_mpeg(padded(raw), len(raw))
+    return len(raw), write_mpeg(padded(raw), len(raw))
+
+
+def facts(media: bytes) -> tuple:
+    """The values of FACTS, all from the stored bytes."""
     parsed = parse_mpeg(media)
     payload = read_payload(media, parsed)
     levels = np.frombuffer(payload, np.uint8)
-    rms = float(np.sqrt(np.mean((levels.astype(np.float32) - 128.0) ** 2)))
+    rms = float(np.sqrt(np.mean((levels.astype(np.float32) - 128.0) ** 2))) if len(levels) else 0.0
     d = parsed.duration
-    feature = f"kind=mpeg1-layer3;frames={len(parsed.offsets)};rate={parsed.rate};duration={d.numerator}/{d.denominator};kbps={','.join(str(b // 1000) for b in sorted(parsed.bitrates))};table={parsed.table.get('kind', 'none')}:{parsed.table.get('frames', 0)};crc={parsed.checked - parsed.bad_crc}/{parsed.checked};seek_last={parsed.offsets[-1] if parsed.offsets else -1};text_bytes={parsed.tags.get('TEXT_BYTES', '')};rms={rms:.3f}"
-    return (len(raw), media, hashlib.sha256(payload).hexdigest(), len(payload), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), d.numerator, d.denominator, parsed.offsets, parsed.bad_crc, feature)
+    feature = f"kind=mpeg1-layer3;frames={len(parsed.offsets)};rate={parsed.rate};duration={d.numerator}/{d.denominator};kbps={','.join(str(b // 1000) for b in sorted(parsed.bitrates))};table={parsed.table.get('kind', 'none')}:{parsed.table.get('frames', 0)};table_holds={seek_table_holds(parsed, len(media))};crc={parsed.checked - parsed.bad_crc}/{parsed.checked};text_bytes={parsed.tags.get('TEXT_BYTES', '')};rms={rms:.3f}"
+    return (hashlib.sha256(payload).hexdigest(), len(payload), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), d.numerator, d.denominator, parsed.offsets, parsed.bad_crc, feature)
 
 
-def mpeg_column(docs: DataFrame, keep_media: bool = True) -> DataFrame:
-    """doc_id and the struct of MEDIA; keep_media=False leaves out the file and its offsets."""
-    names = [x.split()[0] for x in MEDIA.split(", ")]
-    kept = [n for n in names if keep_media or n not in ("media", "offsets")]
+def media_column(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes and the file of every text."""
 
-    @F.pandas_udf(", ".join(x for x in MEDIA.split(", ") if x.split()[0] in kept))
+    @F.pandas_udf(STORED)
     def store(texts: pd.Series) -> pd.DataFrame:
-        rows = [_store(t) for t in texts]
-        return pd.DataFrame({n: [r[i] for r in rows] for i, n in enumerate(names) if n in kept}, columns=kept)
+        return pd.DataFrame([stored(t) for t in texts], columns=["n_bytes", "media"])
 
     return canonical(docs).select("doc_id", store("text").alias("m")).select("doc_id", "m.*")
 
 
+def media_facts(media: DataFrame) -> DataFrame:
+    """The columns of media but the file itself, and FACTS."""
+
+    @F.pandas_udf(FACTS)
+    def parse(files: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([facts(f) for f in files], columns=[x.split()[0] for x in FACTS.split(", ")])
+
+    others = [c for c in media.columns if c != "media"]
+    return media.select(*others, parse("media").alias("f")).select(*others, "f.*")
+
+
 def op5_mpeg_audio(spark, sf_dir: str) -> DataFrame:
-    media = mpeg_column(documents(spark, sf_dir), keep_media=False)
-    return media.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return media_facts(materialize(media_column(documents(spark, sf_dir)), "media")).drop("bad_crc")

@@ -226,7 +226,7 @@ def test_special_token_text_keeps_the_tokenizer_ids():
         assert list(encoder(path)(text)) == tok.encode(text, add_special_tokens=False).ids
 
 
-def test_mpeg_round_trip_and_resync(docs, empty):
+def test_mpeg_round_trip_and_resync(docs, empty, rows):
     from curatrix.llm import mpeg
 
     raw = prose(900).encode()
@@ -242,9 +242,70 @@ def test_mpeg_round_trip_and_resync(docs, empty):
     broken[parsed.offsets[2] + 10] ^= 1
     assert mpeg.parse_mpeg(bytes(broken)).bad_crc == 1
     assert mpeg.parse_mpeg(b"").offsets == [] and mpeg.parse_mpeg(b"\xff" * 50).duration == 0
-    out = mpeg.mpeg_column(docs).collect()
-    assert len(out) == docs.count() and all(r["payload_bytes"] % 576 == 0 and r["payload_bytes"] for r in out)
-    assert mpeg.mpeg_column(empty).count() == 0
+    out = mpeg.media_facts(mpeg.media_column(docs)).collect()
+    assert mpeg.media_facts(mpeg.media_column(empty)).count() == 0
+    got = Counter((r["doc_id"], r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in out)
+    want = Counter()
+    for d, t, *_ in rows:
+        raw = (t or "").encode()
+        pay = raw + b"\xff" * (576 - len(raw) % 576 if len(raw) % 576 or not raw else 0)
+        want[d, len(raw), len(pay), hashlib.sha256(pay).hexdigest(), zlib.crc32(pay[-32:])] += 1
+    assert got == want
+    files = {(r["doc_id"], r["n_bytes"]): r["media"] for r in mpeg.media_column(docs).collect()}
+    for r in out:
+        media = files[r["doc_id"], r["n_bytes"]]
+        assert r["media_bytes"] == len(media) and r["media_sha256"] == hashlib.sha256(media).hexdigest()
+        assert len(r["seek_offsets"]) == r["payload_bytes"] // 576 and all(media[o : o + 2] == b"\xff\xfa" for o in r["seek_offsets"])
+        assert "table_holds=True" in r["feature"] and r["bad_crc"] == 0
+
+
+def crc_bits(bits):
+    c = 0xFFFF
+    for b in bits:
+        c = ((c << 1) ^ (0x8005 if (c >> 15) ^ b else 0)) & 0xFFFF
+    return c
+
+
+def test_mpeg_checksums_of_layers_one_and_two():
+    from curatrix.llm import mpeg
+
+    rng = random.Random(4)
+    for head, bits in ((bytes((0xFF, 0xFE, 0x80, 0x00)), 256), (bytes((0xFF, 0xFE, 0x80, 0xC0)), 128), (bytes((0xFF, 0xFE, 0x80, 0x50)), 4 * (16 + 24))):
+        h = mpeg.parse_header(head)
+        body = bytes(rng.randrange(256) for _ in range(h.size - 6))
+        covered = [b >> (7 - i) & 1 for b in head[2:4] + body for i in range(8)][: 16 + bits]
+        frame = head + crc_bits(covered).to_bytes(2, "big") + body
+        assert h.layer == 1 and mpeg.covered_bits(frame, 0, h) == bits and mpeg.parse_mpeg(frame * 3).bad_crc == 0
+        assert mpeg.parse_mpeg(frame[:6] + bytes((frame[6] ^ 1,)) + frame[7:] + frame).bad_crc == 1
+    head = bytes((0xFF, 0xFC, 0xA4, 0x00))  # Layer II, 192 kbit/s, 48 kHz, stereo: table of 27 subbands
+    h = mpeg.parse_header(head)
+    widths = [4] * 11 + [3] * 12 + [2] * 4
+    zero = bytes(h.size - 6)
+    assert h.layer == 2 and mpeg.covered_bits(head + b"\0\0" + zero, 0, h) == 2 * sum(widths)
+    full = b"\xff" * (h.size - 6)
+    n = 2 * sum(widths) + 2 * 2 * 27
+    frame = head + crc_bits([b >> (7 - i) & 1 for b in head[2:4] + full for i in range(8)][: 16 + n]).to_bytes(2, "big") + full
+    assert mpeg.covered_bits(frame, 0, h) == n and mpeg.frame_crc(frame, 0, h) == int.from_bytes(frame[4:6], "big")
+
+
+def test_vbri_table_is_read_and_held_against_frames():
+    from curatrix.llm import mpeg
+
+    raw = prose(900).encode()
+    media = mpeg.write_mpeg(mpeg.padded(raw), len(raw))
+    parsed = mpeg.parse_mpeg(media)
+    size, first, n = mpeg._FRAME, parsed.table_at, len(parsed.offsets)
+    seek = [size * (1 + 2) if not k else size * 2 for k in range((n - 1) // 2)]
+    vbri = mpeg._START + b"VBRI" + bytes(6) + mpeg.struct.pack(">IIHHHH", (n + 1) * size, n, len(seek), 1, 2, 2) + b"".join(mpeg.struct.pack(">H", x) for x in seek)
+    at = first + 36
+    data = bytearray(media)
+    data[first + 4 : first + size] = bytes(size - 4)
+    data[at : at + len(vbri) - len(mpeg._START)] = vbri[len(mpeg._START) :]
+    again = mpeg.parse_mpeg(bytes(data))
+    assert again.table["kind"] == "VBRI" and again.table["frames"] == n and again.offsets == parsed.offsets
+    assert mpeg.seek_table_holds(again, len(data)) is True
+    again.table["seek"][1] += 1
+    assert mpeg.seek_table_holds(again, len(data)) is False
 
 
 def test_line_dedup(spark, empty):
@@ -328,7 +389,7 @@ def test_quality(spark, empty):
     assert sum(held) / len(held) > 0.95
     rng = np.random.default_rng(0)
     p, u = rng.normal(3, 1, 4000), np.r_[rng.normal(3, 1, 2800), rng.normal(-3, 1, 1200)]
-    assert abs(estimate_prior(p, u) - 0.7) < 0.06
+    assert abs(estimate_prior(*(np.histogram(v, np.linspace(-9, 9, 400))[0] for v in (p, u))) - 0.7) < 0.06
     assert score_quality(empty, labels).count() == 0 and {r["score"] for r in score_quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
