@@ -5,9 +5,12 @@ end, the most frequent words, and classes of all other words by beginning and en
 the two ids before it: the prediction vector is the sum of position-weighted context
 vectors, its product with an id's vector plus a bias is the id's score. Noise-contrastive
 estimation (shared noise of each batch, drawn from the unigram distribution, Adagrad) runs
-in every partition over all of its training text; the partitions' parameters are averaged
-by their token counts, aggregated in Spark by row. Normalised log-probabilities of all
-contexts come from one batched matrix product, as exp(a + b) sums to a product of
+over all training text. Texts are dealt by a hash of id and text into shards of about
+SHARD_TOKENS tokens, whatever files they lie in, and each shard's texts into ROUNDS rounds.
+In a round every shard learns from its texts of that round, starting from the average of all
+shards' parameters after the round before, weighted by tokens and aggregated in Spark by
+row. So scores follow the rows and not how files are split. Normalised log-probabilities of
+all contexts come from one batched matrix product, as exp(a + b) sums to a product of
 exponentials. A word inside its class has its add-one share of the class, where one unseen
 word a class has a share too, so all probabilities of a context sum to one.
 
@@ -15,12 +18,15 @@ Counts cover the whole training corpus and stay in a table. The most frequent LO
 travel with the scorer; other words of a text are joined with the table by word.
 
 Defined results: null and empty texts are one end token; a null id is in the fold of the
-empty string; repeated rows count and score as rows of their own; with no training rows all
-counts are 0 and the model is uniform; an empty table gives no rows.
+empty string; repeated rows count and score as rows of their own; texts of any length are
+read whole; words that tie in count are taken in the order of their bytes; with no training
+rows all counts are 0 and the model is uniform; an empty table gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bucket_of, canonical, documents, fold_column, materialize
+from curatrix.llm.common import bucket_of, by_texts, canonical, documents, fold_column, materialize
 
 FOLDS, HELD_OUT = 7, 2
 WORDS, CLASSES, DIM = 768, 255, 16
@@ -39,13 +45,12 @@ VOCAB = 1 + WORDS + CLASSES
 #: Words whose counts travel with the scorer, at most.
 LOOKUP = 1 << 17
 BATCH, NOISE, RATE, MIN_STEPS = 1024, 48, 0.15, 1500
-#: Ids of a partition that are held at once for training.
-HELD_IDS = 2_000_000
+#: Training tokens of a shard, about, and rounds of averaging.
+SHARD_TOKENS, ROUNDS = 4_000_000, 4
 #: Distinct words that a counting task holds before it passes them on.
 HELD_WORDS = 200_000
-#: Texts of an Arrow batch that are turned into Python values at once, and the words outside
-#: the lookup that a scoring task gathers before it passes its rows on.
-TEXTS, HELD_RARE = 256, 20_000
+#: Texts that a scoring task turns into ids together.
+TEXTS = 128
 
 
 def words_of(text: str) -> list[bytes]:
@@ -58,11 +63,21 @@ def class_of(word: bytes) -> int:
     return 1 + WORDS + zlib.crc32(word[:3] + b"\0" + (b"" if tail.isalpha() or tail >= b"\x80" else tail)) % CLASSES
 
 
-def by_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in short slices, so that a task's memory doesn't follow the batch size."""
-    for batch in batches:
-        for low in range(0, batch.num_rows, TEXTS):
-            yield batch.slice(low, TEXTS)
+class WordIds(dict):
+    """word -> id; words outside the vocabulary are remembered up to LOOKUP."""
+
+    def __missing__(self, word: bytes) -> int:
+        k = class_of(word)
+        if len(self) < LOOKUP:
+            self[word] = k
+        return k
+
+
+class Places(dict):
+    """word -> place in the lookup, -1 without one."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
 
 def count_words(training: DataFrame) -> DataFrame:
@@ -85,16 +100,19 @@ def count_words(training: DataFrame) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, most: int = LOOKUP):
-    """(word, c) of the most frequent words, by count and then by word: all whose count is
-    above the least at which no more than ``most`` are. Only these reach the driver."""
-    least, n = None, 0
+    """(word, c) of the ``most`` most frequent words, by count and then by word. Only these
+    reach the driver: all above the least count that fits, and of the next count the first."""
+    least, n, tie = None, 0, None
     for row in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).toLocalIterator():
-        n += row["n"]
-        if n > most:
+        if n + row["n"] > most:
+            tie = row["c"]
             break
+        n += row["n"]
         least = row["c"]
-    rows = counts.where(F.col("c") >= least).toPandas() if least is not None else counts.limit(0).toPandas()
-    return rows.sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
+    rows = counts.where(F.col("c") >= least) if least is not None else counts.limit(0)
+    if tie is not None and n < most:
+        rows = rows.unionByName(counts.where(F.col("c") == tie).orderBy("word").limit(most - n))
+    return rows.toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
 
 
 def _class_totals(counts: DataFrame, vocabulary: dict[bytes, int]) -> np.ndarray:
@@ -128,45 +146,54 @@ class LogBilinear:
         self.q = np.zeros((len(unigram), DIM), np.float32)
         self.b = np.log(self.noise).astype(np.float32)
 
-    def pack(self) -> np.ndarray:
-        """A row for each id, and one with the position weights."""
-        return np.concatenate([np.column_stack([self.r, self.q, self.b]), np.r_[self.c.ravel(), 0.0][None]]).astype(np.float64)
+    def parameters(self) -> tuple[np.ndarray, ...]:
+        return self.r, self.q, self.b[:, None], self.c
+
+    def pack(self, state: list[np.ndarray]) -> np.ndarray:
+        """A row for each id, and one with the position weights: parameters, then the sums of
+        squared gradients that scale their steps."""
+        body = np.column_stack([self.r, self.q, self.b, *state[:3]])
+        last = np.concatenate([self.c.ravel(), [0.0], state[3].ravel(), [0.0]])
+        return np.concatenate([body, last[None]]).astype(np.float64)
+
+    def unpack(self, rows: np.ndarray) -> list[np.ndarray]:
+        body, last, half = rows[:-1], rows[-1], 2 * DIM + 1
+        self.r, self.q, self.b = (np.ascontiguousarray(x, np.float32) for x in (body[:, :DIM], body[:, DIM : 2 * DIM], body[:, 2 * DIM]))
+        self.c = last[: 2 * DIM].reshape(2, DIM).astype(np.float32)
+        return [np.ascontiguousarray(x, np.float32) for x in (body[:, half : half + DIM], body[:, half + DIM : half + 2 * DIM], body[:, [-1]], last[half:-1].reshape(2, DIM))]
 
-    def unpack(self, rows: np.ndarray) -> None:
-        body = rows[:-1].astype(np.float32)
-        self.r, self.q, self.b = body[:, :DIM], body[:, DIM : 2 * DIM], body[:, -1]
-        self.c = rows[-1, : 2 * DIM].reshape(2, DIM).astype(np.float32)
+    def fresh_state(self) -> list[np.ndarray]:
+        return [np.full_like(p, 1e-4) for p in self.parameters()]
 
     def train(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray, steps: int, rng: np.random.Generator, state: list[np.ndarray]) -> None:
-        """Noise-contrastive steps over the positions, in a random order each time round."""
+        """Noise-contrastive steps over the positions, in a random order each time round.
+        Only the rows of a step's ids have gradients, so only these are touched."""
         n, cum, log_kq = len(w), np.cumsum(self.noise), np.log(NOISE * self.noise).astype(np.float32)
-        cells = np.arange(DIM)
         order, at = rng.permutation(n).astype(np.int32), 0
         for _ in range(steps):
             if at >= n:
                 order, at = rng.permutation(n).astype(np.int32), 0
             pick = order[at : at + BATCH]
             at += BATCH
-            a, b, y = w1[pick].astype(np.int64), w2[pick].astype(np.int64), w[pick].astype(np.int64)
-            noise = np.minimum(np.searchsorted(cum, rng.random(NOISE)), len(cum) - 1)
+            a, b, y = w1[pick], w2[pick], w[pick]
+            noise = np.minimum(np.searchsorted(cum, rng.random(NOISE)), len(cum) - 1).astype(y.dtype)
             ra, rb = self.r[a], self.r[b]
             h = ra * self.c[0] + rb * self.c[1]
             qy, qn = self.q[y], self.q[noise]
-            real = np.einsum("ij,ij->i", h, qy) + self.b[y] - log_kq[y]
+            real = np.einsum("ij,ij->i", h, qy) + (self.b[y] - log_kq[y])
             fake = h @ qn.T + (self.b[noise] - log_kq[noise])
             gr = 1 / (1 + np.exp(np.clip(real, -30, 30)))  # 1 - P(data | real)
             gf = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
             dh = gr[:, None] * qy + gf @ qn
-            gc = np.stack([(dh * ra).sum(0), (dh * rb).sum(0)])
-            flat = lambda ids: (ids[:, None] * DIM + cells).ravel()
-            size = self.r.size
-            dr = np.bincount(np.concatenate([flat(a), flat(b)]), np.concatenate([(dh * self.c[0]).ravel(), (dh * self.c[1]).ravel()]), size).reshape(self.r.shape)
-            dq = np.bincount(np.concatenate([flat(y), flat(noise)]), np.concatenate([(gr[:, None] * h).ravel(), (gf.T @ h).ravel()]), size).reshape(self.q.shape)
-            db = np.bincount(np.concatenate([y, noise]), np.concatenate([gr, gf.sum(0)]), len(self.b))
-            for i, (p, g) in enumerate(((self.r, dr), (self.q, dq), (self.b, db), (self.c, gc / 50))):
-                g = g / len(pick)
-                state[i] += g * g
-                p += (RATE * g / (np.sqrt(state[i]) + 1e-6)).astype(np.float32)
+            ga, gb = dh * self.c[0], dh * self.c[1]
+            gc = np.stack([(dh * ra).sum(0), (dh * rb).sum(0)]) / 50
+            ids, dr = _summed(np.concatenate([a, b]), np.concatenate([ga, gb]))
+            _step(self.r, state[0], ids, dr / len(pick))
+            ids, dq = _summed(np.concatenate([y, noise]), np.column_stack([np.concatenate([gr[:, None] * h, gf.T @ h]), np.concatenate([gr, gf.sum(0)])]))
+            dq /= len(pick)
+            _step(self.q, state[1], ids, dq[:, :DIM])
+            _step(self.b[:, None], state[2], ids, dq[:, DIM:])
+            _step(self.c, state[3], slice(None), gc / len(pick))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """a1[w1, w], a2[w2, w] and log z[w1, w2], with the bias in a1."""
@@ -177,54 +204,79 @@ class LogBilinear:
         return a1, a2, (np.log(np.maximum(z, 1e-300)) + m1[:, None] + m2[None]).astype(np.float32)
 
 
-def train_lbl(training: DataFrame, vocabulary: dict[bytes, int], unigram: np.ndarray) -> LogBilinear:
-    """Every partition trains on all of its texts; parameters are averaged by token count."""
-    model = LogBilinear(unigram)
-    share = training.sparkSession.sparkContext.broadcast((vocabulary, unigram))
-    columns = [f"v{i}" for i in range(2 * DIM + 1)]
+def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids and the sums of their rows."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return ids[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def _step(p: np.ndarray, state: np.ndarray, ids, g: np.ndarray) -> None:
+    """An Adagrad step uphill on some rows."""
+    new = state[ids] + g * g
+    state[ids] = new
+    p[ids] += RATE * g / (np.sqrt(new) + np.float32(1e-6))
+
+
+SHARD = "round int, shard long, h long, ids binary"
+
+
+def shard_ids(training: DataFrame, vocabulary: dict[bytes, int], shards: int) -> DataFrame:
+    """The training texts as 16-bit ids, dealt by a hash of id and text."""
+    share = training.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = share.value
-        local = LogBilinear(counts)
-        state = [np.full_like(p, 1e-4, dtype=np.float64) for p in (local.r, local.q, local.b, local.c)]
-        rng, n, cache = np.random.default_rng(3), 0, dict(known)
-
-        def learn(parts):
-            ids = np.concatenate(parts)
-            steps = max(-(-len(ids) // BATCH), MIN_STEPS if n == len(ids) else 0)
-            # Each text starts with two ends that are context only.
-            w = np.flatnonzero(ids != 0xFFFF)
-            w = w[(w >= 2)].astype(np.int32)
-            clean = np.where(ids == 0xFFFF, 0, ids)
-            local.train(clean[w - 2], clean[w - 1], clean[w], steps, rng, state)
-
-        parts, held = [], 0
+        known = WordIds(share.value)
         for batch in by_texts(batches):
-            for text in batch[0].to_pylist():
-                ids = [0xFFFF, 0xFFFF]
-                for word in words_of(text):
-                    if (k := cache.get(word)) is None:
-                        k = class_of(word)
-                        if len(cache) < LOOKUP:
-                            cache[word] = k
-                    ids.append(k)
-                ids.append(0)
-                parts.append(np.array(ids, np.uint16))
-                held += len(ids)
-                n += len(ids)
-            if held > HELD_IDS:
-                learn(parts)
-                parts, held = [], 0
-        if parts:
-            learn(parts)
-        if n:
-            rows = local.pack() * n
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array([float(n)] * len(rows)), *[pa.array(rows[:, i]) for i in range(rows.shape[1])]], names=["k", "n", *columns])
-
-    sums = training.select("text").mapInArrow(run, ", ".join(["k int", "n double", *[f"{c} double" for c in columns]])).groupBy("k").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns])
-    rows = sums.toPandas().sort_values("k")  # one row for each id
-    if len(rows):
-        model.unpack(rows[columns].to_numpy() / rows["n"].to_numpy()[:, None])
+            ids = [np.fromiter(map(known.__getitem__, words_of(t)), np.uint16).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["round"], batch["shard"], batch["h"], pa.array(ids, pa.binary())], names=["round", "shard", "h", "ids"])
+
+    h = F.xxhash64("doc_id", "text")
+    dealt = training.select(F.pmod(F.shiftright(h, 40), F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(h, F.lit(shards)).alias("shard"), h.alias("h"), "text")
+    return materialize(dealt.mapInArrow(run, SHARD).repartition("round", "shard"), "lm-ids")
+
+
+def learn_shard(model: LogBilinear, state: list[np.ndarray], texts: list[bytes], seed: int) -> int:
+    """A round's steps over a shard's texts, which come in a fixed order; the tokens there were."""
+    parts = []
+    for ids in texts:  # each text starts with two ends that are context only, and ends with one
+        body = np.frombuffer(ids, np.uint16)
+        parts.append(np.concatenate([np.array([0xFFFF, 0xFFFF], np.uint16), body, np.zeros(1, np.uint16)]))
+    ids = np.concatenate(parts)
+    at = np.flatnonzero(ids != 0xFFFF).astype(np.int32)
+    clean = np.where(ids == 0xFFFF, 0, ids).astype(np.int16)
+    model.train(clean[at - 2], clean[at - 1], clean[at], max(-(-len(at) // BATCH), MIN_STEPS // ROUNDS), np.random.default_rng(seed), state)
+    return len(at)
+
+
+def train_lbl(training: DataFrame, vocabulary: dict[bytes, int], unigram: np.ndarray) -> LogBilinear:
+    """ROUNDS rounds of training in shards and averaging."""
+    model = LogBilinear(unigram)
+    state = model.fresh_state()
+    shards = max(1, round((unigram.sum() - len(unigram)) / SHARD_TOKENS))
+    dealt = shard_ids(training, vocabulary, shards)
+    columns = [f"v{i}" for i in range(2 * (2 * DIM + 1))]
+    schema = ", ".join(["k int", "n double", *[f"{c} double" for c in columns]])
+
+    def learned(table: pa.Table, share, number: int) -> pa.Table:
+        counts, rows = share.value
+        local = LogBilinear(counts)
+        own = local.unpack(rows)
+        table = table.sort_by([("h", "ascending"), ("ids", "ascending")])
+        n = learn_shard(local, own, table["ids"].to_pylist(), 1000 * number + 3)
+        packed = local.pack(own) * n
+        return pa.table({"k": pa.array(range(len(packed)), pa.int32()), "n": pa.array([float(n)] * len(packed)), **{c: pa.array(packed[:, i]) for i, c in enumerate(columns)}})
+
+    def round_of(number: int):
+        share = training.sparkSession.sparkContext.broadcast((unigram, model.pack(state)))
+        return lambda table: learned(table, share, number)
+
+    for number in range(ROUNDS):
+        trained = dealt.where(F.col("round") == number).groupBy("shard").applyInArrow(round_of(number), schema)
+        rows = trained.groupBy("k").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns]).toPandas().sort_values("k")  # one row for each id
+        if len(rows):
+            state = model.unpack(rows[columns].to_numpy() / rows["n"].to_numpy()[:, None])
     return model
 
 
@@ -259,42 +311,41 @@ def score_language_model(docs: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, ids, base_of, within_of, log_class, (a1, a2, log_z) = share.value
-        index = {w: i for i, w in enumerate(words)}
-        ln10 = math.log(10)
-        names = [x.split()[0] for x in SCORED.split(", ")]
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        index = Places((w, i) for i, w in enumerate(words))
+        # One more row for words outside the lookup; their ids are set apart.
+        ids, both = np.r_[ids, 0], np.column_stack([np.r_[base_of, 0.0], np.r_[within_of, 0.0]])
+        a1, a2, log_z, ln10 = a1.ravel(), a2.ravel(), log_z.ravel(), math.log(10)
         pair = pa.struct([("word", pa.string()), ("n", pa.int64())])
-
-        def packed(rows: list[tuple], rare_words: list[bytes], rare_counts: list[int], ends: list[int]) -> pa.RecordBatch:
-            pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()).cast(pa.string()), pa.array(rare_counts, pa.int64())], fields=list(pair))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-            return pa.RecordBatch.from_arrays([*[pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], lists], names=names)
-
-        rows, rare_words, rare_counts, ends = [], [], [], [0]
-        for batch in by_texts(batches):
-            for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-                tokens = words_of(text)
-                at = np.array([index.get(w, -1) for w in tokens], np.int64)
-                found = at >= 0
-                rare = Counter(tokens[i] for i in np.flatnonzero(~found))
-                seq = np.zeros(len(at) + 3, np.int64)
-                seq[2:-1][found] = ids[at[found]]
-                kind = {w: class_of(w) for w in rare}
-                seq[2:-1][~found] = [kind[tokens[i]] for i in np.flatnonzero(~found)]
-                w2, w1, w = seq[:-2], seq[1:-1], seq[2:]
-                model = float((a1[w1, w].astype(np.float64) + a2[w2, w] - log_z[w1, w2]).sum()) / ln10
-                model += float(within_of[at[found]].sum()) - sum(n * log_class[kind[r] - 1 - WORDS] for r, n in rare.items())
-                base = float(base_of[at[found]].sum()) - log_base * sum(rare.values()) + end_log
-                rows.append((doc_id, bucket_of(doc_id, FOLDS) == HELD_OUT, len(tokens) + 1, int(found.sum()) + (n_docs > 0), base, model))
-                rare_words += rare.keys()
-                rare_counts += rare.values()
-                ends.append(len(rare_words))
-                if len(rare_words) >= HELD_RARE:
-                    yield packed(rows, rare_words, rare_counts, ends)
-                    rows, rare_words, rare_counts, ends = [], [], [], [0]
-            if rows:
-                yield packed(rows, rare_words, rare_counts, ends)
-                rows, rare_words, rare_counts, ends = [], [], [], [0]
+        for batch in by_texts(batches, TEXTS):
+            docs = batch[0].to_pylist()
+            tokens = [words_of(t) for t in batch[1].to_pylist()]
+            sizes = np.array([len(t) for t in tokens], np.int64)
+            owner = np.repeat(np.arange(len(tokens)), sizes)
+            at = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(tokens)), np.int64, int(sizes.sum()))
+            missing = np.flatnonzero(at < 0)
+            known = np.bincount(owner[at >= 0], minlength=len(tokens))
+            flat = list(itertools.chain.from_iterable(tokens)) if len(missing) else []
+            rare = Counter(zip(owner[missing].tolist(), (flat[i] for i in missing.tolist())))
+            kind = {w: class_of(w) for w in {w for _, w in rare}}
+            # Two ends before each text, one behind it.
+            begin = np.cumsum(sizes + 3) - (sizes + 3)
+            place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin, sizes) + 2
+            seq = np.zeros(int((sizes + 3).sum()), np.int64)
+            seq[place] = ids[at]
+            seq[place[missing]] = [kind[flat[i]] for i in missing.tolist()]
+            asked = np.delete(np.arange(len(seq)), np.concatenate([begin, begin + 1]))
+            w2, w1, w = seq[asked - 2], seq[asked - 1], seq[asked]
+            logs = a1[w1 * VOCAB + w].astype(np.float64) + a2[w2 * VOCAB + w] - log_z[w1 * VOCAB + w2]
+            model = np.add.reduceat(logs, np.cumsum(sizes + 1) - (sizes + 1)) / ln10
+            sums = np.stack([np.bincount(owner, both[at, i], len(tokens)) for i in range(2)])
+            unseen = np.array([[o, n, n * log_class[kind[w] - 1 - WORDS]] for (o, w), n in rare.items()]).reshape(-1, 3)
+            gone, behind = (np.bincount(unseen[:, 0].astype(np.int64), unseen[:, i], len(tokens)) for i in (1, 2))
+            pairs = pa.StructArray.from_arrays([pa.array([w for _, w in rare], pa.binary()).cast(pa.string()), pa.array(list(rare.values()), pa.int64())], fields=list(pair))
+            ends = np.searchsorted(unseen[:, 0], np.arange(len(tokens) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pairs)
+            held = [bucket_of(d, FOLDS) == HELD_OUT for d in docs]
+            columns = [pa.array(docs, pa.int64()), pa.array(held), pa.array(sizes + 1), pa.array(known + int(n_docs > 0)), pa.array(sums[0] - log_base * gone + end_log), pa.array(model + sums[1] - behind), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORED.split(", ")])
 
     parts = materialize(texts.mapInArrow(score, SCORED), "lm-parts").withColumn("row", F.monotonically_increasing_id())
     rare = parts.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts, "word")

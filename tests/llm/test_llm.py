@@ -110,6 +110,56 @@ def test_language_model(docs, empty, rows, monkeypatch):
     assert m.score_language_model(empty).count() == 0
 
 
+def test_language_model_score_is_the_models_probability(docs, rows, monkeypatch):
+    """The score again from the parameters: a softmax over all ids, then the share in the class."""
+    from curatrix.llm import language_model as m
+
+    rng, kept = np.random.default_rng(3), []
+
+    def drawn(training, vocabulary, unigram):
+        model = m.LogBilinear(unigram)
+        model.q = rng.normal(0, 0.4, model.q.shape).astype(np.float32)
+        kept.append((model, vocabulary))
+        return model
+
+    monkeypatch.setattr(m, "train_lbl", drawn)
+    monkeypatch.setattr(m, "LOOKUP", 30)
+    got = Counter((r["doc_id"], r["n_tokens"], round(r["score"], 1)) for r in m.score_language_model(docs).collect())
+    (model, vocabulary), = kept
+    tokens = [(d, (t or "").encode().lower().split()) for d, t, *_ in rows]
+    c = Counter(w for d, t in tokens if zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2 for w in t)
+    one = lambda w: vocabulary.get(w) or m.class_of(w)
+    inside = Counter()
+    for w in c:
+        if w not in vocabulary:
+            inside[one(w)] += c[w] + 1
+    want = Counter()
+    for d, t in tokens:
+        ids, total = [0, 0, *map(one, t), 0], 0.0
+        for i in range(2, len(ids)):
+            s = (model.r[ids[i - 1]] * model.c[0] + model.r[ids[i - 2]] * model.c[1]).astype(float) @ model.q.T + model.b
+            total += (s[ids[i]] - np.log(np.exp(s - s.max()).sum()) - s.max()) / math.log(10)
+        total += sum(math.log10((c[w] + 1) / (inside[one(w)] + 1)) for w in t if w not in vocabulary)
+        want[d, len(t) + 1, round(total, 1)] += 1
+    near = sum((got & want).values())
+    assert near >= len(rows) - 2  # a rounding edge may part one or two
+
+
+def test_language_model_does_not_follow_partitions(spark, docs):
+    from curatrix.llm.language_model import score_language_model
+
+    one, many = ({(r["doc_id"], r["n_tokens"]): r["score"] for r in score_language_model(docs.repartition(k)).collect()} for k in (1, 9))
+    assert one.keys() == many.keys() and all(math.isclose(one[k], many[k], rel_tol=1e-6) for k in one)
+
+
+def test_frequent_words_of_one_count(spark):
+    from curatrix.llm.language_model import frequent_words
+
+    counts = spark.createDataFrame([(f"w{i:03d}", 1) for i in range(50)] + [("top", 2)], "word string, c long")
+    assert frequent_words(counts, 4)["word"].tolist() == ["top", "w000", "w001", "w002"]
+    assert frequent_words(counts.where("c = 1"), 3)["word"].tolist() == ["w000", "w001", "w002"]
+
+
 def test_log_bilinear_is_normalised():
     from curatrix.llm.language_model import VOCAB, LogBilinear
 
