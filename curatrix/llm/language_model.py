@@ -170,6 +170,7 @@ class LogBilinear:
         Only the rows of a step's ids have gradients, so only these are touched."""
         n, cum, log_kq = len(w), np.cumsum(self.noise), np.log(NOISE * self.noise).astype(np.float32)
         order, at = rng.permutation(n).astype(np.int32), 0
+        np.seterr(over="ignore")
         for _ in range(steps):
             if at >= n:
                 order, at = rng.permutation(n).astype(np.int32), 0
@@ -182,8 +183,11 @@ class LogBilinear:
             qy, qn = self.q[y], self.q[noise]
             real = np.einsum("ij,ij->i", h, qy) + (self.b[y] - log_kq[y])
             fake = h @ qn.T + (self.b[noise] - log_kq[noise])
-            gr = 1 / (1 + np.exp(np.clip(real, -30, 30)))  # 1 - P(data | real)
-            gf = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+            gr = 1 / (1 + np.exp(real))  # 1 - P(data | real); an overflow means 0
+            np.negative(fake, out=fake)
+            np.exp(fake, out=fake)
+            fake += 1
+            gf = np.divide(-1, fake, out=fake)
             dh = gr[:, None] * qy + gf @ qn
             ga, gb = dh * self.c[0], dh * self.c[1]
             gc = np.stack([(dh * ra).sum(0), (dh * rb).sum(0)]) / 50
@@ -324,25 +328,28 @@ def score_language_model(docs: DataFrame) -> DataFrame:
             at = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(tokens)), np.int64, int(sizes.sum()))
             missing = np.flatnonzero(at < 0)
             known = np.bincount(owner[at >= 0], minlength=len(tokens))
+            names: dict[bytes, int] = {}
             flat = list(itertools.chain.from_iterable(tokens)) if len(missing) else []
-            rare = Counter(zip(owner[missing].tolist(), (flat[i] for i in missing.tolist())))
-            kind = {w: class_of(w) for w in {w for _, w in rare}}
+            named = np.array([names.setdefault(flat[i], len(names)) for i in missing.tolist()], np.int64)
+            kind = np.array([class_of(w) for w in names], np.int64)
+            pair_of, times = np.unique(owner[missing] * (len(names) + 1) + named, return_counts=True)
+            rare_owner, rare_name = np.divmod(pair_of, len(names) + 1)
             # Two ends before each text, one behind it.
             begin = np.cumsum(sizes + 3) - (sizes + 3)
             place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(begin, sizes) + 2
             seq = np.zeros(int((sizes + 3).sum()), np.int64)
             seq[place] = ids[at]
-            seq[place[missing]] = [kind[flat[i]] for i in missing.tolist()]
+            seq[place[missing]] = kind[named]
             asked = np.delete(np.arange(len(seq)), np.concatenate([begin, begin + 1]))
             w2, w1, w = seq[asked - 2], seq[asked - 1], seq[asked]
             logs = a1[w1 * VOCAB + w].astype(np.float64) + a2[w2 * VOCAB + w] - log_z[w1 * VOCAB + w2]
             model = np.add.reduceat(logs, np.cumsum(sizes + 1) - (sizes + 1)) / ln10
             sums = np.stack([np.bincount(owner, both[at, i], len(tokens)) for i in range(2)])
-            unseen = np.array([[o, n, n * log_class[kind[w] - 1 - WORDS]] for (o, w), n in rare.items()]).reshape(-1, 3)
-            gone, behind = (np.bincount(unseen[:, 0].astype(np.int64), unseen[:, i], len(tokens)) for i in (1, 2))
-            pairs = pa.StructArray.from_arrays([pa.array([w for _, w in rare], pa.binary()).cast(pa.string()), pa.array(list(rare.values()), pa.int64())], fields=list(pair))
-            ends = np.searchsorted(unseen[:, 0], np.arange(len(tokens) + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pairs)
+            gone = np.bincount(rare_owner, times, len(tokens))
+            behind = np.bincount(rare_owner, times * log_class[kind[rare_name] - 1 - WORDS], len(tokens))
+            rare = pa.array(list(names), pa.binary()).cast(pa.string()).take(pa.array(rare_name))
+            ends = np.searchsorted(rare_owner, np.arange(len(tokens) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([rare, pa.array(times.astype(np.int64))], fields=list(pair)))
             held = [bucket_of(d, FOLDS) == HELD_OUT for d in docs]
             columns = [pa.array(docs, pa.int64()), pa.array(held), pa.array(sizes + 1), pa.array(known + int(n_docs > 0)), pa.array(sums[0] - log_base * gone + end_log), pa.array(model + sums[1] - behind), lists]
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORED.split(", ")])
