@@ -114,13 +114,21 @@ def chats(t: Tables) -> DataFrame:
 
 
 def tensors(t: Tables) -> DataFrame:
-    """Recorded outputs: embeddings as expected values, a perturbed copy as got."""
-    expected = F.transform("embedding", lambda x: x.cast("double"))
-    bump = F.when(F.col("vec_id") % 5 == 0, 0.01).when(F.col("vec_id") % 3 == 0, 0.0001).otherwise(0.0)
-    return t.embeddings.select(F.col("vec_id").alias("case_id"), F.col("label").alias("job"), expected.alias("expected"), F.transform(expected, lambda x, i: x + F.when(i % 7 == 0, bump).otherwise(0.0)).alias("got"))
+    """Recorded outputs: embeddings as expected values, a copy as got that is perturbed, or
+    holds NaN or Inf at place 3, or is missing."""
+    v = F.col("vec_id")
+    nan, inf = F.lit(float("nan")), F.lit(float("inf"))
+    base = F.transform("embedding", lambda x: x.cast("double"))
+    bump = F.when(v % 5 == 0, 0.01).when(v % 3 == 0, 0.0001).otherwise(0.0)
+    expected = F.transform(base, lambda x, i: F.when((i == 3) & (v % 11 == 0), inf).when((i == 3) & (v % 17 == 0), nan).otherwise(x))
+    got = F.transform(base, lambda x, i: F.when((i == 3) & (v % 22 == 0), -inf).when((i == 3) & (v % 11 < 2), inf).when((i == 3) & ((v % 17 == 0) | (v % 13 == 0)), nan).otherwise(x + F.when(i % 7 == 0, bump).otherwise(0.0)))
+    return t.embeddings.select(v.alias("case_id"), F.col("label").alias("job"), (v % 2 == 0).alias("allows_nan"), expected.alias("expected"), F.when(v % 19 != 0, got).alias("got"))
 
 
 TENSORS_SQL = """elements AS (
-  SELECT vec_id AS case_id, label AS job, i, CAST(embedding[i + 1] AS DOUBLE) AS expected,
-    CAST(embedding[i + 1] AS DOUBLE) + CASE WHEN i % 7 = 0 THEN CASE WHEN vec_id % 5 = 0 THEN 0.01::DOUBLE WHEN vec_id % 3 = 0 THEN 0.0001::DOUBLE ELSE 0.0::DOUBLE END ELSE 0.0::DOUBLE END AS got
+  SELECT vec_id AS case_id, label AS job, vec_id % 2 = 0 AS allows_nan, vec_id % 19 = 0 AS missing, i,
+    CASE WHEN i = 3 AND vec_id % 11 = 0 THEN 'inf'::DOUBLE WHEN i = 3 AND vec_id % 17 = 0 THEN 'nan'::DOUBLE ELSE CAST(embedding[i + 1] AS DOUBLE) END AS expected,
+    CASE WHEN i = 3 AND vec_id % 22 = 0 THEN '-inf'::DOUBLE WHEN i = 3 AND vec_id % 11 < 2 THEN 'inf'::DOUBLE
+      WHEN i = 3 AND (vec_id % 17 = 0 OR vec_id % 13 = 0) THEN 'nan'::DOUBLE
+      ELSE CAST(embedding[i + 1] AS DOUBLE) + CASE WHEN i % 7 = 0 THEN CASE WHEN vec_id % 5 = 0 THEN 0.01::DOUBLE WHEN vec_id % 3 = 0 THEN 0.0001::DOUBLE ELSE 0.0::DOUBLE END ELSE 0.0::DOUBLE END END AS got
   FROM embeddings, LATERAL (SELECT unnest(range(0, len(embedding))) AS i))"""

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.plans.adapters import TENSORS_SQL, chats, tensors
+from curatrix.plans.adapters import chats
 from curatrix.plans.base import Tables, query
 
-# Rubric weights; derivation counts for formula questions only.
-WEIGHTS = {"factual": 0.35, "completeness": 0.25, "derivation": 0.15, "clarity": 0.15, "examples": 0.10}
-
 PAIRS_SQL = """pairs AS (SELECT conv_id, arg_max(text, turn) FILTER (role = 'user') AS u, arg_max(text, turn) FILTER (role = 'assistant') AS a, arg_min(text, turn) FILTER (role = 'system' AND trim(text) <> '') AS s FROM conversations GROUP BY conv_id)"""
 
 
@@ -74,87 +71,6 @@ def dataset_rule_failures(t: Tables) -> DataFrame:
     return _rules(t).where("state = 'fail'").groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list("rule")), ",").alias("failures"))
 
 
-JUDGED = ", ".join(f"least(10.0::DOUBLE, greatest(1.0::DOUBLE, CAST((d.doc_id * {i + 3}) % 13 AS DOUBLE))) AS {k}" for i, k in enumerate(WEIGHTS))
-_F, _T = sum(WEIGHTS.values()), sum(v for k, v in WEIGHTS.items() if k != "derivation")
-
-
-def _judged(t: Tables) -> DataFrame:
-    dims = [F.least(F.lit(10.0), F.greatest(F.lit(1.0), ((F.col("doc_id") * (i + 3)) % 13).cast("double"))).alias(k) for i, k in enumerate(WEIGHTS)]
-    return t.documents.join(t.labels, "doc_id").select("doc_id", "toxic", (F.col("lang") == "en").alias("formula"), *dims)
-
-
-def _overall():
-    full = sum(F.col(k) * (w / _F) for k, w in WEIGHTS.items())
-    theory = sum(F.col(k) * (w / _T) for k, w in WEIGHTS.items() if k != "derivation")
-    return F.when(F.col("formula"), full).otherwise(theory)
-
-
-OVERALL_SQL = "CASE WHEN formula THEN " + " + ".join(f"{k} * {w / _F!r}::DOUBLE" for k, w in WEIGHTS.items()) + " ELSE " + " + ".join(f"{k} * {w / _T!r}::DOUBLE" for k, w in WEIGHTS.items() if k != "derivation") + " END"
-JUDGED_SQL = f"WITH j AS (SELECT d.doc_id, toxic, lang = 'en' AS formula, {JUDGED} FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
-
-
-@query(f"{JUDGED_SQL} SELECT doc_id, round({OVERALL_SQL}, 3) AS overall, round(least({OVERALL_SQL}, factual, completeness), 3) AS capped FROM j")
-def rubric_overall(t: Tables) -> DataFrame:
-    """The weighted mean, and the same capped by its two decisive axes."""
-    return _judged(t).select("doc_id", F.round(_overall(), 3).alias("overall"), F.round(F.least(_overall(), "factual", "completeness"), 3).alias("capped"))
-
-
-@query(f"{JUDGED_SQL} SELECT toxic = 0 AND {OVERALL_SQL} >= 6 AND factual >= 5 AS accepted, count(*) AS n FROM j GROUP BY ALL")
-def rubric_accept(t: Tables) -> DataFrame:
-    return _judged(t).groupBy(((F.col("toxic") == 0) & (_overall() >= 6) & (F.col("factual") >= 5)).alias("accepted")).agg(F.count("*").alias("n"))
-
-
-ATOL, RTOL = 1e-4, 1e-3
-
-
-def _compared(got, expected):
-    """Per tensor: compared, mismatched, the largest error. NaN equals NaN nowhere here."""
-    err = F.zip_with(got, expected, lambda g, e: F.abs(g - e))
-    bad = F.zip_with(got, expected, lambda g, e: F.abs(g - e) > ATOL + RTOL * F.abs(e))
-    return F.size(expected).cast("long").alias("n_compared"), F.size(F.filter(bad, lambda x: x)).cast("long").alias("n_mismatch"), F.round(F.array_max(err), 6).alias("max_abs")
-
-
-@query(f"WITH {TENSORS_SQL} SELECT case_id, count(*) AS n_compared, count(*) FILTER (abs(got - expected) > {ATOL}::DOUBLE + {RTOL}::DOUBLE * abs(expected)) AS n_mismatch, round(max(abs(got - expected)), 6) AS max_abs FROM elements GROUP BY case_id")
-def tensor_compare(t: Tables) -> DataFrame:
-    return tensors(t).select("case_id", *_compared(F.col("got"), F.col("expected")))
-
-
-SORTED_SQL = f"WITH {TENSORS_SQL}, g AS (SELECT case_id, got, row_number() OVER (PARTITION BY case_id ORDER BY got) AS rn FROM elements), x AS (SELECT case_id, expected, row_number() OVER (PARTITION BY case_id ORDER BY expected) AS rn FROM elements), elementwise AS (SELECT case_id, got, expected FROM g JOIN x USING (case_id, rn))"
-
-
-@query(f"{SORTED_SQL} SELECT case_id, count(*) AS n_compared, count(*) FILTER (abs(got - expected) > {ATOL}::DOUBLE + {RTOL}::DOUBLE * abs(expected)) AS n_mismatch, round(max(abs(got - expected)), 6) AS max_abs FROM elementwise GROUP BY case_id")
-def tensor_compare_sorted(t: Tables) -> DataFrame:
-    """Multiset comparison: both sides sorted."""
-    return tensors(t).select("case_id", *_compared(F.array_sort("got"), F.array_sort("expected")))
-
-
-@query(f"WITH {TENSORS_SQL} SELECT case_id, count(DISTINCT got) AS n_got, count(DISTINCT expected) AS n_expected FROM elements GROUP BY case_id")
-def tensor_compare_set(t: Tables) -> DataFrame:
-    return tensors(t).select("case_id", F.size(F.array_distinct("got")).cast("long").alias("n_got"), F.size(F.array_distinct("expected")).cast("long").alias("n_expected"))
-
-
-@query(f"WITH {TENSORS_SQL}, c AS (SELECT job, case_id, count(*) FILTER (abs(got - expected) > {ATOL}::DOUBLE + {RTOL}::DOUBLE * abs(expected)) AS bad FROM elements GROUP BY ALL) SELECT job, count(*) AS cases_run, count(*) FILTER (bad > 0) AS failing, min(case_id) FILTER (bad > 0) AS first_failing, CASE WHEN count(*) FILTER (bad > 0) = 0 THEN 'pass' ELSE 'fail' END AS status FROM c GROUP BY job")
-def case_fold(t: Tables) -> DataFrame:
-    """Tensor results folded to a report for each job."""
-    cases = tensors(t).select("job", "case_id", _compared(F.col("got"), F.col("expected"))[1])
-    bad = F.col("n_mismatch") > 0
-    return cases.groupBy("job").agg(F.count("*").alias("cases_run"), F.count_if(bad).alias("failing"), F.min(F.when(bad, F.col("case_id"))).alias("first_failing"), F.when(F.count_if(bad) == 0, "pass").otherwise("fail").alias("status"))
-
-
-@query("SELECT p_partkey AS case_id, (p_size - 1) * 7 * 3 + (7 - 1) * 3 + (3 - 1) + 1 AS storage_numel, [21, 3, 1][CAST(p_partkey % 3 AS INT) + 1] AS stride FROM part")
-def stride_numel(t: Tables) -> DataFrame:
-    """Elements that a row-major tensor of shape (size, 7, 3) spans, and one stride."""
-    shape, strides = F.array(F.col("p_size"), F.lit(7), F.lit(3)), F.array(F.lit(21), F.lit(3), F.lit(1))
-    numel = F.aggregate(F.zip_with(shape, strides, lambda n, s: (n - 1) * s), F.lit(1), lambda a, x: a + x)
-    return t.part.select(F.col("p_partkey").alias("case_id"), numel.alias("storage_numel"), F.element_at(strides, (F.col("p_partkey") % 3).cast("int") + 1).alias("stride"))
-
-
-@query("WITH p AS (SELECT p_partkey, p_brand, p_retailprice / 1e6 AS atol, p_size / 1000.0 AS rtol FROM part) SELECT p_partkey AS manifest, least(1e-4::DOUBLE, CAST(atol AS DOUBLE)) AS atol, least(1e-3::DOUBLE, CAST(rtol AS DOUBLE)) AS rtol FROM p")
-def tolerance_merge(t: Tables) -> DataFrame:
-    """The stricter of the default and the manifest."""
-    return t.part.select(F.col("p_partkey").alias("manifest"), F.least(F.lit(1e-4), F.col("p_retailprice") / 1e6).alias("atol"), F.least(F.lit(1e-3), F.col("p_size") / 1000.0).alias("rtol"))
-
-
 @query("SELECT p_type AS task, p_brand AS dialect, count(*) FILTER (p_size % 2 = 0) AS good, count(*) FILTER (p_size % 2 = 1 AND p_size % 3 <> 0) AS mutants_caught, count(*) FILTER (p_size % 2 = 1) AS mutants FROM part GROUP BY ALL")
 def mutation_summary(t: Tables) -> DataFrame:
     even, third = F.col("p_size") % 2 == 0, F.col("p_size") % 3 == 0

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from curatrix.functions.names import track
 from curatrix.functions.text import operation_family
 from curatrix.operators import rules as R
-from curatrix.plans.adapters import TENSORS_SQL, TRACE_SQL, tensors, trace
+from curatrix.plans.adapters import TRACE_SQL, trace
 from curatrix.plans.base import Tables, query
-from curatrix.plans.data import ATOL, PAIRS_SQL, RTOL, USABLE, _compared, pairs
+from curatrix.plans.data import PAIRS_SQL, USABLE, pairs
+from curatrix.plans.numeric import PLACED_SQL, _verdicts
 from curatrix.plans.rules import by_hand
 
 KERNEL = "__global__ void k() {}"
@@ -104,29 +105,33 @@ def evidence_numbers(x):
     return [R.general(x, 4), R.general(x, 6)]
 
 
-CASES = f"c AS (SELECT job, case_id, count(*) AS n, count(*) FILTER (abs(got - expected) > {ATOL}::DOUBLE + {RTOL}::DOUBLE * abs(expected)) AS bad, round(max(abs(got - expected)), 6) AS err FROM elements GROUP BY ALL)"
-
-
-@query(f"WITH {TENSORS_SQL}, {CASES} SELECT case_id, '  [' || CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END || '] ' || case_id || ' n=' || n || ' mismatch=' || bad || ' max_abs=' || printf('%.4g', err) AS line FROM c")
+@query(
+    f"""{PLACED_SQL} SELECT case_id, '  [' || CASE WHEN error = '' THEN 'PASS' ELSE 'FAIL' END || '] ' || case_id || ' n=' || n_compared || ' mismatch=' || n_mismatch || ' max_abs=' || printf('%.4g', round(max_abs, 6)) AS line FROM verdicts"""
+)
 def case_log_lines(t: Tables) -> DataFrame:
     """The log line of each case."""
-    rows = tensors(t).select("case_id", *_compared(F.col("got"), F.col("expected")))
-    flag = F.when(F.col("n_mismatch") == 0, "PASS").otherwise("FAIL")
-    return rows.select("case_id", F.concat(F.lit("  ["), flag, F.lit("] "), F.col("case_id").cast("string"), F.lit(" n="), F.col("n_compared").cast("string"), F.lit(" mismatch="), F.col("n_mismatch").cast("string"), F.lit(" max_abs="), R.general(F.col("max_abs"), 4)).alias("line"))
+    flag = F.when(F.col("v.status") == "pass", "PASS").otherwise("FAIL")
+    parts = [F.lit("  ["), flag, F.lit("] "), F.col("case_id").cast("string"), F.lit(" n="), F.col("v.n_compared").cast("string"), F.lit(" mismatch="), F.col("v.n_mismatch").cast("string"), F.lit(" max_abs="), R.general(F.round("v.max_abs", 6), 4)]
+    return _verdicts(t, "elementwise").select("case_id", F.concat(*parts).alias("line"))
 
 
-@query(f"WITH {TENSORS_SQL}, {CASES}, o AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY case_id) AS rn FROM c WHERE bad > 0) SELECT job, count(*) AS cases_run, min(case_id) FILTER (bad > 0) AS failed_case, CASE WHEN count(*) FILTER (bad > 0) > 0 THEN 'numeric_mismatch' ELSE '' END AS error_class, (SELECT string_agg(case_id || ' mismatch=' || bad || '/' || n, ';' ORDER BY case_id) FROM o WHERE o.job = c.job AND rn <= 3) AS evidence FROM c GROUP BY job")
+@query(
+    f"""{PLACED_SQL}, k AS (SELECT *, CASE WHEN error LIKE 'NaN%' OR error LIKE 'Inf%' THEN 'nan_inf' ELSE 'numeric_mismatch' END AS kind FROM verdicts),
+o AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY case_id) AS rn FROM k WHERE error <> '')
+SELECT job, count(*) AS cases_run, min(case_id) FILTER (error <> '') AS failed_case, coalesce(arg_min(kind, case_id) FILTER (error <> ''), '') AS error_class,
+  (SELECT string_agg(case_id || ' ' || kind || ' mismatch=' || n_mismatch || '/' || n_compared, ';' ORDER BY case_id) FROM o WHERE o.job = k.job AND rn <= 3) AS evidence FROM k GROUP BY job"""
+)
 def refval_report(t: Tables) -> DataFrame:
     """A job's report with its first three failing cases as evidence. The rank is limited
     before the shuffle, so no task gathers a job's cases."""
-    rows = tensors(t).select("job", "case_id", *_compared(F.col("got"), F.col("expected"))[:2])
-    bad = F.col("n_mismatch") > 0
-    line = F.concat(F.col("case_id").cast("string"), F.lit(" mismatch="), F.col("n_mismatch").cast("string"), F.lit("/"), F.col("n_compared").cast("string"))
-    first = rows.where(bad).withColumn("rank", F.row_number().over(Window.partitionBy("job").orderBy("case_id"))).where("rank <= 3")
-    evidence = first.groupBy("job").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("case_id", line.alias("l")))), lambda x: x["l"]), ";").alias("evidence"))
-    totals = rows.groupBy("job").agg(F.count("*").alias("cases_run"), F.min(F.when(bad, F.col("case_id"))).alias("failed_case"))
+    bad = F.col("v.status") == "fail"
+    kind = F.when(F.col("v.error").rlike("^(NaN|Inf)"), "nan_inf").otherwise("numeric_mismatch")
+    rows = _verdicts(t, "elementwise").select("job", "case_id", bad.alias("bad"), kind.alias("kind"), F.format_string("%d %s mismatch=%d/%d", "case_id", kind, "v.n_mismatch", "v.n_compared").alias("line"))
+    first = rows.where("bad").withColumn("rank", F.row_number().over(Window.partitionBy("job").orderBy("case_id"))).where("rank <= 3")
+    evidence = first.groupBy("job").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("case_id", "line"))), lambda x: x["line"]), ";").alias("evidence"))
+    totals = rows.groupBy("job").agg(F.count("*").alias("cases_run"), F.min(F.when(F.col("bad"), F.struct("case_id", "kind"))).alias("f"))
     both = totals.alias("t").join(evidence.alias("e"), F.expr("t.job <=> e.job"), "left")
-    return both.select("t.job", "cases_run", "failed_case", F.when(F.col("failed_case").isNotNull(), "numeric_mismatch").otherwise("").alias("error_class"), "evidence")
+    return both.select("t.job", "cases_run", F.col("f.case_id").alias("failed_case"), F.coalesce("f.kind", F.lit("")).alias("error_class"), "evidence")
 
 
 REQUIRED = ("critic", "generate", "refval_extract")
