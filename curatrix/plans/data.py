@@ -42,35 +42,6 @@ def export_counts(t: Tables) -> DataFrame:
     return pairs(t).agg(F.count("*").alias("n_rows"), F.count_if(F.expr(USABLE)).alias("exported"), F.count("s").alias("with_system"))
 
 
-RULES_SQL = f"""WITH {PAIRS_SQL}, n AS (SELECT conv_id, count(*) AS turns, count(*) FILTER (role = 'user') AS users FROM conversations GROUP BY ALL),
-r AS (SELECT p.conv_id, unnest([{{'rule': 'H1', 'state': CASE WHEN u IS NULL OR a IS NULL THEN 'fail' ELSE 'pass' END}}, {{'rule': 'H2', 'state': CASE WHEN s IS NULL THEN 'n/a' WHEN lower(s) LIKE '%repair%' THEN 'fail' ELSE 'pass' END}}, {{'rule': 'H4', 'state': CASE WHEN turns > 6 THEN 'fail' ELSE 'pass' END}}, {{'rule': 'H6', 'state': CASE WHEN a IS NULL THEN 'n/a' WHEN length(a) < 200 THEN 'fail' ELSE 'pass' END}}, {{'rule': 'H9', 'state': 'n/a'}}]) AS x FROM pairs p JOIN n USING (conv_id))"""
-
-
-def _rules(t: Tables) -> DataFrame:
-    """One row per archive row and rule."""
-    shape = t.conversations.groupBy("conv_id").agg(F.count("*").alias("turns"))
-    rows = pairs(t).join(shape, "conv_id")
-    state = {
-        "H1": F.when(F.col("u").isNull() | F.col("a").isNull(), "fail").otherwise("pass"),
-        "H2": F.when(F.col("s").isNull(), "n/a").when(F.lower("s").contains("repair"), "fail").otherwise("pass"),
-        "H4": F.when(F.col("turns") > 6, "fail").otherwise("pass"),
-        "H6": F.when(F.col("a").isNull(), "n/a").when(F.length("a") < 200, "fail").otherwise("pass"),
-        "H9": F.lit("n/a"),
-    }
-    return rows.select("conv_id", F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("state")) for k, v in state.items()])).alias("x")).select("conv_id", "x.rule", "x.state")
-
-
-@query(f"{RULES_SQL} SELECT x.rule AS rule, count(*) FILTER (x.state = 'pass') AS passed, count(*) FILTER (x.state = 'fail') AS failed, count(*) FILTER (x.state = 'n/a') AS not_applicable FROM r GROUP BY ALL")
-def dataset_rule_counts(t: Tables) -> DataFrame:
-    n = lambda s: F.count_if(F.col("state") == s)
-    return _rules(t).groupBy("rule").agg(n("pass").alias("passed"), n("fail").alias("failed"), n("n/a").alias("not_applicable"))
-
-
-@query(f"{RULES_SQL} SELECT conv_id, string_agg(x.rule, ',' ORDER BY x.rule) AS failures FROM r WHERE x.state = 'fail' GROUP BY conv_id")
-def dataset_rule_failures(t: Tables) -> DataFrame:
-    return _rules(t).where("state = 'fail'").groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list("rule")), ",").alias("failures"))
-
-
 @query("SELECT p_type AS task, p_brand AS dialect, count(*) FILTER (p_size % 2 = 0) AS good, count(*) FILTER (p_size % 2 = 1 AND p_size % 3 <> 0) AS mutants_caught, count(*) FILTER (p_size % 2 = 1) AS mutants FROM part GROUP BY ALL")
 def mutation_summary(t: Tables) -> DataFrame:
     even, third = F.col("p_size") % 2 == 0, F.col("p_size") % 3 == 0
