@@ -71,6 +71,23 @@ def numbered(df: DataFrame, name: str = "row") -> DataFrame:
     return (df if plain else materialize(df, "numbered")).withColumn(name, F.monotonically_increasing_id())
 
 
+#: Bits of the map that tells which keys a table may hold, 2 MB.
+MAP_BITS = 1 << 24
+
+
+def may_hold(df: DataFrame, ids: DataFrame, key: str = "row", flag: str = "__may") -> DataFrame:
+    """df with a flag that is true for every key in ids and for few others: a bitmap of hashed
+    keys, of one size at every size of ids, is broadcast. It spares rows without a partner the
+    shuffle of a join; it decides nothing."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_BITS)) + 1
+    maps = ids.select(slot(F.col(key)).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits"))
+    place = F.bitmap_bit_position(slot(F.col(key)))
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(place, F.lit(8)))), F.lit(2))
+    joined = df.withColumn("__bucket", F.bitmap_bucket_number(slot(F.col(key)))).join(F.broadcast(maps), "__bucket", "left")
+    return joined.withColumn(flag, F.coalesce(bit == 1, F.lit(False))).drop("__bucket", "__bits")
+
+
 def without_rows(df: DataFrame, gone: DataFrame, key: str = "row") -> DataFrame:
     """df without the rows whose key is in gone (materialised ids), which is broadcast while it is small."""
     small = gone.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS

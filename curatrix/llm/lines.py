@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import by_texts, documents, materialize, numbered, partitions_for
+from curatrix.llm.common import by_texts, documents, materialize, may_hold, numbered, partitions_for
 from curatrix.llm.near_copies import near_copy_groups
 
 SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
@@ -154,7 +154,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     """rows (row, text) -> (row, line) of every line to drop, line by the hash of its masked text."""
 
     def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_texts(batches):
+        for batch in by_texts(batches, 1024):
             out: list[list] = [[], [], [], [], []]
             for row, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 lines = _doc_lines(text, leading)
@@ -177,7 +177,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(share.value).astype(bool)
-        for batch in by_texts(batches):
+        for batch in by_texts(batches, 1024):
             seen: dict[int, tuple[int, str]] = {}
             for text in batch[1].to_pylist():
                 for h, where in _doc_lines(text, leading).items():
@@ -227,7 +227,8 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     # Equal texts are near copies: what recurs in too few different texts needs no closer look.
     lines = materialize(_with_templates(named, recur(named, "whole")), "shared-lines")
     # Surroundings: groups of near copies among the documents that hold such lines.
-    holders = materialize(rows.join(materialize(lines.where("solid >= 0").groupBy("whole").agg(F.min("row").alias("row")), "holders").select("row"), "row", "left_semi"), "holder-texts")
+    first = materialize(lines.where("solid >= 0").groupBy("whole").agg(F.min("row").alias("row")), "holders").select("row")
+    holders = materialize(may_hold(rows, first).where("__may").join(first, "row", "left_semi").select("row", "text"), "holder-texts")
     groups = near_copy_groups(holders).join(lines.select("row", "whole").distinct(), "row").select("whole", "group")
     recurring = recur(lines.join(groups, "whole"), "group")
     return _with_templates(lines, recurring).select("row", "line")
@@ -255,7 +256,9 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame
         out = [(t, 0, t.count("\n") + 1) if t is None or h is None or not len(h) else drop_lines(t, {int(x) for x in h}) for t, h in zip(texts.fillna(""), lines, strict=True)]
         return pd.DataFrame(out, columns=["text", "n_dropped", "n_lines"])
 
-    joined = rows.join(lists, "row", "left")
+    lists = materialize(lists, "lists")
+    marked = may_hold(rows, lists)
+    joined = marked.where("__may").join(lists, "row", "left").unionByName(marked.where("not __may").withColumn("lines", F.lit(None).cast("array<long>")))
     done = joined.select("__doc", rebuilt(F.col("__doc")[text_col], F.col("lines")).alias("r"))
     text = F.when(F.col("__doc")[text_col].isNull(), F.lit(None)).otherwise(F.col("r.text")).alias(text_col)
     return done.select(*[text if c == text_col else F.col("__doc")[c].alias(c) for c in docs.columns], F.struct("r.n_lines", "r.n_dropped").alias("__lines"))

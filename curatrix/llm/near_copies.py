@@ -14,7 +14,8 @@ Sets that meet are linked if their sizes allow 0.8, their SimHash fingerprints d
 so linked are gathered, and within a group the exact similarity is taken of all pairs that
 are not joined already.
 
-Equal sets are collapsed first. Shards and groups join each member to one other, so n copies
+Where more than ``CROWD`` sets meet in one place, the frequent shingles are found and all sets
+described again. Equal sets are collapsed first. Shards and groups join each member to one other, so n copies
 leave n links and not n^2. A group of different near copies is gathered in one task.
 
 Defined results: words and case are those of ``shingle_hashes``; texts of fewer words than a
@@ -24,7 +25,6 @@ are compared whole; an empty table gives no rows.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import by_texts, materialize, numbered, partitions_for, without_rows
+from curatrix.llm.common import by_texts, materialize, may_hold, numbered, partitions_for, without_rows
 from curatrix.llm.components import components
 
 #: Similarity as a fraction, and words of a shingle.
@@ -44,36 +44,61 @@ FEW = 16
 #: Shingles that a task meets in LOCAL of CHUNK texts count as frequent; the FREQUENT most
 #: frequent go last. Which ones do decides the order of meeting, never the result.
 CHUNK, LOCAL, FREQUENT = 2048, 8, 1 << 17
-#: Words whose hashes a task remembers.
-KNOWN_WORDS = 1 << 17
+#: Bytes whose words are hashed together.
+BLOCK = 1 << 18
+#: Sets that meet in one place from which on frequent shingles are looked for.
+CROWD = 1024
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_BASE = 0xD1342543DE82EF95
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+# A 64-bit value for each byte; capital letters have those of small ones.
+_LETTERS = np.random.default_rng(64).integers(1, 1 << 63, 256, np.uint64)
+_LETTERS[65:91] = _LETTERS[97:123]
 
 
 class Shingler:
-    """Hashes of five-word shingles; word hashes are remembered."""
+    """Hashes of five-word shingles. A word's hash is a polynomial of its bytes modulo 2^64,
+    taken for all words of a batch at once from running sums."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def codes(self, text: str) -> list[int]:
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        known = self.known
-        codes = [known.get(w) for w in words]
-        if None in codes:
-            digest = xxhash.xxh64_intdigest
-            for i, code in enumerate(codes):
-                if code is None:
-                    codes[i] = h = digest(words[i])
-                    if len(known) < KNOWN_WORDS:
-                        known[words[i]] = h
-        return codes
+        self.powers = np.empty((2, 0), np.uint64)
+
+    def _powers(self, n: int) -> np.ndarray:
+        if self.powers.shape[1] < n:
+            size = max(n, BLOCK)
+            self.powers = np.stack([np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, np.uint64(base))]) for base in (_BASE, _INVERSE)])
+        return self.powers
+
+    def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words, and how many each text has."""
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+        if not len(data):
+            return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+        inside = np.r_[False, ~_SPACE[data], False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        h, word = np.empty(len(start), np.uint64), 0
+        while word < len(start):  # blocks of words keep the sums short
+            base = start[word]
+            last = max(word + 1, int(np.searchsorted(end, base + BLOCK, "right")))
+            block = data[base : end[last - 1]]
+            up, down = self._powers(len(block))
+            sums = np.r_[np.uint64(0), np.cumsum(_LETTERS[block] * up[: len(block)])]
+            at = start[word:last] - base
+            h[word:last] = (sums[end[word:last] - base] - sums[at]) * down[at]
+            word = last
+        h = (h ^ (end - start).astype(np.uint64)) * _MIX[1]
+        h ^= h >> np.uint64(29)
+        bounds = np.cumsum([len(x) + 1 for x in raw])
+        return h, np.diff(np.searchsorted(start, np.r_[0, bounds]))
 
     def sets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(hashes, bounds): the sorted distinct shingle hashes of text i lie between
         bounds[i] and bounds[i + 1]."""
-        lists = [self.codes(t) for t in texts]
-        sizes = np.array([len(x) for x in lists], np.int64)
-        codes = np.fromiter(itertools.chain.from_iterable(lists), np.uint64, int(sizes.sum()))
+        codes, sizes = self.codes(texts)
         runs = np.where(sizes > 0, np.maximum(sizes - WORDS + 1, 1), 0)
         owner = np.repeat(np.arange(len(texts)), runs)
         first = np.r_[0, np.cumsum(sizes)[:-1]] if len(sizes) else sizes
@@ -299,14 +324,13 @@ SETS = "row long, key long, n int, fp long, sketch binary, places array<long>"
 
 
 def near_copy_groups(rows: DataFrame) -> DataFrame:
-    """rows (row, text) -> (row, key, group): key is equal for equal shingle sets, group for
+    """rows (row, text), read several times -> (row, key, group): key is equal for equal shingle sets, group for
     all that are near copies of each other, directly or by way of others."""
     rows = rows.select("row", F.coalesce("text", F.lit("")).alias("text"))
     parts = partitions_for(rows)
-    share = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, frequent = Shingler(), share.value
+        shingles, frequent = Shingler(), share.value if share else np.empty(0, np.uint64)
         for batch in by_texts(batches):
             hashes, bounds = shingles.sets(batch.column(1).to_pylist())
             n = np.diff(bounds)
@@ -317,7 +341,13 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[order], np.arange(len(n) + 1)).astype(np.int32)), pa.array(places[order].view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(n.astype(np.int32)), pa.array(fingerprints_of(hashes, bounds)), pa.array([x.tobytes() for x in drawn], pa.binary()), lists], names=["row", "key", "n", "fp", "sketch", "places"])
 
+    share = None
     sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
+    met = sets.dropDuplicates(["key"]).select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("n"))
+    if not met.where(F.col("n") > CROWD).isEmpty():
+        # Any order of shingles gives the same groups; this one parts the crowds.
+        share = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
+        sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
     heads = sets.select(F.explode("places").alias("place"), "key")
     often = materialize(heads.repartition(parts, "place").sortWithinPartitions("place", "key").mapInArrow(shared, "place long, key long"), "shared-shingles")
     one = sets.groupBy("key").agg(F.min("row").alias("row"))
@@ -328,7 +358,7 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
     linked = components(links)
     members = linked.select(F.col("node").alias("key"), "component").unionByName(linked.select(F.col("component").alias("key"), "component").distinct())
     wanted = materialize(members.join(one, "key"), "near-members")
-    texts = rows.join(wanted, "row").select("component", "key", "text")
+    texts = may_hold(rows, wanted).where("__may").join(wanted, "row").select("component", "key", "text")
     groups = materialize(texts.repartition(parts, "component").sortWithinPartitions("component").mapInArrow(settle, "key long, group long"), "near-groups")
     return sets.select("row", "key").join(groups, "key", "left").select("row", "key", F.coalesce("group", "key").alias("group"))
 
