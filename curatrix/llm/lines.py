@@ -132,15 +132,16 @@ def cluster_leaf(masked: list[str], similarity: float = SIMILARITY) -> list[int]
     return [leaf.add(_codes(m.split(" "))) for m in masked]
 
 
-def _doc_lines(text: str, leading: int) -> dict[int, tuple[int, str]]:
-    out: dict[int, tuple[int, str]] = {}
+def _doc_lines(text: str, leading: int) -> dict[int, tuple[int, str, int]]:
+    """The text's different lines: hash -> (leaf, masked line, tokens that aren't wild)."""
+    out: dict[int, tuple[int, str, int]] = {}
     for raw in text.split("\n"):
         tokens = masked_tokens(raw)
         if tokens:
             masked = " ".join(tokens)
             h = line_hash(masked)
             if h not in out:
-                out[h] = (leaf_of(tokens, leading), masked)
+                out[h] = (leaf_of(tokens, leading), masked, len(tokens) - tokens.count(WILD))
     return out
 
 
@@ -155,16 +156,18 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
 
     def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_texts(batches, 1024):
-            out: list[list] = [[], [], [], [], []]
+            row_of, hashes, solids, leaves, wholes = [], [], [], [], []
             for row, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 lines = _doc_lines(text, leading)
-                whole = line_hash(text)
-                for h, (leaf, masked) in lines.items():
-                    # Lines that are all of their document have no surroundings.
-                    solid = -1 if len(lines) == 1 else sum(t != WILD for t in masked.split(" "))
-                    for column, value in zip(out, (row, h, solid, leaf, whole), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 2 else pa.int64()) for i, c in enumerate(out)], names=["row", "line", "solid", "leaf", "whole"])
+                n = len(lines)
+                row_of += [row] * n
+                wholes += [line_hash(text)] * n if n else []
+                hashes += lines
+                leaves += [v[0] for v in lines.values()]
+                # Lines that are all of their document have no surroundings.
+                solids += [v[2] for v in lines.values()] if n > 1 else [-1] * n
+            columns = [pa.array(row_of, pa.int64()), pa.array(hashes, pa.int64()), pa.array(solids, pa.int32()), pa.array(leaves, pa.int64()), pa.array(wholes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "line", "solid", "leaf", "whole"])
 
     rows = rows.select("row", "text")
     occurrences = materialize(rows.mapInArrow(occurring, "row long, line long, solid int, leaf long, whole long"), "lines")
@@ -178,7 +181,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(share.value).astype(bool)
         for batch in by_texts(batches, 1024):
-            seen: dict[int, tuple[int, str]] = {}
+            seen: dict[int, tuple[int, str, int]] = {}
             for text in batch[1].to_pylist():
                 for h, where in _doc_lines(text, leading).items():
                     if flags[where[0] & (SLOTS - 1)]:
@@ -225,7 +228,9 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
         return counted.where(F.col("rests") >= enough).select("template")
 
     # Equal texts are near copies: what recurs in too few different texts needs no closer look.
-    lines = materialize(_with_templates(named, recur(named, "whole")), "shared-lines")
+    several = named.groupBy("template").agg(F.min("whole").alias("low"), F.max("whole").alias("high")).where("low < high").select("template")
+    shared = materialize(_with_templates(named, several), "shared-lines")
+    lines = materialize(_with_templates(shared, recur(shared, "whole")), "candidate-lines")
     # Surroundings: groups of near copies among the documents that hold such lines.
     first = materialize(lines.where("solid >= 0").groupBy("whole").agg(F.min("row").alias("row")), "holders").select("row")
     holders = materialize(may_hold(rows, first).where("__may").join(first, "row", "left_semi").select("row", "text"), "holder-texts")
@@ -258,7 +263,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame
 
     lists = materialize(lists, "lists")
     marked = may_hold(rows, lists)
-    joined = marked.where("__may").join(lists, "row", "left").unionByName(marked.where("not __may").withColumn("lines", F.lit(None).cast("array<long>")))
+    joined = marked.where("__may").join(lists.hint("merge"), "row", "left").unionByName(marked.where("not __may").withColumn("lines", F.lit(None).cast("array<long>")))
     done = joined.select("__doc", rebuilt(F.col("__doc")[text_col], F.col("lines")).alias("r"))
     text = F.when(F.col("__doc")[text_col].isNull(), F.lit(None)).otherwise(F.col("r.text")).alias(text_col)
     return done.select(*[text if c == text_col else F.col("__doc")[c].alias(c) for c in docs.columns], F.struct("r.n_lines", "r.n_dropped").alias("__lines"))

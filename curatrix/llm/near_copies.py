@@ -47,7 +47,7 @@ CHUNK, LOCAL, FREQUENT = 2048, 8, 1 << 17
 #: Bytes whose words are hashed together.
 BLOCK = 1 << 18
 #: Sets that meet in one place from which on frequent shingles are looked for.
-CROWD = 1024
+CROWD = 8192
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -353,12 +353,13 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
     one = sets.groupBy("key").agg(F.min("row").alias("row"))
     meeting = often.select("key").distinct().join(one, "key")
     described = sets.join(meeting.select("row"), "row", "left_semi").select("key", "n", "fp", "sketch")
-    known = often.join(described, "key").select("place", "key", "n", "fp", "sketch")
+    known = often.join(described.hint("merge"), "key").select("place", "key", "n", "fp", "sketch")
+    # Joins of what grows with the input are sorted at every size, not broadcast at small ones.
     links = known.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(meet, "a long, b long")
     linked = components(links)
     members = linked.select(F.col("node").alias("key"), "component").unionByName(linked.select(F.col("component").alias("key"), "component").distinct())
     wanted = materialize(members.join(one, "key"), "near-members")
-    texts = may_hold(rows, wanted).where("__may").join(wanted, "row").select("component", "key", "text")
+    texts = may_hold(rows, wanted).where("__may").join(wanted.hint("merge"), "row").select("component", "key", "text")
     groups = materialize(texts.repartition(parts, "component").sortWithinPartitions("component").mapInArrow(settle, "key long, group long"), "near-groups")
     return sets.select("row", "key").join(groups, "key", "left").select("row", "key", F.coalesce("group", "key").alias("group"))
 
