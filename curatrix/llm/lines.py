@@ -171,9 +171,13 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
 
     rows = rows.select("row", "text")
     occurrences = materialize(rows.mapInArrow(occurring, "row long, line long, solid int, leaf long, whole long"), "lines")
-    # Only leaves with several masked lines need their texts together. SLOTS flags, whatever
-    # the size of the input, keep most other texts from being sent at all.
-    shared = materialize(occurrences.groupBy("leaf").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low < high").select("leaf"), "leaves")
+    # Lines of a leaf that one document has can't recur. Of the others' leaves, only those with
+    # several masked lines need their texts together. SLOTS flags, whatever the size of the
+    # input, keep most other texts from being sent at all.
+    busy = occurrences.groupBy("leaf").agg(F.min("line").alias("low"), F.max("line").alias("high"), F.min("row").alias("first"), F.max("row").alias("last")).where("first < last")
+    busy = materialize(busy.select("leaf", (F.col("low") < F.col("high")).alias("several")), "leaves")
+    live = materialize(may_hold(occurrences, busy, "leaf").where("__may").drop("__may"), "live-lines")
+    shared = busy.where("several").select("leaf")
     flags = np.zeros(SLOTS, bool)
     flags[[r[0] for r in shared.select(F.col("leaf").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).distinct().collect()]] = True
     share = rows.sparkSession.sparkContext.broadcast(np.packbits(flags))
@@ -218,7 +222,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     together = texts.join(shared, "leaf", "left_semi").select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
     templates = together.repartition(parts, "leaf").sortWithinPartitions("leaf", "masked").mapInArrow(cluster, "line long, template long")
     templates = materialize(templates.where("template is not null"), "templates")
-    named = materialize(occurrences.drop("leaf").join(templates, "line", "left").select("row", "line", "solid", "whole", F.coalesce("template", "line").alias("template")), "named-lines")
+    named = materialize(live.drop("leaf").join(templates, "line", "left").select("row", "line", "solid", "whole", F.coalesce("template", "line").alias("template")), "named-lines")
 
     def recur(beside: DataFrame, group: str) -> DataFrame:
         """Templates that enough different values of ``group`` hold beside other lines."""
