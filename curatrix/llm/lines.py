@@ -28,11 +28,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curatrix.llm.common import by_texts, documents, materialize, may_hold, numbered, partitions_for
 from curatrix.llm.near_copies import near_copy_groups
@@ -260,17 +260,23 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame
     drop = recurring_lines(rows.select("row", F.coalesce(F.col("__doc")[text_col], F.lit("")).alias("text")), **options)
     lists = drop.groupBy("row").agg(F.collect_set("line").alias("lines"))
 
-    @F.pandas_udf("text string, n_dropped int, n_lines int")
-    def rebuilt(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
-        out = [(t, 0, t.count("\n") + 1) if t is None or h is None or not len(h) else drop_lines(t, {int(x) for x in h}) for t, h in zip(texts.fillna(""), lines, strict=True)]
-        return pd.DataFrame(out, columns=["text", "n_dropped", "n_lines"])
+    columns, at = docs.columns, docs.columns.index(text_col)
 
+    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_texts(batches):
+            fields = batch.column(0).flatten()
+            out = []
+            for t, h in zip(fields[at].to_pylist(), batch.column(1).to_pylist(), strict=True):
+                out.append((t, 0, (t or "").count("\n") + 1) if t is None or not h else drop_lines(t, set(h)))
+            fields[at] = pa.array([o[0] for o in out], fields[at].type)
+            counts = pa.StructArray.from_arrays([pa.array([o[2] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32())], names=["n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays([*fields, counts], names=[*columns, "__lines"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("__lines", T.StructType([T.StructField("n_lines", T.IntegerType()), T.StructField("n_dropped", T.IntegerType())]))])
     lists = materialize(lists, "lists")
     marked = may_hold(rows, lists)
     joined = marked.where("__may").join(lists.hint("merge"), "row", "left").unionByName(marked.where("not __may").withColumn("lines", F.lit(None).cast("array<long>")))
-    done = joined.select("__doc", rebuilt(F.col("__doc")[text_col], F.col("lines")).alias("r"))
-    text = F.when(F.col("__doc")[text_col].isNull(), F.lit(None)).otherwise(F.col("r.text")).alias(text_col)
-    return done.select(*[text if c == text_col else F.col("__doc")[c].alias(c) for c in docs.columns], F.struct("r.n_lines", "r.n_dropped").alias("__lines"))
+    return joined.select("__doc", "lines").mapInArrow(rebuild, schema)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
