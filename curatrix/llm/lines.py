@@ -148,7 +148,7 @@ def _doc_lines(text: str, leading: int) -> dict[int, tuple[int, str, int]]:
 def _with_templates(named: DataFrame, templates: DataFrame) -> DataFrame:
     """The rows of those templates; as one may hold a large share of all, dealt over SALTS tasks."""
     salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return named.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["template", "salt"], "left_semi").drop("salt")
+    return named.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted.hint("merge"), ["template", "salt"], "left_semi").drop("salt")
 
 
 def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: int = LEADING, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -192,7 +192,8 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
                         seen.setdefault(h, where)
             yield pa.RecordBatch.from_arrays([pa.array([v[0] for v in seen.values()], pa.int64()), pa.array(list(seen), pa.int64()), pa.array([v[1] for v in seen.values()], pa.string())], names=["leaf", "line", "masked"])
 
-    texts = rows.mapInArrow(wanted, "leaf long, line long, masked string")
+    readers = may_hold(occurrences, shared, "leaf").where("__may").select("row")
+    texts = may_hold(rows, readers).where("__may").select("row", "text").mapInArrow(wanted, "leaf long, line long, masked string")
 
     def cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, str]] = []
@@ -222,7 +223,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     together = texts.join(shared, "leaf", "left_semi").select("leaf", "line", "masked").dropDuplicates(["leaf", "line"])
     templates = together.repartition(parts, "leaf").sortWithinPartitions("leaf", "masked").mapInArrow(cluster, "line long, template long")
     templates = materialize(templates.where("template is not null"), "templates")
-    named = materialize(live.drop("leaf").join(templates, "line", "left").select("row", "line", "solid", "whole", F.coalesce("template", "line").alias("template")), "named-lines")
+    named = materialize(live.drop("leaf").join(templates.hint("merge"), "line", "left").select("row", "line", "solid", "whole", F.coalesce("template", "line").alias("template")), "named-lines")
 
     def recur(beside: DataFrame, group: str) -> DataFrame:
         """Templates that enough different values of ``group`` hold beside other lines."""
@@ -239,7 +240,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     first = materialize(lines.where("solid >= 0").groupBy("whole").agg(F.min("row").alias("row")), "holders").select("row")
     holders = materialize(may_hold(rows, first).where("__may").join(first, "row", "left_semi").select("row", "text"), "holder-texts")
     groups = near_copy_groups(holders).join(lines.select("row", "whole").distinct(), "row").select("whole", "group")
-    recurring = recur(lines.join(groups, "whole"), "group")
+    recurring = recur(lines.join(groups.hint("merge"), "whole"), "group")
     return _with_templates(lines, recurring).select("row", "line")
 
 

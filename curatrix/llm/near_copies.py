@@ -352,7 +352,7 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
     often = materialize(heads.repartition(parts, "place").sortWithinPartitions("place", "key").mapInArrow(shared, "place long, key long"), "shared-shingles")
     one = sets.groupBy("key").agg(F.min("row").alias("row"))
     meeting = often.select("key").distinct().join(one, "key")
-    described = sets.join(meeting.select("row"), "row", "left_semi").select("key", "n", "fp", "sketch")
+    described = sets.join(meeting.select("row").hint("merge"), "row", "left_semi").select("key", "n", "fp", "sketch")
     known = often.join(described.hint("merge"), "key").select("place", "key", "n", "fp", "sketch")
     # Joins of what grows with the input are sorted at every size, not broadcast at small ones.
     links = known.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(meet, "a long, b long")
@@ -361,7 +361,7 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
     wanted = materialize(members.join(one, "key"), "near-members")
     texts = may_hold(rows, wanted).where("__may").join(wanted.hint("merge"), "row").select("component", "key", "text")
     groups = materialize(texts.repartition(parts, "component").sortWithinPartitions("component").mapInArrow(settle, "key long, group long"), "near-groups")
-    return sets.select("row", "key").join(groups, "key", "left").select("row", "key", F.coalesce("group", "key").alias("group"))
+    return sets.select("row", "key").join(groups.hint("merge"), "key", "left").select("row", "key", F.coalesce("group", "key").alias("group"))
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
