@@ -54,9 +54,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/curatrix/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Scratch tables of this driver that are not released, in the order of writing.
+_WRITTEN: list[str] = []
+
+
+def mark() -> int:
+    """A place in the list of scratch tables, for ``release``."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Delete the scratch tables written since a mark but the last one, which must be all that
+    is still needed of them: what an operator returns is read from it alone."""
+    for path in _WRITTEN[since:-1]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del _WRITTEN[since:-1]
+
+
 #: Operators below which a scan's rows keep their places from one pass to the next.
 _NARROW = ("Relation", "Project", "Filter")
 #: Rows of ids up to which a join broadcasts them: under 32 MB.

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curatrix.llm.common import by_texts, documents, materialize, may_hold, numbered, partitions_for
+from curatrix.llm.common import by_texts, documents, mark, materialize, may_hold, numbered, partitions_for, release
 from curatrix.llm.near_copies import near_copy_groups
 
 SIMILARITY, LEADING, MIN_DOCS = 0.8, 3, 4
@@ -258,6 +258,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame
     """All columns of docs with recurring lines dropped from the text, and the struct
     ``__lines`` (n_lines, n_dropped)."""
     rows = numbered(docs.select(F.struct("*").alias("__doc")))
+    begun = mark()
     drop = recurring_lines(rows.select("row", F.coalesce(F.col("__doc")[text_col], F.lit("")).alias("text")), **options)
     lists = drop.groupBy("row").agg(F.collect_set("line").alias("lines"))
 
@@ -275,6 +276,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame
 
     schema = T.StructType([*docs.schema.fields, T.StructField("__lines", T.StructType([T.StructField("n_lines", T.IntegerType()), T.StructField("n_dropped", T.IntegerType())]))])
     lists = materialize(lists, "lists")
+    release(docs.sparkSession, begun)
     marked = may_hold(rows, lists)
     joined = marked.where("__may").join(lists.hint("merge"), "row", "left").unionByName(marked.where("not __may").withColumn("lines", F.lit(None).cast("array<long>")))
     return joined.select("__doc", "lines").mapInArrow(rebuild, schema)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import by_texts, materialize, may_hold, numbered, partitions_for, without_rows
+from curatrix.llm.common import by_texts, mark, materialize, may_hold, numbered, partitions_for, release, without_rows
 from curatrix.llm.components import components
 
 #: Similarity as a fraction, and words of a shingle.
@@ -372,7 +372,9 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     rows = numbered(docs.withColumn("__null", F.col("doc_id").isNull()), "__row")
     whole = F.xxhash64(*[F.col(c).cast("string") if t not in ("binary",) else F.col(c) for c, t in docs.dtypes if not t.startswith(("map", "struct", "array", "variant"))])
     ranked = rows.select(F.col("__row").alias("row"), F.struct("__null", "doc_id", F.xxhash64("text").alias("t"), whole.alias("w"), F.col("__row").alias("row")).alias("place"))
+    begun = mark()
     groups = materialize(near_copy_groups(rows.select(F.col("__row").alias("row"), "text")).join(ranked, "row"), "near-ranked")
     best = groups.groupBy("group").agg(F.min("place").alias("best"), F.count("*").alias("n")).where("n > 1").select("group", F.col("best.row").alias("best"))
     gone = materialize(groups.join(best, "group").where("row <> best").select(F.col("row").alias("__row")), "near-gone")
+    release(docs.sparkSession, begun)
     return without_rows(rows, gone, "__row").select(docs.columns)
