@@ -9,9 +9,9 @@ shingles first, in one order of all shingles: frequent ones last, then by hash.
 - Larger sets meet by the first shingle of each of ``BANDS`` parts of the hash space; a pair
   at 0.8 differs in all of them once in 10^11.
 
-Sets that meet are linked if their sizes allow 0.8, their SimHash fingerprints differ in
-``RADIUS`` bits or fewer and their sketches agree in half of their 64 bins or more. Groups
-so linked are gathered, and within a group the exact similarity is taken of all pairs that
+Sets that meet are linked if their sizes allow 0.8 and their SimHash fingerprints, of two
+times 64 bits here, differ in ``RADIUS`` bits or fewer: at 0.8 about 19 do, and more than 40
+once in ten million pairs; sets of up to ``FEW`` shingles go without. Groups so linked are gathered, and within a group the exact similarity is taken of all pairs that
 are not joined already.
 
 Where more than ``CROWD`` sets meet in one place, the frequent shingles are found and all sets
@@ -38,9 +38,9 @@ from curatrix.llm.components import components
 
 #: Similarity as a fraction, and words of a shingle.
 NEAR, WORDS = (4, 5), 5
-BINS, BANDS, SMALL, RADIUS = 64, 16, 80, 24
+BANDS, SMALL, RADIUS = 16, 80, 40
 #: Sets of so few shingles are compared without fingerprints, whose bits are coarse there.
-FEW = 16
+FEW = 32
 #: Shingles that a task meets in LOCAL of CHUNK texts count as frequent; the FREQUENT most
 #: frequent go last. Which ones do decides the order of meeting, never the result.
 CHUNK, LOCAL, FREQUENT = 2048, 8, 1 << 17
@@ -134,15 +134,6 @@ def prefix_size(n: int) -> int:
     return n - -(-n * NEAR[0] // NEAR[1]) + 1 if n else 0
 
 
-def sketches_of(hashes: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """A byte for each 64th of the hash space: of the least hash there, 0 without one."""
-    place = owner * BINS + (hashes >> np.uint64(58)).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else place
-    out = np.zeros(count * BINS, np.uint8)
-    out[place[first]] = hashes[first] % np.uint64(255) + np.uint64(1)
-    return out.reshape(count, BINS)
-
-
 def fingerprints_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """SimHash of each set: the bits that over half of its hashes have."""
     n, out = np.diff(bounds), np.zeros(len(bounds) - 1, np.uint64)
@@ -178,13 +169,10 @@ def places_of(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray) -> t
     return np.concatenate([hashes[head], hashes[large] ^ _MIX[1]]), np.concatenate([owner[head], owner[large]])
 
 
-def _alike(n: np.ndarray, fps: np.ndarray, sketches: np.ndarray, n0: int, fp0: int, sketch0: np.ndarray) -> np.ndarray:
-    ok = (NEAR[0] * np.maximum(n, n0) <= NEAR[1] * np.minimum(n, n0)) & ((np.bitwise_count(fps ^ fp0) <= RADIUS) | (n <= FEW))
-    at = np.flatnonzero(ok)
-    if len(at):
-        own, other = sketches[at], sketch0 if sketch0.ndim == 1 else sketch0[at]
-        ok[at] = 2 * ((own == other) & (other != 0)).sum(-1) >= ((own | other) != 0).sum(-1)
-    return ok
+def _alike(n: np.ndarray, fps: np.ndarray, n0, fp0: np.ndarray) -> np.ndarray:
+    """fps: rows of two fingerprints."""
+    near = np.bitwise_count(fps ^ fp0).sum(-1, dtype=np.int64) <= RADIUS
+    return (NEAR[0] * np.maximum(n, n0) <= NEAR[1] * np.minimum(n, n0)) & (near | (n <= FEW))
 
 
 def reached(count: int, alike) -> np.ndarray:
@@ -284,19 +272,18 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (place, key, n, fp, sketch), by place -> links between keys of a place."""
+    """Rows (place, key, n, fp, fp2), by place -> links between keys of a place."""
     for table in _by_runs(batches):
-        place, key, n, fp = (table.column(i).to_numpy() for i in range(4))
-        fp = fp.view(np.uint64)
-        sketches = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint8).reshape(-1, BINS)
+        place, key, n = (table.column(i).to_numpy() for i in range(3))
+        fps = np.stack([table.column(i).to_numpy() for i in (3, 4)], 1).view(np.uint64)
         bounds = _runs(place)
         two = bounds[:-1][np.diff(bounds) == 2]
-        two = two[_alike(n[two], fp[two], sketches[two], n[two + 1], fp[two + 1], sketches[two + 1])]
+        two = two[_alike(n[two], fps[two], n[two + 1], fps[two + 1])]
         a, b = [key[two]], [key[two + 1]]
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             if hi - lo > 2:
-                sizes, prints, own = n[lo:hi], fp[lo:hi], sketches[lo:hi]
-                label = reached(hi - lo, lambda i, o, sizes=sizes, prints=prints, own=own: _alike(sizes[o], prints[o], own[o], sizes[i], prints[i], own[i]))
+                sizes, own = n[lo:hi], fps[lo:hi]
+                label = reached(hi - lo, lambda i, o, sizes=sizes, own=own: _alike(sizes[o], own[o], sizes[i], own[i]))
                 joined = np.flatnonzero(label != np.arange(hi - lo))
                 a.append(key[lo:hi][joined])
                 b.append(key[lo:hi][label[joined]])
@@ -320,7 +307,7 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["key", "group"])
 
 
-SETS = "row long, key long, n int, fp long, sketch binary, places array<long>"
+SETS = "row long, key long, n int, fp long, fp2 long, places array<long>"
 
 
 def near_copy_groups(rows: DataFrame) -> DataFrame:
@@ -335,11 +322,12 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
             hashes, bounds = shingles.sets(batch.column(1).to_pylist())
             n = np.diff(bounds)
             keys = [set_key(s) for s in np.split(hashes, bounds[1:-1])]
-            drawn = sketches_of(hashes, np.repeat(np.arange(len(n)), n), len(n))
+            again = hashes * _MIX[2]
+            again ^= again >> np.uint64(31)
             places, owner = places_of(hashes, bounds, frequent)
             order = np.argsort(owner, kind="stable")
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[order], np.arange(len(n) + 1)).astype(np.int32)), pa.array(places[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(n.astype(np.int32)), pa.array(fingerprints_of(hashes, bounds)), pa.array([x.tobytes() for x in drawn], pa.binary()), lists], names=["row", "key", "n", "fp", "sketch", "places"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(n.astype(np.int32)), pa.array(fingerprints_of(hashes, bounds)), pa.array(fingerprints_of(again, bounds)), lists], names=["row", "key", "n", "fp", "fp2", "places"])
 
     share = None
     sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
@@ -352,8 +340,8 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
     often = materialize(heads.repartition(parts, "place").sortWithinPartitions("place", "key").mapInArrow(shared, "place long, key long"), "shared-shingles")
     one = sets.groupBy("key").agg(F.min("row").alias("row"))
     meeting = often.select("key").distinct().join(one, "key")
-    described = sets.join(meeting.select("row").hint("merge"), "row", "left_semi").select("key", "n", "fp", "sketch")
-    known = often.join(described.hint("merge"), "key").select("place", "key", "n", "fp", "sketch")
+    described = sets.join(meeting.select("row").hint("merge"), "row", "left_semi").select("key", "n", "fp", "fp2")
+    known = often.join(described.hint("merge"), "key").select("place", "key", "n", "fp", "fp2")
     # Joins of what grows with the input are sorted at every size, not broadcast at small ones.
     links = known.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(meet, "a long, b long")
     linked = components(links)
