@@ -246,6 +246,10 @@ def _joined(spans):
 
 def op8_pii(spark, sf_dir: str) -> DataFrame:
     found = detect_pii(documents(spark, sf_dir))
-    counts = [F.size(F.filter(side, lambda x, kind=kind: x.kind == kind)).cast("long").alias(f"n_{kind}") for side, kinds in (("base", KINDS), ("added", MORE_KINDS)) for kind in kinds]
+
+    def count(side: str, kind: str):
+        return F.size(F.filter(side, lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [*[count("base", k) for k in KINDS], *[count("added", k) for k in MORE_KINDS]]
     total = F.size("base") + F.size("added")
     return found.select("doc_id", *counts, total.cast("long").alias("n_spans"), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))

@@ -469,6 +469,21 @@ def test_pii_adds_spans(spark, docs, empty):
     assert detect_pii(docs).count() == docs.count() and detect_pii(empty).count() == 0
 
 
+def test_pii_query_counts_its_spans(spark, tmp_path):
+    from curatrix.llm.pii import base_spans, op8_pii
+
+    long_key = "".join(random.Random(2).choice("abcXYZ019") for _ in range(400))
+    texts = [f"token: sk-{long_key} end", "ship to 12 Maple Hill Street now", "mail a.b@c.de or 10.0.0.1", None, "", "x " * 50_000 + "a@b.cd"] + [f"key = ghp_{hashlib.sha1(str(i).encode()).hexdigest()}" for i in range(20)]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in op8_pii(spark, str(tmp_path)).collect()}
+    assert len(out) == len(texts) and out[0]["n_secret"] == 1 and out[5]["n_email"] == 1
+    for i, t in enumerate(texts):
+        base = ",".join(f"{k}:{s}:{e}" for s, e, k in base_spans(t or ""))
+        r = out[i]
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and set(filter(None, base.split(","))) <= set(r["spans"].split(","))
+        assert r["n_spans"] == len([s for s in r["spans"].split(",") if s]) == sum(r[f"n_{k}"] for k in ("email", "ip", "card", "phone", "secret", "number", "address"))
+
+
 def test_decontamination(spark, docs, empty):
     from curatrix.llm.decontaminate import benchmark_overlap, drop_contaminated
 
@@ -500,6 +515,15 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
     assert {r["doc_id"] for r in out.collect()} == {r[0] for r in rows} - {7}
 
 
+def test_near_dedup_keeps_unlike_rows_of_one_id(spark):
+    from curatrix.llm.near_copies import keep_representatives
+
+    a, b, c = (words(60, random.Random(i)) for i in (1, 2, 3))
+    rows = [(1, a), (1, b), (1, a), (None, a), (None, c), (None, c), (2, c + " more"), (3, None), (4, "")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in keep_representatives(spark.createDataFrame([(d, t, 1, "x") for d, t in rows], DOCS)).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (2, c + " more"), (3, None)], key=str)
+
+
 def shingles_of(text):
     w = (text or "").lower().split()
     return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
