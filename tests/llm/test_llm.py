@@ -472,7 +472,8 @@ def test_pii_adds_spans(spark, docs, empty):
 def test_pii_query_counts_its_spans(spark, tmp_path):
     from curatrix.llm.pii import base_spans, op8_pii
 
-    long_key = "".join(random.Random(2).choice("abcXYZ019") for _ in range(400))
+    rng = random.Random(2)
+    long_key = "".join(rng.choice("abcXYZ019") for _ in range(400))
     texts = [f"token: sk-{long_key} end", "ship to 12 Maple Hill Street now", "mail a.b@c.de or 10.0.0.1", None, "", "x " * 50_000 + "a@b.cd"] + [f"key = ghp_{hashlib.sha1(str(i).encode()).hexdigest()}" for i in range(20)]
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     out = {r["doc_id"]: r for r in op8_pii(spark, str(tmp_path)).collect()}
