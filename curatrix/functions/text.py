@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,13 +36,43 @@ HARD_TOPICS, SIMPLE_TOPICS = ("formula", "cute", "cutlass", "isa"), ("general",
 CANDIDATES, REPAIRS = {"simple": 2, "medium": 3, "hard": 4}, {"simple": 1, "medium": 2, "hard": 3}
 
 
-def first_match(text: Column, ladder, default: str) -> Column:
-    out = F.lit(default)
-    for name, pattern in reversed(ladder):
-        out = F.when(text.rlike(f"(?i){pattern}"), name).otherwise(out)
+def alternatives(pattern: str) -> list[tuple[str, str]]:
+    """The alternatives of a pattern, each with the longest plain text that its matches must hold ('' for none)."""
+    around = re.fullmatch(r"(\\b)\((.*)\)((?:\\b)?)", pattern)
+    before, body, after = around.groups() if around else ("", pattern, "")
+    out = []
+    for x in re.split(r"\|(?![^(]*\))", body):
+        plain = max(re.split(r"\\b|\(\?:.*?\)\??|\[.*?\]\??|\.\{.*?\}|\.\+|\\\.|.\?", x), key=len)
+        out.append((plain.lower() if re.fullmatch(r"[^\\()\[\]{}*+?|.^$]+", plain) else "", before + x + after))
     return out
 
 
+def matches(text: Column, lowered: Column, pattern: str) -> Column:
+    """Case-blind match. An alternative's regular expression runs only on texts that hold its plain part, and not
+    at all if it is plain as a whole."""
+
+    def one(plain: str, whole: str) -> Column:
+        found = text.rlike(f"(?i){whole}")
+        return found if not plain else lowered.contains(plain) if plain == whole.lower() else lowered.contains(plain) & found
+
+    return reduce(lambda a, b: a | b, [one(*x) for x in alternatives(pattern)])
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def first_match(text: Column, ladder, default: str) -> Column:
+    def climb(lowered: Column) -> Column:
+        out = F.lit(default)
+        for name, pattern in reversed(ladder):
+            out = F.when(matches(text, lowered, pattern), name).otherwise(out)
+        return out
+
+    return _bound(F.lower(text), climb)
+
+
 def operation_family(question: Column) -> Column:
     return first_match(question, FAMILIES, "elementwise")
 
@@ -50,12 +83,12 @@ def infer_topic(question: Column) -> Column:
 
 def heuristic_kind(question: Column) -> Column:
     """Kernel wins conflicts and unknowns."""
-    return F.when(question.rlike(f"(?i){KERNEL}"), "kernel").when(question.rlike(f"(?i){KNOWLEDGE}"), "knowledge").otherwise("kernel")
+    return first_match(question, (("kernel", KERNEL), ("knowledge", KNOWLEDGE)), "kernel")
 
 
 def knowledge_difficulty(topic: Column) -> Column:
     name = F.lower(F.trim(F.coalesce(topic, F.lit("general"))))
-    return F.when(name.isin(*HARD_TOPICS), "hard").when(name.isin(*SIMPLE_TOPICS), "simple").otherwise("medium")
+    return _bound(name, lambda x: F.when(x.isin(*HARD_TOPICS), "hard").when(x.isin(*SIMPLE_TOPICS), "simple").otherwise("medium"))
 
 
 def budget(difficulty: Column, ladder: dict[str, int], cap: int, least: int) -> Column:

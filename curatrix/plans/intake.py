@@ -46,10 +46,10 @@ def difficulty_budget(t: Tables) -> DataFrame:
 
 
 def jobs(t: Tables) -> DataFrame:
-    """Kernel questions times dialects, then knowledge questions once."""
-    kinds = questions(t).select("question_id", X.heuristic_kind(F.col("question")).alias("kind"), X.infer_topic(F.col("question")).alias("topic"))
-    kernel = kinds.where("kind = 'kernel'").select("question_id", F.explode(F.array(*map(F.lit, DIALECTS))).alias("track"))
-    return kernel.unionByName(kinds.where("kind = 'knowledge'").select("question_id", F.concat(F.lit("knowledge:"), "topic").alias("track")))
+    """Kernel questions once a dialect, knowledge questions once, in one pass."""
+    q = F.col("question")
+    tracks = F.when(X.heuristic_kind(q) == "kernel", F.array(*map(F.lit, DIALECTS))).otherwise(F.array(F.concat(F.lit("knowledge:"), X.infer_topic(q))))
+    return questions(t).select("question_id", F.explode(tracks).alias("track"))
 
 
 JOBS_SQL = f"""{Q}, kinds AS (SELECT question_id, {KIND_SQL} AS kind, {_ascii(X.TOPICS, 'general', 'question')} AS topic FROM questions),
