@@ -16,6 +16,7 @@ OPERATORS = {
     "op8_pii": "pii",
     "op9_quality": "quality",
     "op10_decontamination": "decontaminate",
+    "op11_importance_resampling": "resampling",
     "op12_periodic_runs": "periodic",
 }
 
