@@ -18,6 +18,7 @@ OPERATORS = {
     "op10_decontamination": "decontaminate",
     "op11_importance_resampling": "resampling",
     "op12_periodic_runs": "periodic",
+    "op13_nearest_neighbours": "neighbours",
 }
 
 
