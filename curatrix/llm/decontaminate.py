@@ -6,7 +6,8 @@ that share no shingle with an item have similarity 0, so item-sized windows are
 where a document's shingle is one of an item's, at each alignment that it gives. Windows
 get SimHash fingerprints; a multi-index over eight byte blocks finds every item within the
 radius (23 differing bits leave at most two in some block, and all bytes within two bits of
-the item's are probed); the exact similarity of shingle multisets then decides.
+the item's are probed), among items of the window's own size; the exact similarity of shingle
+multisets then decides.
 
 Text is lower-cased on A-Z; words are runs of anything but ASCII white space; shingles are
 five words, for items of fewer words the whole item. The benchmark side is broadcast only
@@ -103,31 +104,44 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, similarity: float
         else:  # places travel without their text, which only the places that hit look up
             where = placed.select("k1", "k2", "i", "h").join(keyed, "h").select("k1", "k2", start.alias("start"), "item_n").distinct()
             hits = texts.dropDuplicates(["k1", "k2"]).join(where, ["k1", "k2"])
-        hits = hits.select("k1", "k2", "start", F.lit(k).alias("k"), F.slice("words", F.col("start") + 1, F.least("item_n", F.col("n") - F.col("start"))).alias("window"))
+        size = F.least("item_n", F.col("n") - F.col("start"))
+        hits = hits.select("k1", "k2", F.lit(k).alias("k"), "item_n", (F.col("start") == 0).alias("first"), F.slice("words", F.col("start") + 1, size).alias("window"))
         windows = hits if windows is None else windows.unionByName(hits)
     if windows is None:
         return docs.sparkSession.createDataFrame([], "k1 long, k2 long, item_id long, similarity double")
-    # Equal windows of equal texts once; where in the text they lie no longer matters.
-    windows = windows.select("k1", "k2", "k", "window").distinct()
-    windows = windows.withColumn("shingles", _shingles(F.col("window"), F.col("k")))
+    # Equal windows of equal texts once; where else in the text they lie no longer matters.
+    windows = windows.distinct().withColumn("shingles", _shingles(F.col("window"), F.col("k"))).drop("window")
     windows = windows.withColumn("fp", _fingerprint(F.transform("shingles", lambda s: F.xxhash64(s))))
-    # Probes: every byte within two bits of each of an item's eight.
+    windows = materialize(windows.withColumn("wid", F.monotonically_increasing_id()), "windows")
+    # Probes: every byte within two bits of each of an item's eight. A window meets items of its own size alone.
     masks = [0, *[1 << i for i in range(8)], *[(1 << i) | (1 << j) for i, j in itertools.combinations(range(8), 2)]]
     blocks = F.array(*[F.struct(F.lit(b).alias("b"), _block(F.col("fp"), b).alias("v")) for b in range(8)])
-    probes = items.select("item_key", F.col("fp").alias("item_fp"), F.explode(blocks).alias("p")).select("item_key", "item_fp", F.col("p.b").alias("b"), F.explode(F.array(*[F.col("p.v").bitwiseXOR(F.lit(m)) for m in masks])).alias("v"))
+    probes = items.select("item_key", F.col("n").alias("item_n"), "k", F.col("fp").alias("item_fp"), F.explode(blocks).alias("p")).select("item_key", "item_n", "k", "item_fp", F.col("p.b").alias("b"), F.explode(F.array(*[F.col("p.v").bitwiseXOR(F.lit(m)) for m in masks])).alias("v"))
     differing = F.col("fp").bitwiseXOR(F.col("item_fp"))
     first = reduce(lambda rest, b: F.when(F.bit_count(_block(differing, b)) <= 2, F.lit(b)).otherwise(rest), range(7, -1, -1), F.lit(8))
-    asked = windows.withColumn("p", F.explode(blocks)).select("k1", "k2", "shingles", "fp", F.col("p.b").alias("b"), F.col("p.v").alias("v"))
-    near = asked.join(_sized(probes, n_items * 8 * len(masks)), ["b", "v"]).where((F.bit_count(differing) <= RADIUS) & (F.col("b") == first))
+    # Fingerprints alone travel; shingles are looked up for what lies within the radius.
+    asked = windows.select("wid", "item_n", "k", "fp", F.explode(blocks).alias("p")).select("wid", "item_n", "k", "fp", F.col("p.b").alias("b"), F.col("p.v").alias("v"))
+    near = asked.join(_sized(probes, n_items * 8 * len(masks)), ["item_n", "k", "b", "v"]).where((F.bit_count(differing) <= RADIUS) & (F.col("b") == first)).select("wid", "item_key")
     if (n_shingles or 0) > MAX_COUNTED:  # windows too long for the counters are verified without a fingerprint
-        long_items = items.where(F.size("shingles") > MAX_COUNTED).select("item_key", "k")
-        near = near.select("k1", "k2", "shingles", "item_key").unionByName(windows.where(F.size("shingles") > MAX_COUNTED).join(long_items, "k").select("k1", "k2", "shingles", "item_key"))
-    pairs = near.select("k1", "k2", _numbered(F.col("shingles")).alias("window_set"), "item_key").join(_sized(items.select("item_key", "item_id", "item_set"), n_shingles), "item_key")
+        long_items = items.where(F.size("shingles") > MAX_COUNTED).select("item_key", "k", F.col("n").alias("item_n"))
+        near = near.unionByName(windows.where(F.size("shingles") > MAX_COUNTED).join(long_items, ["item_n", "k"]).select("wid", "item_key"))
+    pairs = near.join(windows.select("wid", "k1", "k2", "first", "shingles"), "wid")
+    pairs = pairs.join(_sized(items.select("item_key", "item_id", "item_set", F.col("shingles").alias("item_shingles")), n_shingles), "item_key").where(_laid_by_item())
+    pairs = pairs.withColumn("window_set", _numbered(F.col("shingles")))
     shared = F.size(F.array_intersect("window_set", "item_set"))
     alike = shared / (F.size("window_set") + F.size("item_set") - shared)
     return pairs.select("k1", "k2", "item_id", alike.alias("similarity")).where(F.col("similarity") >= similarity).groupBy("k1", "k2", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
+def _laid_by_item() -> Column:
+    """Whether a shingle of this very item gives the window its place: one that stands at the same
+    place in both, or, where the text's beginning cut the alignment, at a later one in the item."""
+    item = F.col("item_shingles")
+    at_start = F.exists(F.transform("shingles", lambda x, i: F.array_contains(F.slice(item, i + 1, F.size(item)), x)), lambda x: x)
+    aligned = F.exists(F.zip_with("shingles", item, lambda x, y: F.coalesce(x == y, F.lit(False))), lambda x: x)
+    return F.when(F.col("first"), at_start).otherwise(aligned)
+
+
 def text_key(text: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes that stand for a text."""
     return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")
