@@ -15,8 +15,10 @@ whatever their names, are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -109,13 +111,31 @@ class Matcher:
                     shielded.append((start, end))
                 elif weight > best.get(start, (0, -1.0))[1]:
                     best[start] = (end, weight)
-        return [(s, e, w) for s, (e, w) in sorted(best.items()) if not any(a <= s and e <= b for a, b in shielded)]
+        out, shields, at, reach = [], sorted(shielded), 0, 0
+        for start, (end, weight) in sorted(best.items()):
+            while at < len(shields) and shields[at][0] <= start:
+                reach = max(reach, shields[at][1])
+                at += 1
+            if end > reach:
+                out.append((start, end, weight))
+        return out
 
 
 def _joins(c: str) -> bool:
     return c.isalpha()
 
 
+def _phrases(text: str, matches) -> list[str]:
+    """The two folded words, whole, that each match begins, once each."""
+    words = [m.span() for m in re.finditer(r"\S+", text)]
+    starts, out = [a for a, _ in words], set()
+    for start, _, _ in matches:
+        k = bisect.bisect_right(starts, start) - 1
+        second = text[slice(*words[k + 1])] if k + 1 < len(words) else ""
+        out.add(fold(f"{text[start : words[k][1]]} {second}".rstrip()))
+    return sorted(out)
+
+
 def _features(matches, text: str) -> tuple[float, float]:
     total = sum(w for _, _, w in matches)
     return math.log1p(total), math.log1p(1000.0 * total / (50.0 + len(text) / 6.0))
@@ -172,7 +192,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ..
         matcher = Matcher(*share.value)
         for frame in frames:
             found = [matcher.matches(t) for t in frame["text"]]
-            phrases = [sorted({" ".join(fold(t[s : e + 40]).split()[:2]) for s, e, _ in m}) for t, m in zip(frame["text"], found, strict=True)]
+            phrases = [_phrases(t, m) for t, m in zip(frame["text"], found, strict=True)]
             xs = [_features(m, t) for t, m in zip(frame["text"], found, strict=True)]
             yield pd.DataFrame({"a": [x[0] for x in xs], "b": [x[1] for x in xs], "toxic": frame["toxic"], "phrases": phrases})
 
