@@ -17,9 +17,11 @@ an earlier accepted one is left out; other columns, whatever their names, are ig
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -139,11 +141,14 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     """(start, end, kind, votes, traits) of looser shapes that overlap no base span."""
     if not any(c in text for c in "0123456789"):
         return []
-    out, ends = [], [(s, e) for s, e, _ in base]
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, e, _ in base), max))
+    out = []
     for kind, pattern in _SHAPES:
         for m in pattern.finditer(text):
             s, e = m.span()
-            if any(s < b and a < e for a, b in ends):
+            before_end = bisect.bisect_left(starts, e)
+            if before_end and reach[before_end - 1] > s:
                 continue
             before = text[max(0, s - 30) : s].lower()
             out.append((s, e, kind, tuple(f(m[0], kind, before) for f in LABELERS), traits(m[0], before)))
