@@ -26,11 +26,14 @@ def _ranges(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
     return placed.select("*", F.shiftright("__id", _PART_BITS).alias("__part"), F.col("__id").bitwiseAND(F.lit((1 << _PART_BITS) - 1)).alias("__at")).drop("__id")
 
 
-def _same(keys: Sequence[str], other: DataFrame, rows: DataFrame) -> Column:
+def beside(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """left with the other columns of right, which has one row for each ``by`` (null is a key too);
+    without ``by`` it has one row in all."""
+    named = right.withColumnsRenamed({k: f"__r_{k}" for k in by})
     on = F.lit(True)
-    for k in keys:
-        on = on & rows[k].eqNullSafe(other[k])
-    return on
+    for k in by:
+        on = on & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(named if by else F.broadcast(named), on, how).drop(*[f"__r_{k}" for k in by])
 
 
 def ranked(rows: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
@@ -51,8 +54,8 @@ def running(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column], b
     carried = totals.select(*keys, *[F.coalesce(F.sum(f"__b_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in sums])
     own = Window.partitionBy(*keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(f"__v_{n}").over(own).alias(f"__l_{n}") for n in sums])
-    both = local.join(carried, _same(keys, carried, local))
-    return both.select(*[local[c] for c in rows.columns], *[(local[f"__l_{n}"] + carried[f"__b_{n}"]).alias(n) for n in sums])
+    both = beside(local, carried, keys, "inner")
+    return both.select(*rows.columns, *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in sums])
 
 
 def value_counts(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -66,10 +69,7 @@ def percentiles(rows: DataFrame, value: str, shares: dict[str, float], by: Seque
     below it is taken. Groups without values have no row; without ``by`` there is one row."""
     up_to = running(value_counts(rows, value, by), [F.col(value)], {"__upto": F.col("__count")}, by)
     totals = up_to.groupBy(*by).agg(F.max("__upto").alias("__total"))
-    if by:
-        joined = up_to.join(totals, _same(by, totals, up_to)).select(*[up_to[c] for c in up_to.columns], totals["__total"])
-    else:
-        joined = up_to.join(F.broadcast(totals))  # one row
+    joined = beside(up_to, totals, by, "inner")
     first, last = F.col("__upto") - F.col("__count"), F.col("__upto") - 1
     n, x = F.col("__total"), F.col(value).cast("double")
     out = []

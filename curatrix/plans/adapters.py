@@ -107,6 +107,44 @@ TRACE_SQL = """trace AS (
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"""
 
 
+def runs(t: Tables) -> DataFrame:
+    """The trace of eight runs. Odd ones commit their jobs; run 6 has no success; in runs 1 and 2
+    every call is priced."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    run, kind = (F.col("user_id") % 8).cast("int"), F.col("event_type")
+    names = lambda xs: F.element_at(F.array(*map(F.lit, xs)), k % len(xs) + 1)
+    event = (
+        F.when(kind == "purchase", F.when((run % 2 == 1) & (k % 3 != 0), "job.commit").otherwise("job.end"))
+        .when(kind == "signup", F.when(k % 2 == 0, "job.start").otherwise("store.write"))
+        .when(kind == "click", "llm.call")
+        .when(kind == "view", F.when(k % 5 == 0, "node.error").otherwise("node.end"))
+        .otherwise("node.start")
+    )
+    return t.events.select(
+        run.alias("run_id"), F.col("user_id").alias("job"), (k % 2).alias("candidate"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), event.alias("event"),
+        F.when((run == 6) | (k % 4 == 0), "abandoned").when(k % 7 == 0, "failed").otherwise("success").alias("status"), names(("strict", "strict_perf", "basic", "basic", "basic")).alias("release_tier"),
+        F.when(k % 11 != 0, k * 10).alias("input_tokens"), (k * 3).alias("output_tokens"), F.when(run.isin(1, 2) | (k % 5 != 0), F.col("value") / 100).alias("cost_usd"),
+        F.when(k % 9 != 0, names(("generate", "judge", "critic", "refval_extract"))).alias("role"), F.when(k % 3 != 0, "repair").otherwise("generate").alias("node"),
+        names(("compile", "refval", "judge")).alias("gate"), names(("ORACLE", "INFRA", "KERNEL", "TEACHER")).alias("owner"), F.when(k != 7, F.col("value")).alias("elapsed_s"),
+        F.when(k % 8 == 0, "deadline").when(k % 12 == 0, "").when(k % 16 != 4, "budget").alias("abandon_reason"),
+    )
+
+
+RUNS_SQL = """runs AS (
+  SELECT *, CASE event_type
+      WHEN 'purchase' THEN CASE WHEN run_id % 2 = 1 AND k % 3 <> 0 THEN 'job.commit' ELSE 'job.end' END
+      WHEN 'signup' THEN CASE WHEN k % 2 = 0 THEN 'job.start' ELSE 'store.write' END
+      WHEN 'click' THEN 'llm.call' WHEN 'view' THEN CASE WHEN k % 5 = 0 THEN 'node.error' ELSE 'node.end' END ELSE 'node.start' END AS event,
+    k % 2 AS candidate, event_id AS seq, user_id AS job,
+    CASE WHEN run_id = 6 OR k % 4 = 0 THEN 'abandoned' WHEN k % 7 = 0 THEN 'failed' ELSE 'success' END AS status,
+    ['strict', 'strict_perf', 'basic', 'basic', 'basic'][k % 5 + 1] AS release_tier,
+    CASE WHEN k % 11 <> 0 THEN k * 10 END AS input_tokens, k * 3 AS output_tokens, CASE WHEN run_id IN (1, 2) OR k % 5 <> 0 THEN value / 100 END AS cost_usd,
+    CASE WHEN k % 9 <> 0 THEN ['generate', 'judge', 'critic', 'refval_extract'][k % 4 + 1] END AS role, CASE WHEN k % 3 <> 0 THEN 'repair' ELSE 'generate' END AS node,
+    ['compile', 'refval', 'judge'][k % 3 + 1] AS gate, ['ORACLE', 'INFRA', 'KERNEL', 'TEACHER'][k % 4 + 1] AS owner, CASE WHEN k <> 7 THEN value END AS elapsed_s,
+    CASE WHEN k % 8 = 0 THEN 'deadline' WHEN k % 12 = 0 THEN '' WHEN k % 16 <> 4 THEN 'budget' END AS abandon_reason
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k, CAST(user_id % 8 AS INT) AS run_id FROM events))"""
+
+
 def chats(t: Tables) -> DataFrame:
     """Archive rows from conversations: messages in turn order."""
     m = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))

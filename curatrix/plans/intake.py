@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as X
+from curatrix.operators.ordered import running
 from curatrix.plans.adapters import QUESTIONS_SQL, questions
 from curatrix.plans.base import Tables, query
 
@@ -76,9 +77,9 @@ def progress_done_keys(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey AS job, CAST((row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1) % 3 AS INT) AS slot, o_orderpriority AS provider FROM orders")
 def slot_assignment(t: Tables) -> DataFrame:
-    """Round-robin over the slots of each provider."""
-    w = Window.partitionBy("o_orderpriority").orderBy("o_orderkey")
-    return t.orders.select(F.col("o_orderkey").alias("job"), ((F.row_number().over(w) - 1) % 3).cast("int").alias("slot"), F.col("o_orderpriority").alias("provider"))
+    """Round-robin over the slots of each provider; places carry over ranges of jobs."""
+    jobs = t.orders.select(F.col("o_orderkey").alias("job"), F.col("o_orderpriority").alias("provider"))
+    return running(jobs, [F.col("job")], {"place": F.lit(1)}, ["provider"]).select("job", ((F.col("place") - 1) % 3).cast("int").alias("slot"), "provider")
 
 
 @query("SELECT l_orderkey AS question_id, l_linenumber AS candidate, (31 * l_orderkey + 17 * l_linenumber + 5) % 4 AS variant, CASE WHEN l_linenumber = 1 THEN 0.2::DOUBLE WHEN l_linenumber = 2 THEN 0.6::DOUBLE ELSE 0.9::DOUBLE END AS temperature FROM lineitem")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curatrix.plans import data, intake, numeric, quality, rows, rules, runs, selection, texts, trace  # noqa: F401  (they register their queries)
+from curatrix.plans import data, intake, numeric, quality, reports, rows, rules, runs, selection, texts, trace  # noqa: F401  (they register their queries)
 from curatrix.plans.base import ORACLES, QUERIES
 
 

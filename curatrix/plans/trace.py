@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curatrix.operators.ordered import percentiles, running
 from curatrix.plans.adapters import TRACE_SQL, trace
 from curatrix.plans.base import Tables, query
 
@@ -18,17 +19,18 @@ T = f"WITH {TRACE_SQL}"
   quantile_cont(CAST(elapsed_s AS DOUBLE), 0.5) FILTER (event = 'job.end') AS latency_p50, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.95) FILTER (event = 'job.end') AS latency_p95,
   (epoch_us(max(ts) FILTER (event IN ('job.start', 'job.end'))) - epoch_us(min(ts) FILTER (event IN ('job.start', 'job.end')))) AS wall_us FROM trace""")
 def trace_kpis(t: Tables) -> DataFrame:
-    """All indicators in one pass; commits are absent here, so job ends are the population."""
+    """Nine indicators in one pass, percentiles by ranges of values; job ends are the population.
+    ``trace_indicators`` has all of them."""
     end, ok = F.col("event") == "job.end", (F.col("event") == "job.end") & (F.col("status") == "success")
     call, wall = F.col("event") == "llm.call", F.col("event").isin("job.start", "job.end")
     n, s = F.count_if(end), F.count_if(ok)
     micros = F.unix_micros(F.when(wall, F.col("ts")))
-    return trace(t).agg(
+    waits = percentiles(trace(t).where(end), "elapsed_s", {"latency_p50": 0.5, "latency_p95": 0.95})
+    sums = trace(t).agg(
         n.alias("jobs"), s.alias("success"), F.round(s / n, 4).alias("success_rate"), F.round(F.count_if(end & (F.col("release_tier") == "strict")) / n, 4).alias("strict_yield"),
-        F.count_if(call).alias("llm_calls"), F.round(F.sum(F.when(call, F.col("k"))).cast("double") / s, 1).alias("tokens_per_success"),
-        F.percentile(F.when(end, F.col("elapsed_s")), F.lit(0.5)).alias("latency_p50"), F.percentile(F.when(end, F.col("elapsed_s")), F.lit(0.95)).alias("latency_p95"),
-        (F.max(micros) - F.min(micros)).alias("wall_us"),
+        F.count_if(call).alias("llm_calls"), F.round(F.sum(F.when(call, F.col("k"))).cast("double") / s, 1).alias("tokens_per_success"), (F.max(micros) - F.min(micros)).alias("wall_us"),
     )
+    return sums.join(F.broadcast(waits))  # one row beside one row
 
 
 @query(f"{T} SELECT provider, CASE WHEN count(cost_usd) = count(*) AND count(*) FILTER (status = 'success') > 0 THEN round(sum(cost_usd) / count(*) FILTER (status = 'success'), 4) END AS cost_per_success, count(*) AS calls, count(cost_usd) AS priced FROM trace WHERE event = 'llm.call' GROUP BY provider")
@@ -41,13 +43,13 @@ def cost_per_success(t: Tables) -> DataFrame:
 
 @query(f"{T} SELECT status, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.5) AS p50, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.95) AS p95, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.99) AS p99 FROM trace WHERE event = 'job.end' GROUP BY status")
 def latency_percentiles(t: Tables) -> DataFrame:
-    return trace(t).where("event = 'job.end'").groupBy("status").agg(*[F.percentile("elapsed_s", F.lit(p)).alias(n) for p, n in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))])
+    return percentiles(trace(t).where("event = 'job.end'"), "elapsed_s", {"p50": 0.5, "p95": 0.95, "p99": 0.99}, ["status"])
 
 
 @query(f"{T}, o AS (SELECT role, elapsed_s, row_number() OVER (PARTITION BY role ORDER BY elapsed_s) AS rn, count(*) OVER (PARTITION BY role) AS n FROM trace WHERE event = 'llm.call') SELECT role, max(elapsed_s) FILTER (rn = ceil(n * 0.5)) AS p50, max(elapsed_s) FILTER (rn = ceil(n * 0.95)) AS p95 FROM o GROUP BY role")
 def nearest_rank_percentiles(t: Tables) -> DataFrame:
     """Nearest rank: the least value with at least that share at or below it."""
-    return trace(t).where("event = 'llm.call'").groupBy("role").agg(F.expr("percentile_disc(0.5) within group (order by elapsed_s)").alias("p50"), F.expr("percentile_disc(0.95) within group (order by elapsed_s)").alias("p95"))
+    return percentiles(trace(t).where("event = 'llm.call'"), "elapsed_s", {"p50": 0.5, "p95": 0.95}, ["role"], nearest=True)
 
 
 @query(f"{T}, n AS (SELECT *, lag(event) OVER w AS pe, lag(gate) OVER w AS pg, lag(owner) OVER w AS po FROM trace WHERE event IN ('node.start', 'node.end') WINDOW w AS (PARTITION BY job, candidate ORDER BY seq)) SELECT job, count(*) AS infra_repairs FROM n WHERE event = 'node.start' AND node = 'repair' AND pe = 'node.end' AND pg IN ('compile', 'refval') AND po IN ('ORACLE', 'INFRA') GROUP BY job")
@@ -68,11 +70,11 @@ def spans(t: Tables) -> DataFrame:
 
 @query(f"{SPANS}, edges AS (SELECT role, s AS moment, 1 AS d FROM spans UNION ALL SELECT role, e, -1 FROM spans) SELECT role, max(c) AS peak FROM (SELECT role, sum(d) OVER (PARTITION BY role ORDER BY moment, d ROWS UNBOUNDED PRECEDING) AS c FROM edges) GROUP BY role")
 def peak_concurrency(t: Tables) -> DataFrame:
-    """Closes precede opens at ties. Equal edges are summed before the sweep."""
+    """Closes precede opens at ties. Equal edges are summed before the sweep, whose running sum
+    carries over ranges of time."""
     x = spans(t)
     edges = x.select("role", F.col("s").alias("at"), F.lit(1).alias("d")).unionByName(x.select("role", F.col("e").alias("at"), F.lit(-1).alias("d"))).groupBy("role", "at", "d").agg(F.sum("d").alias("n"))
-    w = Window.partitionBy("role").orderBy("at", "d").rowsBetween(Window.unboundedPreceding, 0)
-    return edges.select("role", F.sum("n").over(w).alias("c")).groupBy("role").agg(F.max("c").alias("peak"))
+    return running(edges, [F.col("at"), F.col("d")], {"c": F.col("n")}, ["role"]).groupBy("role").agg(F.max("c").alias("peak"))
 
 
 @query(f"{SPANS} SELECT l.job, count(*) AS overlaps FROM spans l JOIN spans r ON l.job = r.job AND l.candidate < r.candidate AND l.s < r.e AND r.s < l.e GROUP BY l.job")
