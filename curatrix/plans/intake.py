@@ -140,7 +140,11 @@ def visible_answer(t: Tables) -> DataFrame:
     return tagged(t).select("conv_id", "turn", F.sha2(trimmed, 256).alias("visible_sha"), F.length(X.extract_thinking(r)).cast("long").alias("think_chars"))
 
 
-@query(f"WITH {TAGGED_SQL} SELECT conv_id, turn, regexp_matches(regexp_replace(reply, '\\s+$', ''), '(,|:|;|=|->|\\.\\.\\.)$') AS truncated, (length(regexp_replace(chr(10) || reply, '\\n[ \\t]*```', '', 'g')) - length(reply) - 1) <> 0 AND FALSE AS open_fence FROM tagged")
+@query(f"""WITH {TAGGED_SQL}, fenced AS (SELECT conv_id, turn, reply || CASE conv_id % 4 WHEN 0 THEN chr(10) || '```cuda' || chr(10) || 'x = $$y' WHEN 1 THEN chr(10) || '  ```' || chr(10) || 'x' || chr(10) || '```' ELSE '' END AS reply FROM tagged)
+SELECT conv_id, turn, regexp_matches(regexp_replace(reply, '\\s+$', ''), '(,|:|;|=|->|\\.\\.\\.)$') AS truncated, len(regexp_extract_all(chr(10) || reply, '\\n[ \\t]*```')) % 2 = 1 AS open_fence, len(regexp_extract_all(reply, '\\$\\$')) % 2 = 1 AS open_equation FROM fenced""")
 def answer_integrity(t: Tables) -> DataFrame:
-    issues = X.integrity_issues(F.col("reply"))
-    return tagged(t).select("conv_id", "turn", F.array_contains(issues, "tail").alias("truncated"), F.array_contains(issues, "fence").alias("open_fence"))
+    """Replies cut off, or with a fence or an equation left open; a quarter leaves both open, a quarter closes its fence."""
+    form = F.col("conv_id") % 4
+    added = F.when(form == 0, "\n```cuda\nx = $$y").when(form == 1, "\n  ```\nx\n```").otherwise("")
+    issues = X.integrity_issues(F.concat("reply", added))
+    return tagged(t).select("conv_id", "turn", *[F.array_contains(issues, kind).alias(name) for kind, name in (("tail", "truncated"), ("fence", "open_fence"), ("equation", "open_equation"))])

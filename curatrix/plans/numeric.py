@@ -185,10 +185,10 @@ def case_plan_matrix(t: Tables) -> DataFrame:
     return plans.select("question_id", "ordinal", "name", "kind", F.array_join(F.col("shapes")["y"].cast("array<string>"), "x").alias("out_shape"), alias.alias("alias"), "generate_nan")
 
 
-@query("SELECT p_partkey AS case_id, CASE WHEN p_size % 6 = 0 THEN 0 ELSE (p_size % 6 - 1) * 21 + 6 * 3 + 2 + 1 END AS storage_numel, 21 AS outer_stride FROM part")
+@query("SELECT p_partkey AS case_id, CASE WHEN p_size % 6 = 0 THEN 0 ELSE (p_size % 6 - 1) * (p_partkey % 4 + 1) * 3 + (p_partkey % 4) * 3 + 2 + 1 END AS storage_numel, (p_partkey % 4 + 1) * 3 AS outer_stride FROM part")
 def stride_numel(t: Tables) -> DataFrame:
-    """Elements that a row-major tensor of shape (size, 7, 3) spans, and its outer stride."""
-    shape = F.array((F.col("p_size") % 6).cast("int"), F.lit(7), F.lit(3))
+    """Elements that a row-major tensor of three dimensions spans, and its outer stride."""
+    shape = F.array((F.col("p_size") % 6).cast("int"), (F.col("p_partkey") % 4 + 1).cast("int"), F.lit(3))
     strides = C.row_major(shape, F.lit(1))
     return t.part.select(F.col("p_partkey").alias("case_id"), C.storage_numel(shape, strides).alias("storage_numel"), strides[0].alias("outer_stride"))
 

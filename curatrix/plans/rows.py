@@ -233,11 +233,11 @@ def component_matrix(kind, requested):
     return [F.array_join(R.component_status(kind, F.split(requested, ",")), ",")]
 
 
-@query(f"""WITH {PAIRS_SQL} SELECT conv_id AS id, 'knowledge:general' AS track, sha256(a) AS answer_sha256, sha256('{{"code": ' || CAST(to_json(a) AS VARCHAR) || ', "dialect": "knowledge:general", "id": ' || conv_id || ', "question": ' || CAST(to_json(u) AS VARCHAR) || '}}') AS sample_key FROM pairs WHERE {USABLE}""")
+@query(f"""WITH {PAIRS_SQL} SELECT conv_id AS id, 'knowledge:' || ['general', 'memory', 'isa'][conv_id % 3 + 1] AS track, sha256(a) AS answer_sha256, sha256('{{"code": ' || CAST(to_json(a) AS VARCHAR) || ', "dialect": "knowledge:' || ['general', 'memory', 'isa'][conv_id % 3 + 1] || '", "id": ' || conv_id || ', "question": ' || CAST(to_json(u) AS VARCHAR) || '}}') AS sample_key FROM pairs WHERE {USABLE}""")
 def knowledge_row(t: Tables) -> DataFrame:
     """An answer's archive row, with the digest that its review is bound to."""
     quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
-    name = track(F.lit("general"))
+    name = track(F.element_at(F.array(F.lit("general"), F.lit(" Memory"), F.lit("knowledge:isa")), (F.col("conv_id") % 3 + 1).cast("int")))
     key = F.concat(F.lit('{"code": '), quoted("a"), F.lit(', "dialect": "'), name, F.lit('", "id": '), F.col("conv_id").cast("string"), F.lit(', "question": '), quoted("u"), F.lit("}"))
     return pairs(t).where(USABLE).select(F.col("conv_id").alias("id"), name.alias("track"), F.sha2("a", 256).alias("answer_sha256"), F.sha2(key, 256).alias("sample_key"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import reasoning
 from curatrix.operators import rules as R
+from curatrix.operators.ordered import beside, percentiles
 from curatrix.plans.adapters import POOL_SQL, pool
 from curatrix.plans.base import Tables, query
 
@@ -266,11 +267,12 @@ def progress_missing(t: Tables) -> DataFrame:
     return t.orders.where("o_orderstatus <> 'P'").join(done, "o_orderkey", "left_anti").select(F.col("o_orderkey").alias("job"), F.col("o_orderstatus").alias("status"))
 
 
-@query("SELECT lang AS track, count(*) AS n, round(quantile_cont(CAST(length(text) AS DOUBLE), 0.5), 2) AS p50, round(quantile_cont(CAST(length(text) AS DOUBLE), 0.95), 2) AS p95, count(DISTINCT source) AS sources FROM documents GROUP BY ALL")
+@query("SELECT lang AS track, count(*) AS n, round(quantile_cont(CAST(length(text) AS DOUBLE), 0.5), 2) AS p50, round(quantile_cont(CAST(length(text) AS DOUBLE), 0.95), 2) AS p95, count(DISTINCT text) AS texts FROM documents GROUP BY ALL")
 def dataset_metrics(t: Tables) -> DataFrame:
-    """Row counts and exact length quantiles of each track."""
-    size = F.length("text").cast("double")
-    return t.documents.groupBy(F.col("lang").alias("track")).agg(F.count("*").alias("n"), F.round(F.percentile(size, F.lit(0.5)), 2).alias("p50"), F.round(F.percentile(size, F.lit(0.95)), 2).alias("p95"), F.countDistinct("source").alias("sources"))
+    """Row counts, different texts and exact length quantiles of each track."""
+    docs = t.documents.select(F.col("lang").alias("track"), "text", F.length("text").alias("size"))
+    sizes = percentiles(docs, "size", {"p50": 0.5, "p95": 0.95}, ["track"]).select("track", F.round("p50", 2).alias("p50"), F.round("p95", 2).alias("p95"))
+    return beside(docs.groupBy("track").agg(F.count("*").alias("n"), F.countDistinct(F.sha2("text", 256)).alias("texts")), sizes, ["track"])
 
 
 SYSTEMS = ("You are a Repairer.", "Use nvcc -c only.", "Fix the previous one; do not explain.", "Be precise.", "")

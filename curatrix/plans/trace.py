@@ -33,12 +33,12 @@ def trace_kpis(t: Tables) -> DataFrame:
     return sums.join(F.broadcast(waits))  # one row beside one row
 
 
-@query(f"{T} SELECT provider, CASE WHEN count(cost_usd) = count(*) AND count(*) FILTER (status = 'success') > 0 THEN round(sum(cost_usd) / count(*) FILTER (status = 'success'), 4) END AS cost_per_success, count(*) AS calls, count(cost_usd) AS priced FROM trace WHERE event = 'llm.call' GROUP BY provider")
+@query(f"{T} SELECT job, provider, CASE WHEN count(cost_usd) = count(*) AND count(*) FILTER (status = 'success') > 0 THEN round(sum(cost_usd) / count(*) FILTER (status = 'success'), 4) END AS cost_per_success, count(*) AS calls, count(cost_usd) AS priced FROM trace WHERE event = 'llm.call' GROUP BY job, provider")
 def cost_per_success(t: Tables) -> DataFrame:
-    """Null unless every call is priced."""
+    """Of each job and provider; null unless every call is priced and one succeeds."""
     ok = F.count_if(F.col("status") == "success")
     cost = F.when((F.count("cost_usd") == F.count("*")) & (ok > 0), F.round(F.sum("cost_usd") / ok, 4))
-    return trace(t).where("event = 'llm.call'").groupBy("provider").agg(cost.alias("cost_per_success"), F.count("*").alias("calls"), F.count("cost_usd").alias("priced"))
+    return trace(t).where("event = 'llm.call'").groupBy("job", "provider").agg(cost.alias("cost_per_success"), F.count("*").alias("calls"), F.count("cost_usd").alias("priced"))
 
 
 @query(f"{T} SELECT status, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.5) AS p50, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.95) AS p95, quantile_cont(CAST(elapsed_s AS DOUBLE), 0.99) AS p99 FROM trace WHERE event = 'job.end' GROUP BY status")
@@ -77,12 +77,22 @@ def peak_concurrency(t: Tables) -> DataFrame:
     return running(edges, [F.col("at"), F.col("d")], {"c": F.col("n")}, ["role"]).groupBy("role").agg(F.max("c").alias("peak"))
 
 
-@query(f"{SPANS} SELECT l.job, count(*) AS overlaps FROM spans l JOIN spans r ON l.job = r.job AND l.candidate < r.candidate AND l.s < r.e AND r.s < l.e GROUP BY l.job")
+@query(f"{SPANS}, long AS (SELECT job, candidate, e - (e - s) * 600 AS s, e FROM spans WHERE s < e) SELECT l.job, count(*) AS overlaps FROM long l JOIN long r ON l.job = r.job AND l.candidate < r.candidate AND l.s < r.e AND r.s < l.e GROUP BY l.job")
 def candidate_overlap(t: Tables) -> DataFrame:
-    """Overlapping intervals of two candidates of a job."""
-    x = spans(t)
-    l, r = x.select("job", F.col("candidate").alias("lc"), F.col("s").alias("ls"), F.col("e").alias("le")), x.select("job", F.col("candidate").alias("rc"), F.col("s").alias("rs"), F.col("e").alias("re"))
-    return l.join(r, "job").where("lc < rc and ls < re and rs < le").groupBy("job").agg(F.count("*").alias("overlaps"))
+    """Overlapping calls of different candidates of a job, seconds taken as ten minutes. Of all
+    pairs of a group, those are apart whose one ends before the other starts; a sweep counts
+    these. Pairs of one candidate are then taken from those of the job."""
+    x = spans(t).where("s < e").select("job", "candidate", (F.col("e") - (F.col("e") - F.col("s")) * 600).alias("s"), "e")
+    edges = x.select("job", "candidate", F.explode(F.array(F.struct(F.col("e").alias("at"), F.lit(0).alias("start")), F.struct(F.col("s").alias("at"), F.lit(1).alias("start")))).alias("p")).select("job", "candidate", "p.*")
+
+    def pairs(by: list[str]) -> DataFrame:
+        summed = edges.groupBy(*by, "at", "start").agg(F.count("*").alias("n"))
+        swept = running(summed, [F.col("at"), F.col("start")], {"ended": F.when(F.col("start") == 0, F.col("n")).otherwise(0)}, by)
+        begun = F.when(F.col("start") == 1, F.col("n")).otherwise(0)
+        return swept.groupBy(*by).agg(F.sum(begun).alias("n"), F.sum(begun * F.col("ended")).alias("apart")).select("job", (F.col("n") * (F.col("n") - 1) / 2 - F.col("apart")).cast("long").alias("pairs"))
+
+    signed = pairs(["job"]).unionByName(pairs(["job", "candidate"]).select("job", (-F.col("pairs")).alias("pairs")))
+    return signed.groupBy("job").agg(F.sum("pairs").alias("overlaps")).where("overlaps > 0")
 
 
 @query(f"{T}, m AS (SELECT *, count(*) FILTER (event = 'job.start') OVER (PARTITION BY job ORDER BY seq ROWS UNBOUNDED PRECEDING) AS run FROM trace) SELECT job, run, sum(k) FILTER (event = 'llm.call') AS tokens, count(*) FILTER (event = 'llm.call') AS calls FROM m WHERE run > 0 GROUP BY job, run")
@@ -99,9 +109,9 @@ def node_elapsed(t: Tables) -> DataFrame:
     return trace(t).where("event = 'node.end'").groupBy("node", "gate").agg(F.count("*").alias("n"), F.round(F.sum("elapsed_s"), 4).alias("elapsed_s"))
 
 
-@query(f"{T} SELECT role, count(*) AS calls, string_agg(DISTINCT provider, ',' ORDER BY provider) AS routes FROM trace WHERE event = 'llm.call' AND status = 'success' GROUP BY role")
+@query(f"{T} SELECT job, role, count(*) AS calls, string_agg(DISTINCT provider, ',' ORDER BY provider) AS routes FROM trace WHERE event = 'llm.call' AND status = 'success' GROUP BY job, role")
 def roles_and_routes(t: Tables) -> DataFrame:
-    return trace(t).where("event = 'llm.call' and status = 'success'").groupBy("role").agg(F.count("*").alias("calls"), F.array_join(F.array_sort(F.collect_set("provider")), ",").alias("routes"))
+    return trace(t).where("event = 'llm.call' and status = 'success'").groupBy("job", "role").agg(F.count("*").alias("calls"), F.array_join(F.array_sort(F.collect_set("provider")), ",").alias("routes"))
 
 
 @query(f"{T}, p AS (SELECT seq, job, event, lead(event) OVER (PARTITION BY job, candidate ORDER BY seq) AS ne, lead(seq) OVER (PARTITION BY job, candidate ORDER BY seq) AS nseq FROM trace WHERE event LIKE 'node.%') SELECT job, seq AS start_seq, nseq AS end_seq FROM p WHERE event = 'node.start' AND ne = 'node.end'")
@@ -135,9 +145,10 @@ def run_reconciliation(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("id")).join(seen, "id", "left").groupBy(state.alias("state")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey AS id, 'no_lines' AS kind FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT DISTINCT l_orderkey, 'no_order' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
+@query("WITH o AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F'), l AS (SELECT l_orderkey AS id FROM lineitem WHERE l_returnflag <> 'A') SELECT id, 'no_lines' AS kind FROM o WHERE id NOT IN (SELECT id FROM l) UNION ALL SELECT DISTINCT id, 'no_order' FROM l WHERE id NOT IN (SELECT id FROM o)")
 def orphans(t: Tables) -> DataFrame:
-    o, l = t.orders.select(F.col("o_orderkey").alias("id")), t.lineitem.select(F.col("l_orderkey").alias("id"))
+    """Open orders without lines that stay, and such lines' orders that aren't open."""
+    o, l = t.orders.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id")), t.lineitem.where("l_returnflag <> 'A'").select(F.col("l_orderkey").alias("id"))
     return o.join(l, "id", "left_anti").withColumn("kind", F.lit("no_lines")).unionByName(l.join(o, "id", "left_anti").distinct().withColumn("kind", F.lit("no_order")))
 
 
