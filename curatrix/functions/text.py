@@ -32,6 +32,10 @@ TOPICS = (
 KERNEL = r"solution\.cu|include/solution_header|function signature|your implementation should|\bimplement a\b|\bnvcc\b|__global__|write your implementation|实现一个|编写.{0,12}kernel"
 KNOWLEDGE = r"\bexplain\b|\bwhy does\b|\bwhat is\b|\bderive\b|occupancy formula|memory hierarchy|cute layout|roofline|请解释|请推导|为什么|什么是|工作原理|公式推导"
 SIMPLE = r"\b(add|scale|relu|copy|fill|axpy|element[- ]?wise|vector add|saxpy)\b"
+HARD = r"gemm|matmul|conv(?:olution)?|softmax|attention|scan|reduc(?:e|tion)|transpose|sort|fft|wmma|tensor[ -]?core|cute|cutlass|histogram|prefix|warp.?shuffle"
+#: The same words in Chinese.
+HARD_ZH = "矩阵乘(?:法|积)?|矩阵相乘|卷积|注意力|扫描|前缀和|归约|规约|转置|排序|快速傅里叶|直方图|线程束洗牌"
+SIMPLE_ZH = "向量加(?:法)?|逐元素(?:加法|相加|计算)?|元素级(?:加法|相加|计算)?|(?:逐个|每个)元素(?:相加|加法)|缩放(?:向量)?|填充(?:数组|向量)?|复制(?:数组|向量)?|激活函数"
 HARD_TOPICS, SIMPLE_TOPICS = ("formula", "cute", "cutlass", "isa"), ("general", "worked_example")
 CANDIDATES, REPAIRS = {"simple": 2, "medium": 3, "hard": 4}, {"simple": 1, "medium": 2, "hard": 3}
 
@@ -86,6 +90,11 @@ def heuristic_kind(question: Column) -> Column:
     return first_match(question, (("kernel", KERNEL), ("knowledge", KNOWLEDGE)), "kernel")
 
 
+def kernel_difficulty(question: Column) -> Column:
+    """Hard words beat simple ones; neither is medium."""
+    return _bound(F.coalesce(question, F.lit("")), lambda q: F.when(q.rlike(f"(?i){HARD}|{HARD_ZH}"), "hard").when(q.rlike(f"(?i){SIMPLE}|{SIMPLE_ZH}"), "simple").otherwise("medium"))
+
+
 def knowledge_difficulty(topic: Column) -> Column:
     name = F.lower(F.trim(F.coalesce(topic, F.lit("general"))))
     return _bound(name, lambda x: F.when(x.isin(*HARD_TOPICS), "hard").when(x.isin(*SIMPLE_TOPICS), "simple").otherwise("medium"))

@@ -130,23 +130,6 @@ def answer_gate(answer: Column, topic: Column, question: Column, facts: Column,
     return F.concat(gate, facts, integrity)
 
 
-def cuda_score(code: Column, refval_pass: Column) -> Column:
-    """The static judge's score, 1 to 10, with one more for a numeric pass."""
-    s = text(code)
-    kernel, shared, syncs = s.contains("__global__"), s.contains("__shared__"), F.regexp_count(s, F.lit("__syncthreads"))
-    bounds = s.rlike(BOUNDS) | (s.contains("<") & any_of(s, ("n;", "N;", "size", "numel")))
-    sizes = F.transform(F.concat(F.regexp_extract_all(s, F.lit(BLOCK_SIZE), F.lit(1)), F.regexp_extract_all(s, F.lit(DIM3), F.lit(1))), lambda x: F.try_to_number(x, F.lit("999999999")).cast("long"))
-    odd_size = F.exists(sizes, lambda b: (b < 64) | (b > 1024) | (b % 32 != 0))
-    faults = (
-        (kernel & ~any_of(s, ("threadIdx", "blockIdx")), 2), (kernel & ~bounds, 2), ((syncs >= 4) & ~shared, 1), (kernel & s.contains("[threadIdx.y]"), 1),
-        (odd_size, 1), (~kernel, 2), (~s.rlike(r"(?md)^\s*#\s*include\b"), 1), (shared & (syncs == 0), 1),
-    )
-    score = F.lit(10)
-    for fault, cost in faults:
-        score = score - F.when(fault, cost).otherwise(0)
-    return F.least(F.lit(10), F.greatest(F.lit(1), score) + F.when(refval_pass, 1).otherwise(0))
-
-
 def after_compile(ok: Column, owner: Column, repairs: Column, cap: Column) -> Column:
     return F.when(ok, "validate").when(F.coalesce(owner, F.lit("")) == "INFRA", "retry_oracle").when(repairs < cap, "repair").otherwise("collect_candidate")
 

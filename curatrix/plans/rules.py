@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import reasoning
 from curatrix.operators import rules as R
+from curatrix.operators.judges import cuda_score
 from curatrix.operators.ordered import beside, percentiles
 from curatrix.plans.adapters import POOL_SQL, pool
 from curatrix.plans.base import Tables, query
@@ -166,7 +167,7 @@ def static_judge(t: Tables) -> DataFrame:
     bit = lambda i: F.floor(F.col("p_partkey") / (1 << i)) % 2 == 1
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("p_size") % len(values) + 1).cast("int"))
     code = F.concat(*[F.when(bit(i), p).otherwise("") for i, p in enumerate(pieces)], pick(SYNCS), F.lit("\n"), pick(BLOCKS))
-    return t.part.select(F.col("p_partkey").alias("part"), R.cuda_score(code, F.col("p_size") % 5 == 0).alias("score"))
+    return t.part.select(F.col("p_partkey").alias("part"), cuda_score(code, F.col("p_size") % 5 == 0).alias("score"))
 
 
 @query(
