@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curatrix.plans import compiles, data, intake, interfaces, judging, manifests, numeric, provenance, quality, reports, rows, rules, runs, selection, texts, trace  # noqa: F401  (they register their queries)
+from curatrix.plans import compiles, completions, data, intake, interfaces, judging, manifests, numeric, provenance, quality, reports, rows, rules, runs, selection, texts, trace  # noqa: F401  (they register their queries)
 from curatrix.plans.base import ORACLES, QUERIES
 
 
