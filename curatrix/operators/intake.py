@@ -87,8 +87,9 @@ def selected(rows: DataFrame, order: str, *, offset: int = 0, ids: set[int] | No
 def jobs(rows: DataFrame) -> DataFrame:
     """Job records from older shapes: (question_id, question, dialect or nothing) become kernel
     jobs of that dialect or cuda; what has no question goes."""
-    track = F.coalesce(F.nullif(F.trim("dialect"), F.lit("")), F.lit("cuda"))
-    return rows.where(F.trim(F.coalesce("question", F.lit(""))) != "").select(F.col("question_id").cast("long").alias("question_id"), "question", F.lit("kernel").alias("kind"), track.alias("track"), F.lit("tuple").alias("source"))
+    bare = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    track = F.coalesce(F.nullif(bare("dialect"), F.lit("")), F.lit("cuda"))
+    return rows.where(bare("question") != "").select(F.col("question_id").cast("long").alias("question_id"), "question", F.lit("kernel").alias("kind"), track.alias("track"), F.lit("tuple").alias("source"))
 
 
 def global_row_numbers(rows: DataFrame, order: str, name: str = "place", parts: int = 64) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as X
@@ -111,12 +111,13 @@ def stratum_sizes(t: Tables) -> DataFrame:
 u AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY depth, family, difficulty) AS nth FROM r)
 SELECT question_id, family, difficulty, depth FROM u WHERE nth = 1 ORDER BY depth, family, difficulty LIMIT 120""")
 def stratified_round_robin(t: Tables) -> DataFrame:
-    """Round-robin over strata, each text once; the limit is the sampler's own. Rows deeper
-    than the limit can't be chosen, so each stratum keeps its first 120 before the rest."""
-    w = Window.partitionBy("family", "difficulty").orderBy("h", "question_id")
-    ranked = strata(t).withColumn("depth", F.row_number().over(w))
-    once = Window.partitionBy("h").orderBy("depth", "family", "difficulty")
-    return ranked.withColumn("nth", F.row_number().over(once)).where("nth = 1").orderBy("depth", "family", "difficulty").limit(120).select("question_id", "family", "difficulty", "depth")
+    """Round-robin over strata, each text once. A text's depth is the number of rows up to its
+    first one in its stratum, in the order of hashes; rows of one text are counted first, and the
+    counts run over ranges of hashes. The limit is the sampler's own."""
+    texts = strata(t).groupBy("family", "difficulty", "h").agg(F.count("*").alias("n"), F.min("question_id").alias("question_id"))
+    upto = running(texts, [F.col("h")], {"upto": F.col("n")}, ["family", "difficulty"])
+    depth = (F.col("upto") - F.col("n") + 1).alias("depth")
+    return upto.select("question_id", "family", "difficulty", depth).orderBy("depth", "family", "difficulty").limit(120)
 
 
 @query("SELECT doc_id, ((length(text) - length(regexp_replace(text, '[\\x00-\\x7F]', '', 'g')) + 3) // 4 + length(regexp_replace(text, '[\\x00-\\x7F]', '', 'g'))) AS tokens FROM documents".replace("\\\\", "\\"))
