@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.functions.text import _bound
+
 # Absolute and relative tolerance of each type; integers are exact.
 TOLERANCES = {
     "f32": (1e-4, 1e-3),
@@ -78,42 +80,51 @@ def _facts(got: Column, expected: Column, cplx: bool, allows_nan: Column) -> Col
         apart = [F.abs(a["value"] - b["value"]) for a, b in pairs]
         size = [F.abs(b["value"]) for _, b in pairs]
         norm = (lambda xs: F.hypot(xs[0], xs[1])) if cplx else (lambda xs: xs[0])
-        text = (lambda z: F.format_string("(%s, %s)", z["re"].cast("string"), z["im"].cast("string"))) if cplx else (lambda z: z.cast("string"))
-        return F.struct(any_(0, "nan").alias("gn"), any_(1, "nan").alias("en"), (g_inf | e_inf).alias("inf"), ((g_inf | e_inf) & ~same).alias("odd"), norm(apart).alias("abs"), norm(size).alias("mag"), text(g).alias("got"), text(e).alias("exp"))
+        return F.struct(any_(0, "nan").alias("gn"), any_(1, "nan").alias("en"), (g_inf | e_inf).alias("inf"), ((g_inf | e_inf) & ~same).alias("odd"), norm(apart).alias("abs"), norm(size).alias("mag"), g.alias("got"), e.alias("exp"))
 
     return F.zip_with(got, expected, one)
 
 
+def _text(value: Column, cplx: bool) -> Column:
+    """A value as verdicts show it."""
+    return F.format_string("(%s, %s)", value["re"].cast("string"), value["im"].cast("string")) if cplx else value.cast("string")
+
+
 def _ordered(x: Column, mode: Column) -> Column:
     """sorted: as a multiset; set: different values only; else in place. NaN sorts last."""
     return F.when(mode == "sorted", F.array_sort(x)).when(mode == "set", F.array_sort(F.array_distinct(x))).otherwise(x)
 
 
-def _listed(marked: Column, most: int) -> Column:
+def _listed(marked: Column, most: int, cplx: bool) -> Column:
     rows = F.filter(F.transform(marked, lambda x, i: F.struct(i.alias("index"), x["got"].alias("got"), x["exp"].alias("exp"), x["abs"].alias("abs"), x["rel"].alias("rel"), x["bad"].alias("bad"))), lambda x: x["bad"])
-    return F.transform(F.slice(rows, 1, most), lambda x: F.struct(x["index"], x["got"], x["exp"], x["abs"], x["rel"]))
+    return F.transform(F.slice(rows, 1, most), lambda x: F.struct(x["index"], _text(x["got"], cplx).alias("got"), _text(x["exp"], cplx).alias("exp"), x["abs"], x["rel"]))
 
 
 def _inexact(got: Column, expected: Column, atol: Column, rtol: Column, allows_nan: Column, cplx: bool) -> Column:
-    facts = _facts(got, expected, cplx, allows_nan)
-    n = F.size(expected)
+    def usual_of(facts: Column) -> Column:
+        return F.transform(facts, lambda x: F.struct(x["got"], x["exp"], x["abs"], (x["abs"] / F.greatest(x["mag"], F.lit(1e-30))).alias("rel"), (~(x["gn"] | x["en"] | x["inf"])).alias("finite"), (x["abs"] > atol + rtol * x["mag"]).alias("over")))
+
+    return _bound(_facts(got, expected, cplx, allows_nan), lambda facts: _bound(usual_of(facts), lambda usual: _judged(facts, usual, F.size(facts), allows_nan, cplx)))
+
+
+def _judged(facts: Column, usual: Column, n: Column, allows_nan: Column, cplx: bool) -> Column:
+    """The verdict on elements' facts and errors."""
     count = lambda f: F.size(F.filter(facts, f))
     odd_at = F.array_position(F.transform(facts, lambda x: x["odd"]), F.lit(True)) - 1
     odd = F.try_element_at(F.filter(facts, lambda x: x["odd"]), F.lit(1))
     nan_apart = lambda x: x["gn"] != x["en"]
     nan_at = F.array_position(F.transform(facts, nan_apart), F.lit(True)) - 1
-    usual = F.transform(facts, lambda x: F.struct(x["got"], x["exp"], x["abs"], (x["abs"] / F.greatest(x["mag"], F.lit(1e-30))).alias("rel"), (~(x["gn"] | x["en"] | x["inf"])).alias("finite"), (x["abs"] > atol + rtol * x["mag"]).alias("over")))
     marked = F.transform(usual, lambda x: F.struct(x["got"], x["exp"], x["abs"], x["rel"], (x["finite"] & x["over"]).alias("bad")))
     finite = F.filter(usual, lambda x: x["finite"])
     largest = lambda k: F.when(F.size(finite) > 0, F.array_max(F.transform(finite, lambda x: x[k]))).otherwise(F.lit(float("nan")))
     bad = F.size(F.filter(marked, lambda x: x["bad"]))
     measured = {"n_compared": n, "n_mismatch": bad, "max_abs": largest("abs"), "max_rel": largest("rel")}
-    one = F.array(F.struct(odd_at.cast("int").alias("index"), odd["got"].alias("got"), odd["exp"].alias("exp"), F.lit(None).cast("double").alias("abs"), F.lit(None).cast("double").alias("rel")))
+    one = F.array(F.struct(odd_at.cast("int").alias("index"), _text(odd["got"], cplx).alias("got"), _text(odd["exp"], cplx).alias("exp"), F.lit(None).cast("double").alias("abs"), F.lit(None).cast("double").alias("rel")))
     return (
         F.when(~allows_nan & (count(lambda x: x["gn"] | x["en"]) > 0), _verdict("fail", F.lit("NaN where none is allowed"), n_compared=n, n_mismatch=count(lambda x: x["gn"])))
         .when(odd.isNotNull(), _verdict("fail", F.concat(F.lit("Inf mismatch at "), odd_at.cast("string")), n_compared=n, n_mismatch=count(lambda x: x["odd"]), mismatches=one))
         .when(allows_nan & (count(nan_apart) > 0), _verdict("fail", F.concat(F.lit("NaN mismatch at "), nan_at.cast("string")), n_compared=n, n_mismatch=count(nan_apart)))
-        .when(bad > 0, _verdict("fail", F.concat(bad.cast("string"), F.lit(" mismatches")), mismatches=_listed(marked, LISTED), **measured))
+        .when(bad > 0, _verdict("fail", F.concat(bad.cast("string"), F.lit(" mismatches")), mismatches=_listed(marked, LISTED, cplx), **measured))
         .otherwise(_verdict("pass", **measured))
     )
 
@@ -135,7 +146,8 @@ def compared(got: Column, expected: Column, *, atol: Column, rtol: Column, kind:
     core = _exact(g, e) if kind == "int" else _inexact(g, e, atol, rtol, allows_nan, kind == "complex")
     out = F.when(F.size(g) != F.size(e), _verdict("fail", F.format_string("numel mismatch got=%d expected=%d", F.size(g), F.size(e)), n_compared=F.least(F.size(g), F.size(e)))).when(F.size(e) == 0, _verdict("pass")).otherwise(core)
     if dtype is not None and got_dtype is not None:
-        out = F.when(got_dtype != dtype, _verdict("fail", F.concat_ws("", F.lit("dtype mismatch got="), got_dtype, F.lit(" expected="), dtype), n_mismatch=F.lit(1))).otherwise(out)
+        decoded = (dtype == "bf16") & (got_dtype == "f32")  # bf16 is held as f32 once it is decoded
+        out = F.when((got_dtype != dtype) & ~decoded, _verdict("fail", F.concat_ws("", F.lit("dtype mismatch got="), got_dtype, F.lit(" expected="), dtype), n_mismatch=F.lit(1))).otherwise(out)
     if shape is not None and got_shape is not None:
         text = lambda s: F.array_join(s.cast("array<string>"), "x")
         out = F.when(got_shape != shape, _verdict("fail", F.concat(F.lit("shape mismatch got="), text(got_shape), F.lit(" expected="), text(shape)))).otherwise(out)

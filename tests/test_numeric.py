@@ -128,3 +128,9 @@ def test_intake(spark):
     assert [r[0] for r in out.orderBy("question_id").collect()] == [11, 13] and I.parsed_ids("1, 2,") == {1, 2}
     placed = I.global_row_numbers(table, "question_id").collect()
     assert all(r["place"] == r["question_id"] - 1 for r in placed)
+
+
+def test_decoded_bf16_is_of_its_type(spark):
+    rows = spark.createDataFrame([([1.0], "f32", "bf16"), ([1.0], "f32", "f16"), ([1.0], "bf16", "bf16")], "x array<double>, got string, want string")
+    verdict = N.compared(F.col("x"), F.col("x"), atol=F.lit(0.0), rtol=F.lit(0.0), got_dtype=F.col("got"), dtype=F.col("want"))
+    assert [r.v.status for r in rows.select(verdict.alias("v")).collect()] == ["pass", "fail", "pass"]
