@@ -38,7 +38,7 @@ from curatrix.operators.ordered import ranked
 
 BUCKETS, MIN_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: Buckets in a range; text bytes and documents of a block; blocks of a salt.
-RANGE, BLOCK_BYTES, BLOCK_DOCS, BLOCKS_A_SALT = 500, 4 << 20, 1 << 16, 64
+RANGE, BLOCK_BYTES, BLOCK_DOCS, BLOCKS_A_SALT = 500, 4 << 20, 1 << 16, 16
 #: Words up to this many bytes are hashed together, longer ones one by one.
 LONG_WORD = 64
 _ALL = np.uint32(0xFFFFFFFF)
