@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from curatrix.functions import names, reasoning
 from curatrix.functions.text import approx_tokens
 from curatrix.plans.base import QUERIES, Tables, query
 from curatrix.sources import lines as L
+from curatrix.sources.scratch import new_path
 from curatrix.streaming.trace import windowed_kpis
 
 # The words that an intake table lacks are bound here: each document gets one narrating phrase, or none.
@@ -128,19 +127,10 @@ def solution_files(t: Tables) -> DataFrame:
     return L.solution_files(t.orders.select(F.concat(F.lit("work/"), F.col("o_orderkey").cast("string"), folder, F.lit("/c0_r1/"), name).alias("path"))).select("question_id", "dialect")
 
 
-def _scratch(spark) -> str:
-    """The shared folder of the session, a local one only where none is set (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curatrix-"))
-        path = spark.sparkContext.getCheckpointDir()
-    return f"{path.rstrip('/')}/curatrix/stream-{uuid.uuid4().hex}"
-
-
 @query("WITH m AS (SELECT max(ts) AS top FROM events) SELECT epoch_us(date_trunc('hour', ts)) AS start_us, event_type, count(*) AS n FROM events, m WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= top - INTERVAL 10 MINUTE GROUP BY ALL")
 def stream_window_kpis(t: Tables) -> DataFrame:
     """Hourly counts by event type from a stream over the events; windows that the watermark has passed."""
-    root = _scratch(t.spark)
+    root = new_path(t.spark, "stream")
     stream = t.spark.readStream.schema(t.events.schema).parquet(f"{t.directory}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
     kpis = windowed_kpis(stream, ["event_type"])
     done = kpis.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start()
