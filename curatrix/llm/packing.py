@@ -7,7 +7,9 @@ a bitset keyed by free space: a piece goes to the open bin with the least suffic
 and when one bin too many is open the fullest closes.
 
 Defined results: null text packs as the empty text (its end id only); repeated rows are
-packed once per row; an empty table gives no rows; other columns are ignored.
+packed once per row; texts of any length are read whole and give as many pieces as they need;
+pieces whose hashes tie go by document and piece, of bins of equal room the last used is taken; an empty
+table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
