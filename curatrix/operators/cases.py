@@ -8,8 +8,6 @@ function equals, in ``mapInArrow``.
 
 from __future__ import annotations
 
-import hashlib
-import json
 import random
 from collections.abc import Iterator
 
@@ -220,7 +218,9 @@ def filled(plans: DataFrame) -> DataFrame:
     return plans.select("question_id", "name", "kind", "seed", "generate_dup", "generate_denorm", "generate_nan", "alias", "params").mapInArrow(run, FILLED)
 
 
-def suite_hash(plans: list[dict]) -> str:
-    """A hash of the plans' meaning; names of generated files and outputs don't count."""
-    rows = [{k: v for k, v in p.items() if k not in ("files", "outputs")} for p in plans]
-    return hashlib.sha256(json.dumps(rows, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+def suite_hashes(plans: DataFrame) -> DataFrame:
+    """(question_id, n_cases, suite_hash) of the meaning of each question's cases, in their order."""
+    meaning = [c for c in plans.columns if c not in ("question_id", "ordinal", "files", "outputs")]
+    one = F.struct("ordinal", F.to_json(F.struct(*sorted(meaning))).alias("case"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["case"]), "\n")
+    return plans.groupBy("question_id").agg(F.count("*").alias("n_cases"), F.sha2(text, 256).alias("suite_hash"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curatrix.operators.logs import diagnostics, log_lines, log_summaries
 from curatrix.plans.base import Tables, query
+from curatrix.sources.suites import read_plans
 
 LIMIT = 700
 #: Lines by form, with S for the supplier's number, N for the line's; (text, class, key) where the class is e, w or nothing.
@@ -65,3 +66,15 @@ FROM h LEFT JOIN a USING (log) LEFT JOIN e USING (log) LEFT JOIN w USING (log)""
 def compile_summaries(t: Tables) -> DataFrame:
     """Each log within 700 characters, with the counts of its diagnostics."""
     return log_summaries(log_lines(logs(t)), LIMIT)
+
+
+@query("""WITH l AS (SELECT p_partkey, p_size, CASE p_partkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '{"name": "cut' WHEN 2 THEN '[' || p_size || ']' ELSE '' END AS bad, p_brand FROM part)
+SELECT p_brand AS suite, count(*) AS n_lines, count(*) FILTER (bad = '') AS n_plans, sum(p_size * 3) FILTER (bad = '') AS elements, count(*) FILTER (bad = '' AND p_size % 2 = 0) AS large FROM l GROUP BY p_brand""")
+def plan_lines(t: Tables) -> DataFrame:
+    """Plans read from lines of JSON, of which some are cut off, no object or missing."""
+    size, form = F.col("p_size").cast("string"), F.col("p_partkey") % 6
+    plan = F.concat(F.lit('{"name": "n'), size, F.lit('", "kind": "non_tile", "shapes": {"x": ['), size, F.lit(', 3]}, "seed": '), F.col("p_partkey").cast("string"), F.lit(', "large": '), (F.col("p_size") % 2 == 0).cast("string"), F.lit(', "other": []}'))
+    line = F.when(form == 1, '{"name": "cut').when(form == 2, F.concat(F.lit("["), size, F.lit("]"))).when(form > 2, plan)
+    lines = t.part.select(F.col("p_brand").alias("suite"), line.alias("value"))
+    plans = read_plans(lines).groupBy("suite").agg(F.count("*").alias("n_plans"), F.sum(F.aggregate(F.col("shapes")["x"], F.lit(1), lambda a, d: a * d)).alias("elements"), F.count_if("large").alias("large"))
+    return lines.groupBy("suite").agg(F.count("*").alias("n_lines")).join(plans, "suite", "left")
