@@ -166,7 +166,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ..
                 seen: Counter = Counter()
                 for text in frame["text"]:
                     seen.update(_terms(text) if wanted is None else _terms(text) & wanted.value)
-                yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, columns=["term", "n"])
+                if seen:  # a frame without rows has no type of strings
+                    yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, columns=["term", "n"])
 
         return count
 
