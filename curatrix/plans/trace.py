@@ -33,11 +33,11 @@ def trace_kpis(t: Tables) -> DataFrame:
     return sums.join(F.broadcast(waits))  # one row beside one row
 
 
-@query(f"{T} SELECT job, provider, CASE WHEN count(cost_usd) = count(*) AND count(*) FILTER (status = 'success') > 0 THEN round(sum(cost_usd) / count(*) FILTER (status = 'success'), 4) END AS cost_per_success, count(*) AS calls, count(cost_usd) AS priced FROM trace WHERE event = 'llm.call' GROUP BY job, provider")
+@query(f"{T} SELECT job, provider, CASE WHEN count(cost_usd) = count(*) AND count(*) FILTER (status = 'success') > 0 THEN round(sum(cost_usd) / count(*) FILTER (status = 'success') + 1e-9, 4) END AS cost_per_success, count(*) AS calls, count(cost_usd) AS priced FROM trace WHERE event = 'llm.call' GROUP BY job, provider")
 def cost_per_success(t: Tables) -> DataFrame:
-    """Of each job and provider; null unless every call is priced and one succeeds."""
+    """Of each job and provider; null unless every call is priced and one succeeds. Ties of the fifth digit go up."""
     ok = F.count_if(F.col("status") == "success")
-    cost = F.when((F.count("cost_usd") == F.count("*")) & (ok > 0), F.round(F.sum("cost_usd") / ok, 4))
+    cost = F.when((F.count("cost_usd") == F.count("*")) & (ok > 0), F.round(F.sum("cost_usd") / ok + 1e-9, 4))
     return trace(t).where("event = 'llm.call'").groupBy("job", "provider").agg(cost.alias("cost_per_success"), F.count("*").alias("calls"), F.count("cost_usd").alias("priced"))
 
 
