@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curatrix.plans import compiles, completions, data, intake, interfaces, judging, loops, manifests, numeric, prompts, provenance, quality, reports, rows, rules, runs, selecting, selection, texts, trace  # noqa: F401  (they register their queries)
+from curatrix.plans import compiles, completions, data, intake, interfaces, judging, loops, manifests, metadata, numeric, prompts, provenance, quality, reports, rows, rules, runs, selecting, selection, texts, trace  # noqa: F401  (they register their queries)
 from curatrix.plans.base import ORACLES, QUERIES
 
 

@@ -40,3 +40,15 @@ def test_text_functions(spark):
     df = spark.createDataFrame([("<THINK> a </reasoning>b<think>c</think>", "日本ab", "x\n\n\n\ny ", "done...")], "a string, b string, c string, d string")
     r = df.select(X.strip_thinking(F.col("a")).alias("s"), X.extract_thinking(F.col("a")).alias("t"), X.approx_tokens(F.col("b")).alias("n"), X.collapse_blank_lines(F.col("c")).alias("c"), X.integrity_issues(F.col("d")).alias("i")).first()
     assert (r["s"], r["t"], r["n"], r["c"], r["i"]) == ("b", "a\n\nc", 3, "x\n\ny", ["tail"])
+
+
+def test_snapshots_lose_their_heavy_fields(spark):
+    from pyspark.sql import functions as F
+
+    from curatrix.operators.metadata import merged_metadata, without_heavy
+
+    row = spark.range(1).select(F.struct(F.lit(1).alias("score"), F.lit("x").alias("code"), F.lit("y").alias("gen_user")).alias("s"))
+    assert row.select(without_heavy(F.col("s")).alias("s")).first()["s"].asDict() == {"score": 1}
+    none = F.lit(None).cast("map<string,string>")
+    assert spark.range(1).select(merged_metadata(none, none, none).alias("m")).first()["m"] == {}
+    assert spark.range(1).select(merged_metadata(none, none, F.create_map(F.lit("other"), F.lit("v"))).alias("m")).first()["m"] == {"verification_tier": "none"}
