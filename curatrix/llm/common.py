@@ -49,11 +49,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df to a table in the shared folder and read it back."""
+def materialize(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
+    """Cut the lineage: write df to a table in the shared folder and read it back. A task holds
+    4096 rows at once when it reads, or a row group: rows of many bytes need smaller ones."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/curatrix/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    sized = {"parquet.block.size": row_group, "parquet.block.size.row.check.min": 10, "parquet.block.size.row.check.max": 1000} if row_group else {}
+    df.write.options(**sized).parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -38,7 +38,9 @@ from curatrix.operators.ordered import ranked
 
 BUCKETS, MIN_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: Buckets in a range; text bytes and documents of a block; blocks of a salt.
-RANGE, BLOCK_BYTES, BLOCK_DOCS, BLOCKS_A_SALT = 500, 4 << 20, 1 << 16, 16
+RANGE, BLOCK_BYTES, BLOCK_DOCS, BLOCKS_A_SALT = 500, 1 << 20, 1 << 16, 64
+#: Bytes of postings that a task reads at once.
+ROW_GROUP = 8 << 20
 #: Words up to this many bytes are hashed together, longer ones one by one.
 LONG_WORD = 64
 _ALL = np.uint32(0xFFFFFFFF)
@@ -209,7 +211,7 @@ def _reduced(group: pa.Table) -> pa.Table:
 def importance_weights(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """doc_id, n_words, n_features and weight (the floored mean gain) of each row of docs."""
     invert = _inverted(buckets, BLOCK_BYTES)
-    postings = materialize(canonical(docs, id_col, text_col).mapInArrow(invert, POSTINGS), "postings")
+    postings = materialize(canonical(docs, id_col, text_col).mapInArrow(invert, POSTINGS), "postings", ROW_GROUP)
     wanted = target.select(F.lit(0).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(invert, POSTINGS)
     both = _held(postings, "own").join(_held(wanted, "target"), ["range", "place"], "full")
     both = materialize(both.select("range", "place", F.coalesce("own", F.lit(0)).alias("own"), F.coalesce("target", F.lit(0)).alias("target")), "held")

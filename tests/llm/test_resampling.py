@@ -98,3 +98,22 @@ def test_query_equals_a_plain_count_on_the_tables(spark):
     targets = [r["text"] for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
     got = [tuple(r) for r in op11_importance_resampling(spark, DATA).collect()]
     assert sorted(got, key=str) == sorted(expected(docs, targets), key=str)
+
+
+def test_a_task_reads_few_postings_at_once(spark):
+    """Rows of postings are wide: the reader holds a row group of them, which must not follow a task's input."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from curatrix.llm import common
+    from curatrix.llm.resampling import importance_weights
+
+    docs = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 2000), i -> substring(hex(xxhash64(id, i)), 1, 4)), ' ') AS text")
+    weights = importance_weights(docs, docs.select("text").limit(0))
+    made = [p for p in common._WRITTEN if "/postings-" in p][-1]
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{made.removeprefix('file:')}/*.parquet")]
+    groups = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert weights.count() == 2500
+    assert sum(groups) > 20 << 20
+    assert max(groups) < 16 << 20
