@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions.reasoning import diagnostic_key, is_noise
+from curatrix.sources.scratch import written
 
 # Forms of a diagnostic, and what an empty log says.
 PLACED = (
@@ -52,15 +53,18 @@ def log_summaries(lines: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     """(log, n_chars, errors, unique_errors, warnings, unique_warnings, summary). Logs within the
     budget stay as they are. Of longer ones the summary lists different errors, then warnings, each
     at its first place and as far as they fit; logs without a diagnostic keep their end."""
+    lines = written(lines, "log-lines")  # several passes follow
     sizes = lines.groupBy("log").agg((F.sum(F.length("line")) + F.count("*") - 1).alias("n_chars"), F.max("at").alias("last"))
     counted = diagnostics(lines).groupBy("log", (F.col("kind") == "warning").alias("warning"), "key").agg(F.count("*").alias("n"), F.min("at").alias("at"), F.min_by("shown", "at").alias("line"))
     of = lambda warning, value, name: F.coalesce(F.sum(F.when(F.col("warning") == warning, value)), F.lit(0)).alias(name)
+    counted = written(counted, "diagnostics")
     tally = counted.groupBy("log").agg(of(False, F.col("n"), "errors"), of(False, F.lit(1), "unique_errors"), of(True, F.col("n"), "warnings"), of(True, F.lit(1), "unique_warnings"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     logs = sizes.join(tally, "log", "left").select("log", "n_chars", "last", *map(zero, ("errors", "unique_errors", "warnings", "unique_warnings")))
     number = lambda c: F.col(c).cast("string")
     header = F.concat(number("errors"), F.lit(" errors ("), number("unique_errors"), F.lit(" unique), "), number("warnings"), F.lit(" warnings ("), number("unique_warnings"), F.lit(" unique); log truncated from "), number("n_chars"), F.lit(" chars"))
     logs = logs.withColumn("header", header).withColumn("form", F.when((F.col("n_chars") <= max_chars) | F.lit(max_chars <= 0), "whole").when(F.col("errors") + F.col("warnings") == 0, "end").otherwise("listed"))
+    logs = written(logs, "logs")
 
     # A diagnostic takes its line and a line end, so no more than max_chars of them can fit.
     place = F.row_number().over(Window.partitionBy("log", "warning").orderBy("at"))
