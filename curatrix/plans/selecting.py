@@ -75,7 +75,7 @@ def draft_issues(t: Tables) -> DataFrame:
     form = F.col("conv_id") % 4
     rows = t.conversations.where("text is not null and length(trim(text)) > 0 and text not like '%```%'")
     cleaned = F.when(form == 1, F.concat(F.lit("### 1. Aim\n\n"), "text")).otherwise(F.col("text"))
-    reply = F.when(form == 3, " \n").when(form == 2, F.concat("text", F.lit("\n```x\n``"), F.lit("`"))).otherwise(cleaned)
+    reply = F.when(form == 3, " \n").when(form == 2, F.concat("text", F.lit("\n```\n``"), F.lit("`"))).otherwise(cleaned)
     return rows.select("conv_id", "turn", F.array_join(R.draft_problems(reply, cleaned, 100, 2, 60), "; ").alias("problems"))
 
 
