@@ -10,10 +10,12 @@ compiled are banked. One function takes a candidate a step on, for both ways.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +24,7 @@ OUTSIDE = ("ORACLE", "INFRA")
 BACKOFF = (5.0, 20.0)
 ROW = "job long, candidate int, seq long, at timestamp, action string, repairs int, retries int, wait_s double, banked int"
 STATE = "status string, repairs int, retries int, due_ms long, banked array<string>"
+ATTEMPT = ["job", "candidate", "seq", "ts", "ok", "compiled", "owner", "version"]
 ENDED = ("success", "abandoned", "blocked", "lost")
 
 
@@ -70,22 +73,37 @@ class Candidate:
         return 0.0
 
 
+class _Attempt(NamedTuple):
+    seq: int | None
+    ts: pd.Timestamp | int
+    ok: bool | None
+    compiled: bool | None
+    owner: str | None
+    version: str | None
+
+
 def _stamp(ms: int) -> pd.Timestamp:
     return pd.Timestamp(ms, unit="ms")
 
 
-def _walk(key: tuple, candidate: Candidate, attempts: pd.DataFrame, limits: Limits) -> pd.DataFrame:
+def _us(at: pd.Timestamp | int) -> int:
+    """Microseconds of a stream's time, or of a table's, which has them."""
+    return at if isinstance(at, int) else at.value // 1000
+
+
+def _walk(key: tuple, candidate: Candidate, attempts: Iterable, limits: Limits) -> list[tuple]:
     """The rows that further attempts of a candidate give, in order; what comes after its end gives none."""
-    rows = []
-    for a in attempts.sort_values("seq").itertuples():
-        at_ms = int(a.ts.value // 1_000_000)
+    rows: list[tuple] = []
+    for a in attempts:
+        if candidate.status in ENDED:
+            break
+        at_ms = _us(a.ts) // 1000
         if candidate.status == "retry" and at_ms > candidate.lost_at(limits):
             rows.append(_lost(key, candidate, limits))
-        if candidate.status in ENDED:
             break
         wait = candidate.step(at_ms, bool(a.ok), bool(a.compiled), a.owner, a.version, limits)
         rows.append((*key, a.seq, a.ts, candidate.status, candidate.repairs, candidate.retries, wait, len(candidate.banked)))
-    return _frame(rows)
+    return rows
 
 
 def _lost(key: tuple, candidate: Candidate, limits: Limits) -> tuple:
@@ -98,22 +116,42 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return out.astype({"seq": "Int64", "at": "datetime64[ns]", "repairs": "int32", "retries": "int32", "candidate": "int32", "banked": "int32"})
 
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 9
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.int32())
+    columns[3] = [_us(x) for x in columns[3]]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["job", "candidate", "seq", "at", "action", "repairs", "retries", "wait_s", "banked"])
+
+
 def repair_loop(attempts: DataFrame, limits: Limits = Limits(), delay_s: float = 600.0) -> DataFrame:
     """All steps of all candidates of a table. A retry that never came is lost if the table reaches
-    ``delay_s`` beyond its time, as a stream's watermark would. A candidate's attempts meet in one
-    task; the loop's limits bound those that matter."""
+    ``delay_s`` beyond its time, as a stream's watermark would. A task walks its candidates' attempts
+    in order, and holds one candidate and one batch of them."""
     last = attempts.agg(F.max(F.unix_millis(F.col("ts").cast("timestamp"))).alias("ms")).first()["ms"]
     reached = (last or 0) - int(1000 * delay_s)
 
-    def walk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        candidate = Candidate()
-        out = _walk(key, candidate, rows, limits)
-        if candidate.status == "retry" and candidate.lost_at(limits) < reached:
-            out = pd.concat([out, _frame([_lost(key, candidate, limits)])])
-        return out
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, candidate = None, Candidate()
+
+        def end() -> list[tuple]:
+            return [_lost(key, candidate, limits)] if candidate.status == "retry" and candidate.lost_at(limits) < reached else []
+
+        for batch in batches:
+            rows = []
+            for job, number, *values in zip(*[batch.column(n).to_pylist() for n in ATTEMPT], strict=True):
+                if key != (job, number):
+                    rows += end()
+                    key, candidate = (job, number), Candidate()
+                if candidate.status not in ENDED:
+                    rows += _walk(key, candidate, [_Attempt(*values)], limits)
+            yield _rows(rows)
+        yield _rows(end())
 
-    columns = ["job", "candidate", "seq", "ts", "ok", "compiled", "owner", "version"]
-    return attempts.select(columns).groupBy("job", "candidate").applyInPandas(walk, ROW)
+    order = [F.col("job"), F.col("candidate"), F.col("seq").asc_nulls_last()]
+    in_order = attempts.select(ATTEMPT).repartition("job", "candidate").sortWithinPartitions(*order)
+    timed = in_order.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
+    found = timed.mapInArrow(walk, ROW.replace("at timestamp", "at long"))
+    return found.withColumn("at", F.timestamp_micros("at"))
 
 
 class RepairLoop(StatefulProcessor):
@@ -139,7 +177,7 @@ class RepairLoop(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         candidate, attempts = self._load(), pd.concat(list(rows))
         before = candidate.status
-        out = _walk(key, candidate, attempts, self.limits)
+        out = _frame(_walk(key, candidate, attempts.sort_values("seq").itertuples(), self.limits))
         self._save(candidate)
         if candidate.status == "retry":
             self.handle.registerTimer(candidate.lost_at(self.limits))
@@ -164,6 +202,5 @@ class RepairLoop(StatefulProcessor):
 def repair_stream(attempts: DataFrame, limits: Limits = Limits(), delay_s: float = 600.0) -> DataFrame:
     """``repair_loop`` over a stream, whose order of arrival is that of each candidate's attempts.
     Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass)."""
-    columns = ["job", "candidate", "seq", "ts", "ok", "compiled", "owner", "version"]
-    timed = attempts.select(columns).withWatermark("ts", f"{int(delay_s)} seconds")
+    timed = attempts.select(ATTEMPT).withWatermark("ts", f"{int(delay_s)} seconds")
     return timed.groupBy("job", "candidate").transformWithStateInPandas(RepairLoop(limits), ROW, "Append", "EventTime")
