@@ -16,6 +16,14 @@ class Tables:
     def __init__(self, spark: SparkSession, directory: str) -> None:
         self.spark, self.directory = spark, directory
 
+    @property
+    def part(self) -> DataFrame:
+        """Parts stand for inputs that take work, but their file is small and would be a task or
+        two; so their rows are dealt over all cores."""
+        cores = self.spark.sparkContext.defaultParallelism
+        n = max(4 * cores, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return self.__getattr__("part").repartition(n, "p_partkey")
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
