@@ -10,6 +10,8 @@ from curatrix.plans.adapters import TRACE_SQL, trace
 from curatrix.plans.base import Tables, query
 
 T = f"WITH {TRACE_SQL}"
+#: Rows of order lines that a task shares out by id.
+ROWS_A_TASK = 2_000_000
 
 
 @query(f"""{T} SELECT count(*) FILTER (event = 'job.end') AS jobs, count(*) FILTER (event = 'job.end' AND status = 'success') AS success,
@@ -148,8 +150,11 @@ def run_reconciliation(t: Tables) -> DataFrame:
 @query("WITH o AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F'), l AS (SELECT l_orderkey AS id FROM lineitem WHERE l_returnflag <> 'A') SELECT id, 'no_lines' AS kind FROM o WHERE id NOT IN (SELECT id FROM l) UNION ALL SELECT DISTINCT id, 'no_order' FROM l WHERE id NOT IN (SELECT id FROM o)")
 def orphans(t: Tables) -> DataFrame:
     """Open orders without lines that stay, and such lines' orders that aren't open."""
-    o, l = t.orders.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id")), t.lineitem.where("l_returnflag <> 'A'").select(F.col("l_orderkey").alias("id"))
-    return o.join(l, "id", "left_anti").withColumn("kind", F.lit("no_lines")).unionByName(l.join(o, "id", "left_anti").distinct().withColumn("kind", F.lit("no_order")))
+    # Sorted ids compress so well that their bytes say little: rows decide how many tasks share them.
+    n = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-t.lineitem.count() // ROWS_A_TASK))
+    o = t.orders.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("id")).repartition(n, "id")
+    l = t.lineitem.where("l_returnflag <> 'A'").select(F.col("l_orderkey").alias("id")).repartition(n, "id").distinct()
+    return o.join(l, "id", "left_anti").withColumn("kind", F.lit("no_lines")).unionByName(l.join(o, "id", "left_anti").withColumn("kind", F.lit("no_order")))
 
 
 @query(f"{T}, c AS (SELECT job, seq, row_number() OVER (PARTITION BY job ORDER BY seq) AS call_no FROM trace WHERE event = 'llm.call') SELECT job, count(*) AS calls, count(*) FILTER (call_no <= 5) AS within_budget FROM c GROUP BY job")
