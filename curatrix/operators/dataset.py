@@ -6,8 +6,9 @@ import ast
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,10 @@ REVIEW_FLAGS = {"pass": True, "unavailable": False, "skipped_llm": False, "hard_
 
 #: Types by the names used above; a truth value is no number.
 TYPES = {"text": str, "int": int, "number": (int, float), "bool": bool, "object": dict, "list": list}
-CHECKED = "struct<well_formed:boolean,checks:array<struct<rule:string,state:string,message:string>>,track:string,tier:string,repaired:boolean,cot_chars:int>"
+CHECKED = "well_formed boolean, checks array<struct<rule:string,state:string,message:string>>, track string, tier string, repaired boolean, cot_chars int"
+_CHECKED = pa.struct([("well_formed", pa.bool_()), ("checks", pa.list_(pa.struct([(x, pa.string()) for x in ("rule", "state", "message")]))), ("track", pa.string()), ("tier", pa.string()), ("repaired", pa.bool_()), ("cot_chars", pa.int32())])
+#: Rows that a task checks at once.
+AT_ONCE = 256
 _LEAKS = [re.compile(p, re.IGNORECASE) for p in reasoning.LEAKS]
 _EXPLAINING = re.compile(EXPLAINING)
 _TAG = re.compile(r"</?(?:think|thinking|reasoning)>", re.IGNORECASE)
@@ -169,6 +173,16 @@ def row_checks(line: str | None, set_name: str = "set") -> dict:
     return out | {"checks": [{"rule": r, "state": s, "message": m} for r, (s, m) in state.items()]}
 
 
+def checked_batches(batches: Iterator[pa.RecordBatch], set_name: str) -> Iterator[pa.RecordBatch]:
+    """The rows, whose last column is the line, with CHECKED in place of it; a few rows at once,
+    as a row's checks take many times its bytes."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, AT_ONCE):
+            part = batch.slice(low, AT_ONCE)
+            checked = pa.array([row_checks(x, set_name) for x in part.column(part.num_columns - 1).to_pylist()], _CHECKED)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *checked.flatten()], names=[*part.schema.names[:-1], *(f.name for f in _CHECKED)])
+
+
 def checked_rows(rows: DataFrame, value: str = "value", set_name: str = "set") -> DataFrame:
     """Rows of a set whose versions are named ``set_name-N``: rows with well_formed, checks
     (array of rule, state, message), and track, tier, repaired and cot_chars for metrics. Rows
@@ -176,11 +190,8 @@ def checked_rows(rows: DataFrame, value: str = "value", set_name: str = "set") -
     them; H9 to H12 apply to none. Types as they were written and Python sources are beyond
     the built-in functions, hence Arrow batches."""
 
-    @F.pandas_udf(CHECKED)
-    def check(lines: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([row_checks(x, set_name) for x in lines], columns=["well_formed", "checks", "track", "tier", "repaired", "cot_chars"])
-
-    return rows.withColumn("__c", check(value)).select(*rows.columns, "__c.*")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.select("*", F.col(value).cast("string").alias("__line")).mapInArrow(lambda batches: checked_batches(batches, set_name), f"{kept}, {CHECKED}")
 
 
 def rule_counts(checked: DataFrame) -> DataFrame:
