@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions import names
+from curatrix.functions.text import bound
 from curatrix.operators.rules import abi_issues
 
 # Types of the C subset, and names that mark sizes, outputs and inputs.
@@ -38,11 +39,6 @@ PARAM = "struct<name:string,kind:string,dtype:string,rank:int,shape_from:array<s
 ABI = f"struct<entry:string,returns:string,params:array<{PARAM}>>"
 
 
-def bound(value: Column, f) -> Column:
-    """f of a value that is computed once."""
-    return F.transform(F.array(value), f)[0]
-
-
 def _one_blank(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
