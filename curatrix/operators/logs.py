@@ -35,13 +35,16 @@ def log_lines(logs: DataFrame, log: str = "log", text: str = "text") -> DataFram
 
 def diagnostics(lines: DataFrame) -> DataFrame:
     """(log, at, shown, kind, key) of the lines that are a diagnostic."""
-    shown = _stripped(F.col("line"))
-    part = lambda form, group: F.nullif(F.regexp_extract("shown", form, group), F.lit(""))
-    placed = [F.col("shown").rlike(form) for form in PLACED]
-    kind = F.when(placed[0], part(PLACED[0], 3)).when(placed[1], part(PLACED[1], 3)).when(F.col("shown").rlike(UNPLACED), "fatal error")
-    message = F.when(placed[0], part(PLACED[0], 4)).when(placed[1], part(PLACED[1], 4)).otherwise(part(UNPLACED, 2))
-    found = lines.select("log", "at", shown.alias("shown")).where(~is_noise(F.col("shown"))).withColumn("kind", F.lower(kind)).where(F.col("kind").isNotNull())
-    return found.withColumn("key", F.concat_ws("|", "kind", diagnostic_key(F.coalesce(message, F.lit("")))))
+    said = F.lower("line")
+    likely = lines.where(said.contains("error") | said.contains("warning")).select("log", "at", _stripped(F.col("line")).alias("shown"))
+    # Each form turns its line into a line end, the kind, a line end and the message, which no further form fits.
+    read = F.col("shown")
+    for form, parts in (*[(f, "\n$3\n$4") for f in PLACED], (UNPLACED, "\nfatal error\n$2")):
+        read = F.regexp_replace(read, form, parts)
+    found = likely.withColumn("read", read).where(F.col("read").startswith("\n") & ~is_noise(F.col("shown")))
+    part = lambda n: F.split_part("read", F.lit("\n"), F.lit(n))
+    found = found.select("log", "at", "shown", F.lower(part(2)).alias("kind"), part(3).alias("message"))
+    return found.withColumn("key", F.concat_ws("|", "kind", diagnostic_key(F.col("message")))).drop("message")
 
 
 def _joined(rows: DataFrame, name: str, value: str = "line") -> DataFrame:
