@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: SimHash fingerprints, found in BK-trees, then checked exactly."""
     return keep_representatives(docs)
 
 

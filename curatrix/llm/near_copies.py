@@ -1,18 +1,19 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-At 0.8 fingerprints of 64 bits differ in about 10 places and, to lose one pair in a million,
-up to 24 must be allowed, where a BK-tree visits nearly every node. So sets meet by their
-shingles first, in one order of all shingles: frequent ones last, then by hash.
+Each set has a SimHash fingerprint, of two times 64 bits here. Fingerprints are routed to shards,
+a shard's are in a BK-tree (``simhash.BKForest``), and what is found within the radius is checked exactly.
+At 0.8 about 19 of the bits differ, and more than ``RADIUS`` once in ten million pairs. Within so wide a
+radius the blocks of a fingerprint that agree part nothing, so not these name the shards, but shingles
+that the sets share, in one order of all shingles: frequent ones last, then by hash.
 
 - Sets of up to ``SMALL`` shingles meet by one of the first n - ceil(0.8 n) + 1 of each
   (prefix filter; nothing is lost).
 - Larger sets meet by the first shingle of each of ``BANDS`` parts of the hash space; a pair
   at 0.8 differs in all of them once in 10^11.
 
-Sets that meet are linked if their sizes allow 0.8 and their SimHash fingerprints, of two
-times 64 bits here, differ in ``RADIUS`` bits or fewer: at 0.8 about 19 do, and more than 40
-once in ten million pairs; sets of up to ``FEW`` shingles go without. Groups so linked are gathered, and within a group the exact similarity is taken of all pairs that
-are not joined already.
+Each set asks its shard's tree for those within the radius that are not joined yet (``tree_groups``); sets of
+up to ``FEW`` shingles ask for all, as bits are coarse there. Those whose sizes allow 0.8 are linked. Groups so linked are gathered, and within
+a group the exact similarity is taken of all pairs that are not joined already.
 
 Where more than ``CROWD`` sets meet in one place, the frequent shingles are found and all sets
 described again. Equal sets are collapsed first. Shards and groups join each member to one other, so n copies
@@ -38,11 +39,12 @@ from pyspark.sql import functions as F
 
 from curatrix.llm.common import by_texts, mark, materialize, may_hold, numbered, partitions_for, release, without_rows
 from curatrix.llm.components import components
+from curatrix.llm.simhash import BKForest, apart
 
 #: Similarity as a fraction, and words of a shingle.
 NEAR, WORDS = (4, 5), 5
 BANDS, SMALL, RADIUS = 16, 80, 40
-#: Sets of so few shingles are compared without fingerprints, whose bits are coarse there.
+#: Sets of so few shingles are found at any distance, as bits are coarse there.
 FEW = 32
 #: Shingles that a task meets in LOCAL of CHUNK texts count as frequent; the FREQUENT most
 #: frequent go last. Which ones do decides the order of meeting, never the result.
@@ -53,6 +55,8 @@ BLOCK = 1 << 18
 CROWD = 8192
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _BASE = 0xD1342543DE82EF95
+# Bounds of classes of sizes; sizes that allow 0.8 are of one class or of neighbours.
+_CLASSES = np.multiply.accumulate(np.full(96, NEAR[1] / NEAR[0]))
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -172,10 +176,68 @@ def places_of(hashes: np.ndarray, bounds: np.ndarray, frequent: np.ndarray) -> t
     return np.concatenate([hashes[head], hashes[large] ^ _MIX[1]]), np.concatenate([owner[head], owner[large]])
 
 
-def _alike(n: np.ndarray, fps: np.ndarray, n0, fp0: np.ndarray) -> np.ndarray:
-    """fps: rows of two fingerprints."""
-    near = np.bitwise_count(fps ^ fp0).sum(-1, dtype=np.int64) <= RADIUS
-    return (NEAR[0] * np.maximum(n, n0) <= NEAR[1] * np.minimum(n, n0)) & (near | (n <= FEW))
+def tree_groups(shard: np.ndarray, n: np.ndarray, fps: np.ndarray) -> np.ndarray:
+    """The group of each set, by a member, among those of its shard: all that BK-trees of the shards' fingerprints
+    link. ``shard`` is sorted; n: shingles of the sets; fps: rows of two fingerprints. All shards
+    ask at once, one member each a round; subtrees of members joined are not entered again. A shard has one
+    tree for each class of sizes, and a set asks those whose sizes allow 0.8."""
+    sized = np.searchsorted(_CLASSES, n, "right")
+    order = np.lexsort((sized, shard))  # keeps shards in their places
+    back = np.argsort(order)
+    n, fps, tree = n[order], fps[order], _ids(shard) * (len(_CLASSES) + 2) + sized[order]
+    forest, label, waiting = BKForest(fps, tree), np.arange(len(n)), np.ones(len(n), bool)
+    radius = np.where(NEAR[0] * n <= NEAR[1] * FEW, forest.bits, RADIUS)
+    below = np.zeros(len(n), np.int64)  # members of a subtree that wait
+
+    def counted(nodes: np.ndarray, step: int) -> None:
+        while len(nodes):
+            np.add.at(below, nodes, step)
+            nodes = forest.parent[nodes]
+            nodes = nodes[nodes >= 0]
+
+    def taken(nodes: np.ndarray, of: np.ndarray) -> None:
+        waiting[nodes] = False
+        counted(nodes, -1)
+        np.subtract.at(left, of, 1)
+
+    counted(label, 1)
+    roots = np.flatnonzero(forest.parent < 0)
+    trees, first = tree[roots], _runs(shard)[:-1] if len(shard) else label
+    left = np.diff(np.r_[first, len(n)])  # members of a shard that wait
+    queue, head, tail, seek = np.empty(len(n), np.int64), first.copy(), first.copy(), first.copy()
+    live = np.flatnonzero(left > 1)
+    while len(live):
+        idle = live[head[live] == tail[live]]  # a group is complete: the next one's first member
+        at = idle
+        while len(at := at[~waiting[seek[at]]]):
+            seek[at] += 1
+        queue[tail[idle]] = seek[idle]
+        tail[idle] += 1
+        taken(seek[idle], idle)
+        asking = queue[head[live]]
+        head[live] += 1
+        near = (tree[asking] + np.array([[-1], [0], [1]])).ravel()
+        at = np.minimum(np.searchsorted(trees, near), len(trees) - 1)
+        known = np.flatnonzero((trees[at] == near) & (below[roots[at]] > 0))
+        who = known % len(asking)
+        q, node = forest.query(fps[asking[who]], roots[at[known]], radius[asking[who]], below > 0)
+        q = who[q]
+        a = asking[q]
+        fit = waiting[node] & (NEAR[0] * np.maximum(n[a], n[node]) <= NEAR[1] * np.minimum(n[a], n[node]))
+        fit &= (np.minimum(n[a], n[node]) <= FEW) | (apart(fps[a], fps[node]) <= RADIUS)
+        hit = np.flatnonzero(fit)[np.argsort(q[fit], kind="stable")]
+        q, node = q[hit], node[hit]
+        label[node] = label[asking[q]]
+        taken(node, live[q])
+        queue[tail[live[q]] + np.arange(len(q)) - np.searchsorted(q, q)] = node
+        tail[live] += np.bincount(q, minlength=len(live))
+        live = live[left[live] > 0]
+    return order[label][back]
+
+
+def _ids(values: np.ndarray) -> np.ndarray:
+    """Numbers of the runs of equal values."""
+    return np.repeat(np.arange(len(b := np.diff(_runs(values)))), b) if len(values) else np.empty(0, np.int64)
 
 
 def reached(count: int, alike) -> np.ndarray:
@@ -275,22 +337,13 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (place, key, n, fp, fp2), by place -> links between keys of a place."""
+    """Rows (place, key, n, fp, fp2), by place -> links between keys of a place, found in its BK-tree."""
     for table in _by_runs(batches):
         place, key, n = (table.column(i).to_numpy() for i in range(3))
         fps = np.stack([table.column(i).to_numpy() for i in (3, 4)], 1).view(np.uint64)
-        bounds = _runs(place)
-        two = bounds[:-1][np.diff(bounds) == 2]
-        two = two[_alike(n[two], fps[two], n[two + 1], fps[two + 1])]
-        a, b = [key[two]], [key[two + 1]]
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            if hi - lo > 2:
-                sizes, own = n[lo:hi], fps[lo:hi]
-                label = reached(hi - lo, lambda i, o, sizes=sizes, own=own: _alike(sizes[o], own[o], sizes[i], own[i]))
-                joined = np.flatnonzero(label != np.arange(hi - lo))
-                a.append(key[lo:hi][joined])
-                b.append(key[lo:hi][label[joined]])
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+        label = tree_groups(place, n.astype(np.int64), fps)
+        joined = np.flatnonzero(label != np.arange(len(label)))
+        pairs = np.unique(np.stack([key[joined], key[label[joined]]]), axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 

@@ -78,12 +78,19 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return canonical(docs).select("doc_id", fp("text").alias("fp"))
 
 
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, each one number or a row of several."""
+    d = np.bitwise_count(a ^ b)
+    return d.astype(np.int64) if d.ndim == 1 else sum(d.T[1:], d.T[0].astype(np.int64))
+
+
 class BKForest:
-    """BK-trees over many shards at once, in arrays; ``shard`` is sorted."""
+    """BK-trees over many shards at once, in arrays; ``shard`` is sorted. Fingerprints are
+    numbers of 64 bits or rows of several."""
 
     def __init__(self, fps: np.ndarray, shard: np.ndarray) -> None:
         n = len(fps)
-        self.fps = fps
+        self.fps, self.bits = fps, 64 * (fps.shape[1] if fps.ndim > 1 else 1)
         first = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if n else np.empty(0, int)
         self.root = np.repeat(first, np.diff(np.r_[first, n])) if n else np.empty(0, int)
         parent, edge = np.full(n, -1), np.zeros(n, int)
@@ -91,8 +98,8 @@ class BKForest:
         node = self.root[active]
         while len(active):
             # All walk one level; of those that meet at a free edge the first takes it.
-            d = np.bitwise_count(fps[active] ^ fps[node]).astype(np.int64)
-            key = node * 65 + d
+            d = apart(fps[active], fps[node])
+            key = node * (self.bits + 1) + d
             _, where, inverse = np.unique(key, return_index=True, return_inverse=True)
             child = active[where]
             parent[child], edge[child] = node[where], d[where]
@@ -100,22 +107,31 @@ class BKForest:
             stay[where] = False
             active, node = active[stay], child[inverse][stay]
         linked = np.flatnonzero(parent >= 0)
-        keys = parent[linked] * 65 + edge[linked]
+        keys = parent[linked] * (self.bits + 1) + edge[linked]
         order = np.argsort(keys, kind="stable")
-        self.keys, self.children = keys[order], linked[order]
+        self.keys, self.children, self.parent = keys[order], linked[order], parent
+        self.inner = np.zeros(n, bool)
+        self.inner[parent[linked]] = True
 
-    def query(self, points: np.ndarray, roots: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the point, index of the node) of all pairs within the radius."""
+    def query(self, points: np.ndarray, roots: np.ndarray, radius: int | np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the point, index of the node) of all pairs within the radius, one for all
+        or one a point. Subtrees whose root is not ``live`` are left out."""
         q, node, hits = np.arange(len(points)), roots, []
+        each = np.broadcast_to(radius, len(points))
         while len(q):
-            d = np.bitwise_count(points[q] ^ self.fps[node]).astype(np.int64)
-            near = d <= radius
+            d, within = apart(points.take(q, 0), self.fps.take(node, 0)), each[q]
+            near = np.flatnonzero(d <= within)
             hits.append((q[near], node[near]))
-            lo = np.searchsorted(self.keys, node * 65 + np.maximum(d - radius, 0), "left")
-            hi = np.searchsorted(self.keys, node * 65 + np.minimum(d + radius, 64), "right")
+            on = np.flatnonzero(self.inner[node])
+            q, node, d, within = q[on], node[on], d[on], within[on]
+            lo = np.searchsorted(self.keys, node * (self.bits + 1) + np.maximum(d - within, 0), "left")
+            hi = np.searchsorted(self.keys, node * (self.bits + 1) + np.minimum(d + within, self.bits), "right")
             n = hi - lo
             q = np.repeat(q, n)
             node = self.children[np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())] if n.sum() else q
+            if live is not None and len(q):
+                on = np.flatnonzero(live[node])
+                q, node = q[on], node[on]
         if not hits:
             return q, q
         return np.concatenate([a for a, _ in hits]), np.concatenate([b for _, b in hits])
