@@ -238,8 +238,7 @@ def recurring_lines(rows: DataFrame, similarity: float = SIMILARITY, leading: in
     lines = materialize(_with_templates(shared, recur(shared, "whole")), "candidate-lines")
     # Surroundings: groups of near copies among the documents that hold such lines.
     first = materialize(lines.where("solid >= 0").groupBy("whole").agg(F.min("row").alias("row")), "holders").select("row")
-    holders = materialize(may_hold(rows, first).where("__may").join(first, "row", "left_semi").select("row", "text"), "holder-texts")
-    groups = near_copy_groups(holders).join(lines.select("row", "whole").distinct(), "row").select("whole", "group")
+    groups = near_copy_groups(rows, first).join(lines.select("row", "whole").distinct(), "row").select("whole", "group")
     recurring = recur(lines.join(groups.hint("merge"), "whole"), "group")
     return _with_templates(lines, recurring).select("row", "line")
 

@@ -366,10 +366,12 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SETS = "row long, key long, n int, fp long, fp2 long, places array<long>"
 
 
-def near_copy_groups(rows: DataFrame) -> DataFrame:
+def near_copy_groups(rows: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """rows (row, text), read several times -> (row, key, group): key is equal for equal shingle sets, group for
-    all that are near copies of each other, directly or by way of others."""
+    all that are near copies of each other, directly or by way of others. ``only`` (row, materialised): those rows
+    alone; what describes them meets it, not their texts, which are longer."""
     rows = rows.select("row", F.coalesce("text", F.lit("")).alias("text"))
+    asked = rows if only is None else may_hold(rows, only).where("__may").select("row", "text")
     parts = partitions_for(rows)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,13 +387,17 @@ def near_copy_groups(rows: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[order], np.arange(len(n) + 1)).astype(np.int32)), pa.array(places[order].view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(n.astype(np.int32)), pa.array(fingerprints_of(hashes, bounds)), pa.array(fingerprints_of(again, bounds)), lists], names=["row", "key", "n", "fp", "fp2", "places"])
 
+    def described_sets() -> DataFrame:
+        sets = asked.mapInArrow(describe, SETS)
+        return materialize(sets if only is None else sets.join(only.hint("merge"), "row", "left_semi"), "shingle-sets")
+
     share = None
-    sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
+    sets = described_sets()
     met = sets.dropDuplicates(["key"]).select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("n"))
     if not met.where(F.col("n") > CROWD).isEmpty():
         # Any order of shingles gives the same groups; this one parts the crowds.
-        share = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
-        sets = materialize(rows.mapInArrow(describe, SETS), "shingle-sets")
+        share = rows.sparkSession.sparkContext.broadcast(frequent_shingles(asked))
+        sets = described_sets()
     heads = sets.select(F.explode("places").alias("place"), "key")
     often = materialize(heads.repartition(parts, "place").sortWithinPartitions("place", "key").mapInArrow(shared, "place long, key long"), "shared-shingles")
     one = sets.groupBy("key").agg(F.min("row").alias("row"))

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from curatrix.llm import near_copies
+from curatrix.llm import lines, near_copies
 from curatrix.llm.simhash import BKForest
 
 
@@ -39,3 +39,22 @@ def test_near_copies_ask_bk_trees(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1]), pa.array([10, 20, 30]), pa.array([50, 50, 50], pa.int32()), pa.array(fps[:, 0]), pa.array(fps[:, 1])], names=["place", "key", "n", "fp", "fp2"])
     (links,) = near_copies.meet(iter([batch]))
     assert links.to_pylist() == [{"a": 20, "b": 10}] and sum(asked) > 0
+
+
+def test_near_copies_among_some_rows(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([*words[:59], "x"]), " ".join(words[::-1]), " ".join(words[:58]), None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    only = near_copies.materialize(spark.createDataFrame([(1,), (2,), (3,)], "row long"), "only")
+    groups = {r["row"]: r["group"] for r in near_copies.near_copy_groups(rows, only).collect()}
+    assert sorted(groups) == [1, 2, 3] and groups[1] == groups[3] != groups[2]
+
+
+def test_line_dedup_writes_no_texts_of_documents(spark, monkeypatch):
+    """Texts of the documents that hold candidate lines were shuffled and written once more."""
+    written, materialize = [], lines.materialize
+    monkeypatch.setattr(lines, "materialize", lambda df, name, *rest: written.append((name, df.columns)) or materialize(df, name, *rest))
+    rows = [(i, f"a line that all of these documents hold again\nown {'abcdefgh'[i]} words here, {'abcdefgh'[i] * 3} only") for i in range(8)]
+    out = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["__lines"]["n_dropped"] == 1 for r in out)
+    assert written and not [name for name, columns in written if "text" in columns]
